@@ -58,16 +58,25 @@ def orders(bronze: DataFrame, run_ts=None, dedup: bool = False,
 
 
 def clicks(bronze: DataFrame, run_ts=None, null_keys: str = "keep") -> DataFrame:
-    """bronze.click_events -> silver.click_events rows: normalise, extract
-    metadata attributes, keep the latest delivery per event_id."""
-    norm = bronze.select(
+    """bronze.click_events -> silver.click_events rows: keep the latest
+    delivery per event_id (by ts, then _ingested_at, NULLs last), then
+    normalise text and paths and extract the metadata attributes.
+
+    Only the key and the ordering columns are needed to pick the survivor,
+    so cleaning and JSON parsing run after the de-duplication, on survivors
+    only, and the shuffle carries the narrower bronze rows.
+    """
+    cols = ["event_id", "user_id", "session_id", "event_type", "page", "route",
+            "element", "metadata_json", "_ingested_at"]
+    keyed = bronze.select(*cols, to_utc_ntz(bronze, "ts").alias("ts_utc"))
+    latest = latest_per_key(keyed, ["event_id"], DEDUP_ORDER_CLICKS, null_keys=null_keys)
+    out = latest.select(
         "event_id", "user_id", "session_id",
         norm_lower("event_type").alias("event_type"),
         collapse_slashes("page").alias("page_path"),
         collapse_slashes("route").alias("route_path"),
-        "element",
-        to_utc_ntz(bronze, "ts").alias("ts_utc"),
+        "element", "ts_utc",
         *json_paths("metadata_json"),
-        "metadata_json", "_ingested_at")
-    latest = latest_per_key(norm, ["event_id"], DEDUP_ORDER_CLICKS, null_keys=null_keys)
-    return C.conform(latest.withColumn("_processed_at", load_stamp(run_ts)), C.SILVER_CLICKS)
+        "metadata_json", "_ingested_at",
+        load_stamp(run_ts).alias("_processed_at"))
+    return C.conform(out, C.SILVER_CLICKS)
