@@ -1,0 +1,49 @@
+"""upsert (J1/J2): semantics and properties."""
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tierflow.operators.upsert import KeyViolation, upsert
+
+SCHEMA = "id bigint, a string, b bigint"
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_semantics(spark):
+    t = spark.createDataFrame([(1, "x", 10), (2, "y", 20), (3, "z", 30)], SCHEMA)
+    s = spark.createDataFrame([(2, None, 21), (4, "new", 40)], SCHEMA)
+    out = rows(upsert(t, s, ["id"]))
+    # NULL in the source overwrites; target-only kept; source-only inserted
+    assert out == [(1, "x", 10), (2, None, 21), (3, "z", 30), (4, "new", 40)]
+
+
+def test_duplicate_or_null_source_key_fails(spark):
+    t = spark.createDataFrame([(1, "x", 10)], SCHEMA)
+    with pytest.raises(KeyViolation):
+        upsert(t, spark.createDataFrame([(2, "a", 1), (2, "b", 2)], SCHEMA), ["id"])
+    with pytest.raises(KeyViolation):
+        upsert(t, spark.createDataFrame([(None, "a", 1)], SCHEMA), ["id"])
+
+
+def test_missing_target_is_empty(spark):
+    t = spark.createDataFrame([], SCHEMA)
+    s = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    assert rows(upsert(t, s, ["id"])) == [(1, "a", 1)]
+
+
+keys = st.lists(st.integers(0, 30), unique=True, max_size=25)
+
+
+@settings(max_examples=12, deadline=None)
+@given(tk=keys, sk=keys)
+def test_properties(spark, tk, sk):
+    t = spark.createDataFrame([(k, "t", k) for k in tk], SCHEMA)
+    s = spark.createDataFrame([(k, "s", -k) for k in sk], SCHEMA)
+    once = upsert(t, s, ["id"])
+    out = rows(once)
+    assert len(out) == len(set(tk) | set(sk))                 # |t ∪ s keys|
+    assert rows(upsert(once, s, ["id"])) == out              # idempotent
+    assert all(r[1] == "s" for r in out if r[0] in set(sk))  # source wins
