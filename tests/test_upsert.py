@@ -3,7 +3,7 @@
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tierflow.operators.upsert import KeyViolation, upsert
+from tierflow.operators.upsert import KeyViolation, check_unique_keys, upsert
 
 SCHEMA = "id bigint, a string, b bigint"
 
@@ -22,10 +22,12 @@ def test_semantics(spark):
 
 def test_duplicate_or_null_source_key_fails(spark):
     t = spark.createDataFrame([(1, "x", 10)], SCHEMA)
-    with pytest.raises(KeyViolation):
-        upsert(t, spark.createDataFrame([(2, "a", 1), (2, "b", 2)], SCHEMA), ["id"])
-    with pytest.raises(KeyViolation):
-        upsert(t, spark.createDataFrame([(None, "a", 1)], SCHEMA), ["id"])
+    for bad in ([(2, "a", 1), (2, "b", 2)], [(None, "a", 1)]):
+        src = spark.createDataFrame(bad, SCHEMA)
+        with pytest.raises(KeyViolation):
+            check_unique_keys(src, ["id"])
+        with pytest.raises(Exception, match="NULL or repeated key"):
+            upsert(t, src, ["id"]).collect()
 
 
 def test_missing_target_is_empty(spark):

@@ -87,6 +87,11 @@ PARTITION_EXPRS: dict[str, str] = {
     "order_month": "CAST(order_date_key DIV 100 AS INT)",
     "event_month": "CAST(event_date_key DIV 100 AS INT)",
 }
+# Tables whose rows are spread over many partition values in every task
+# (aggregates): one REBALANCE shuffle before the write keeps files few and
+# even.  Bronze appends carry one or two ingest days per batch and are
+# written as they come.
+REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks")}
 # Sort order inside the files of each stored table (for row-group pruning).
 SORT_WITHIN: dict[tuple[str, str], list[str]] = {
     ("gold", "fact_orders"): ["order_date_key"],

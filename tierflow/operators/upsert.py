@@ -25,6 +25,24 @@ def check_unique_keys(df: DataFrame, keys: list[str], what: str = "source") -> N
         raise KeyViolation(f"{what} has a NULL or repeated key: {bad[0].asDict()}")
 
 
+def checked_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys of ``source``; evaluating the frame fails the job if
+    a key is NULL or repeated.  The check is part of the plan (no extra pass
+    over the source): the per-key count is a partial + final aggregate."""
+    null_any = F.lit(False)
+    for k in keys:
+        null_any = null_any | F.col(k).isNull()
+    bad = (F.col("__n") > 1) | null_any
+    msg = F.concat(F.lit("upsert source has a NULL or repeated key: "),
+                   F.to_json(F.struct(*[F.col(k) for k in keys])))
+    # The check is a projection of the key that depends on the count, so
+    # the "key IS NOT NULL" filter the optimizer infers from the join cannot
+    # be pushed below it (a filter here would let NULL keys slip away).
+    return (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .select(*[F.when(bad, F.raise_error(msg)).otherwise(F.col(k)).alias(k)
+                            for k in keys]))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            check_source: bool = True) -> DataFrame:
     """``source`` rows win whole (NULLs included); unmatched target rows stay.
@@ -33,14 +51,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     non-key column.  A full outer join with per-column coalesce would be
     wrong: it would keep target values where the source has NULLs.
 
+    check_source: the source must be keyed (no NULL, no repeated key); the
+        check runs inside the same job (see ``checked_keys``) and fails it.
+
     Plan: left-anti join of the target against the source *keys only*, then
-    a union.  AQE broadcasts the key set when the measured source is small
-    (``spark.sql.adaptive.autoBroadcastJoinThreshold``); otherwise both
-    sides are hash-partitioned on the key once.  The target is never
+    a union.  AQE broadcasts the key set when its measured size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise both sides
+    are hash-partitioned on the key once (sort-merge).  The target is never
     collected or broadcast.
     """
-    if check_source:
-        check_unique_keys(source, keys)
     src = source.select(*target.columns)
-    kept = target.join(source.select(*keys), on=keys, how="left_anti")
+    src_keys = checked_keys(source, keys) if check_source else source.select(*keys)
+    kept = target.join(src_keys, on=keys, how="left_anti")
     return src.unionByName(kept)

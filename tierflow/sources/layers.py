@@ -87,19 +87,21 @@ class LayerStore:
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
 
     def _layout(self, df: DataFrame, layer: str, table: str,
-                partition_by: list[str] | None) -> tuple[DataFrame, list[str], list[str]]:
-        """Add storage partition columns; return (frame, partition cols, sort cols)."""
+                partition_by: list[str] | None) -> tuple[DataFrame, list[str], list[str], bool]:
+        """Add storage partition columns; return (frame, partition cols, sort
+        cols, rebalance)."""
         if partition_by is None:
             partition_by = C.TABLES[(layer, table)][2] if (layer, table) in C.TABLES else []
         for p in partition_by:
             if p not in df.columns:
                 df = df.withColumn(p, F.expr(C.PARTITION_EXPRS[p]))
-        return df, list(partition_by), C.SORT_WITHIN.get((layer, table), [])
+        return (df, list(partition_by), C.SORT_WITHIN.get((layer, table), []),
+                (layer, table) in C.REBALANCE_ON_WRITE)
 
     def _write(self, df: DataFrame, path: str, mode: str, partition_by: list[str],
-               sort_by: list[str]) -> int:
+               sort_by: list[str], rebalance: bool = False) -> int:
         obs = Observation()
-        if partition_by:
+        if partition_by and rebalance:
             # REBALANCE: one shuffle on the partition columns; AQE merges
             # small output partitions and splits a skewed one (a hot day
             # does not end up in one task), so files are few and even.
@@ -117,10 +119,10 @@ class LayerStore:
                   partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version and commit it; returns row count
         (counted while writing, not by a second pass)."""
-        df, parts, sort_by = self._layout(df, layer, table, partition_by)
+        df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
         cur = self.current_version(layer, table) or 0
         rows = self._write(df, self._version_path(layer, table, cur + 1), "overwrite",
-                           parts, sort_by)
+                           parts, sort_by, rebalance)
         self._commit(layer, table, cur + 1, rows)
         return rows
 
@@ -130,9 +132,9 @@ class LayerStore:
         cur = self.current_version(layer, table)
         if cur is None:
             return self.overwrite(df, layer, table, partition_by)
-        df, parts, sort_by = self._layout(df, layer, table, partition_by)
+        df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
         rows = self._write(df, self._version_path(layer, table, cur), "append",
-                           parts, sort_by)
+                           parts, sort_by, rebalance)
         self._commit(layer, table, cur, rows)
         return rows
 
