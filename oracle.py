@@ -329,6 +329,8 @@ SELECT * FROM tgt_all t WHERE {_NUM} % 3 <> 0
     "items_validity": _with(CHANGES) + _VALIDITY,
     "items_apply_changes": _with(ITEMS, CHANGES, _APPLY)
         + "SELECT * FROM kept UNION ALL SELECT * FROM created",
+    "stream_silver_clicks": _with(CLICKS, _silver_clicks("silver_clicks", "bronze_clicks"))
+        + "SELECT * FROM silver_clicks WHERE event_id IS NOT NULL",
     "run_audit": _with(_RUN) + "\nUNION ALL ".join([
         _rows("bronze", "orders", "bronze_orders"),
         _rows("bronze", "click_events", "raw_clicks"),

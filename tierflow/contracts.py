@@ -27,6 +27,9 @@ RAW_CLICK = _schema(("event_id", S), ("user_id", L), ("session_id", S),
                     ("event_type", S), ("page", S), ("route", S), ("element", S),
                     ("ts", S), ("metadata", CLICK_METADATA))
 
+# A landed click file may carry the delivery time stamped by the collector.
+LANDED_CLICK = T.StructType(RAW_CLICK.fields + [T.StructField("_ingested_at", TS, True)])
+
 BRONZE_ORDERS = _schema(("order_id", L), ("user_id", L), ("status", S),
                         ("total_amount", T.DecimalType(12, 2)), ("created_at", TS),
                         ("updated_at", TS), ("_ingested_at", TS))

@@ -179,6 +179,26 @@ def items_apply_changes(spark, d):
     return apply_changes(td.items(spark, d), td.item_changes(spark, d), run_ts=RUN_TS2)
 
 
+# ---- incremental ----------------------------------------------------------
+def stream_silver_clicks(spark, d):
+    """Two landings (first delivery, then re-deliveries) processed by two
+    scheduled incremental runs of the streaming job; the silver table must
+    equal a full batch recompute (minus the unkeyable NULL-id row)."""
+    from tierflow.streaming import incremental
+    root = scratch_path(spark, "stream")
+    store = LayerStore(spark, f"{root}/tables")
+    for part in ("first", "second"):
+        (td.raw_clicks(spark, d, deliveries=part).write.mode("append")
+           .option("timestampNTZFormat", incremental.NTZ_FORMAT)
+           .json(f"{root}/landing/{part}"))
+        q = incremental.start_clicks(spark, f"{root}/landing/*", store, f"{root}/_checkpoint",
+                                     run_ts=RUN_TS)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return store.read("silver", "click_events")
+
+
 # ---- whole runs -----------------------------------------------------------
 def _full_run(spark, d, name):
     store = _store(spark, name)
@@ -220,6 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "items_low_stock": items_low_stock,
     "items_validity": items_validity,
     "items_apply_changes": items_apply_changes,
+    "stream_silver_clicks": stream_silver_clicks,
     "run_audit": run_audit,
     "contract_check": contract_check,
 }

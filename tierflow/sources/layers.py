@@ -61,6 +61,14 @@ class LayerStore:
         v = log.agg(F.max("version")).first()[0]
         return None if v is None else int(v)
 
+    def last_epoch(self, layer: str, table: str) -> int:
+        """Highest stream epoch committed to a table (-1 if none)."""
+        log = self.log(layer, table)
+        if log is None or "epoch" not in log.columns:
+            return -1
+        v = log.agg(F.max("epoch")).first()[0]
+        return -1 if v is None else int(v)
+
     def exists(self, layer: str, table: str) -> bool:
         return self.current_version(layer, table) is not None
 
@@ -79,11 +87,13 @@ class LayerStore:
         return C.conform(df, schema) if (schema is not None and not raw) else df
 
     # ---- write ----------------------------------------------------------
-    def _commit(self, layer: str, table: str, version: int, rows: int) -> None:
+    def _commit(self, layer: str, table: str, version: int, rows: int,
+                epoch: int | None = None) -> None:
         entry = self.spark.range(1).select(
             F.lit(version).cast("int").alias("version"),
             F.lit(rows).cast("bigint").alias("rows"),
-            F.current_timestamp().alias("committed_at"))
+            F.current_timestamp().alias("committed_at"),
+            F.lit(epoch).cast("bigint").alias("epoch"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
 
     def _layout(self, df: DataFrame, layer: str, table: str,
@@ -116,26 +126,26 @@ class LayerStore:
         return int(obs.get["rows"])
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
-                  partition_by: list[str] | None = None) -> int:
+                  partition_by: list[str] | None = None, epoch: int | None = None) -> int:
         """Write ``df`` as the next version and commit it; returns row count
         (counted while writing, not by a second pass)."""
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
         cur = self.current_version(layer, table) or 0
         rows = self._write(df, self._version_path(layer, table, cur + 1), "overwrite",
                            parts, sort_by, rebalance)
-        self._commit(layer, table, cur + 1, rows)
+        self._commit(layer, table, cur + 1, rows, epoch)
         return rows
 
     def append(self, df: DataFrame, layer: str, table: str,
-               partition_by: list[str] | None = None) -> int:
+               partition_by: list[str] | None = None, epoch: int | None = None) -> int:
         """Append rows to the current version (bronze is append-only)."""
         cur = self.current_version(layer, table)
         if cur is None:
-            return self.overwrite(df, layer, table, partition_by)
+            return self.overwrite(df, layer, table, partition_by, epoch)
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
         rows = self._write(df, self._version_path(layer, table, cur), "append",
                            parts, sort_by, rebalance)
-        self._commit(layer, table, cur, rows)
+        self._commit(layer, table, cur, rows, epoch)
         return rows
 
     def tables(self) -> DataFrame:
