@@ -41,6 +41,8 @@ def test_pipeline_rerun_is_stable(spark):
     assert rep[("silver", "click_events")].null_keys == 0
     audit = {(r.layer, r.table): r.value for r in quality.audit(store).collect()}
     assert audit[("bronze", "click_events")] == 2 * c1["bronze.click_events"]
+    scanned = {(r.layer, r.table): r.value for r in quality.audit(store, scan=True).collect()}
+    assert scanned == audit
 
 
 def test_with_orders_needs_input(spark):
