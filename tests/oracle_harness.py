@@ -79,6 +79,8 @@ if __name__ == "__main__":
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("SESSION_TZ"):   # results must not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     qs, sqls = E.queries(), E.oracle_sql()
     names = sys.argv[1:] or list(qs)
     con = duck(sf)

@@ -36,11 +36,20 @@ def test_parse_instant_any_zone(spark):
 
 
 def test_to_utc_ntz_is_noop_on_ntz_and_lenient_on_text(spark):
-    df = spark.createDataFrame([("2024-01-02 03:04:05", "junk")], "a string, b string")
-    df = df.select(F.col("a").cast("timestamp_ntz").alias("ntz"), "a", "b")
-    r = df.select(K.to_utc_ntz(df, "ntz"), K.to_utc_ntz(df, "a"), K.to_utc_ntz(df, "b")).first()
-    assert r[0] == r[1] == dt.datetime(2024, 1, 2, 3, 4, 5)
-    assert r[2] is None
+    df = spark.createDataFrame([("2024-01-02 03:04:05", "junk", "2024-01-02T05:04:05+02:00",
+                                 "2024-01-02", "2024-01-02 03:04:05Z")],
+                               "a string, b string, z string, d string, zz string")
+    df = df.select(F.col("a").cast("timestamp_ntz").alias("ntz"), "a", "b", "z", "d", "zz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(*[K.to_utc_ntz(df, c) for c in ("ntz", "a", "b", "z", "d", "zz")]).first()
+            assert r[0] == r[1] == r[3] == r[5] == dt.datetime(2024, 1, 2, 3, 4, 5), tz
+            assert r[2] is None
+            assert r[4] == dt.datetime(2024, 1, 2), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
 
 
 def test_first_time(spark):
@@ -72,9 +81,9 @@ def test_typed_null_and_business_key(spark):
 
 def test_date_key_and_day(spark):
     df = spark.createDataFrame([(dt.datetime(2025, 9, 4, 23, 59),), (None,)], "t timestamp_ntz")
-    out = df.select(K.date_key("t"), K.to_day("t")).collect()
-    assert tuple(out[0]) == (20250904, dt.date(2025, 9, 4))
-    assert tuple(out[1]) == (None, None)
+    out = df.select(K.date_key("t"), K.to_day("t"), F.date_format("t", "yyyyMMdd").cast("int")).collect()
+    assert tuple(out[0]) == (20250904, dt.date(2025, 9, 4), 20250904)
+    assert tuple(out[1]) == (None, None, None)
 
 
 def test_placeholder_count(spark):

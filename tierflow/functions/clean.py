@@ -24,6 +24,10 @@ __all__ = [
 # parsed as a zone ("X"), not quoted, so the instant is right in any
 # session time zone.
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ssX"
+# a time of day followed by a zone: Z, +hh, +hh:mm, +hhmm, UTC/GMT(+h) or a
+# region id such as America/New_York
+_ZONED = (r"\d\d:\d\d(:\d\d(\.\d*)?)?\s*"
+          r"(Z|[+-]\d\d(:?\d\d)?|(UTC|GMT)([+-]\d\d?(:?\d\d)?)?|[A-Za-z]+/[A-Za-z_]+)$")
 # JSON attributes pulled out of click metadata in silver, in this order.
 METADATA_PATHS = ("browser", "os", "device", "country", "campaign")
 # -------------------------------------------------------------------------
@@ -71,7 +75,11 @@ def to_utc_ntz(df: DataFrame, name: str) -> Column:
         return utc_ntz(c)
     if isinstance(t, T.DateType):
         return c.cast("timestamp_ntz")
-    return utc_ntz(F.try_to_timestamp(c.cast("string")))
+    text = c.cast("string")
+    # text that names a zone is an instant; zone-less text is UTC wall time
+    # already (never re-read in the session zone)
+    return (F.when(text.rlike(_ZONED), utc_ntz(F.try_to_timestamp(text)))
+             .otherwise(text.try_cast("timestamp_ntz")))
 
 
 def first_time(*cols: Column) -> Column:
@@ -113,8 +121,14 @@ def business_key(c: Column | str) -> Column:
 
 
 def date_key(c: Column | str) -> Column:
-    """Timestamp -> yyyyMMdd as int (NULL stays NULL)."""
-    return F.date_format(_c(c), "yyyyMMdd").cast("int")
+    """Timestamp -> yyyyMMdd as int (NULL stays NULL).
+
+    Same value as ``date_format(ts, 'yyyyMMdd')`` for UTC wall-clock
+    timestamps, computed with integer arithmetic on the date: no string
+    round trip, and no detour through the session time zone.
+    """
+    d = F.to_date(_c(c))
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def to_day(c: Column | str) -> Column:

@@ -18,7 +18,6 @@ from tierflow import contracts as C
 # ---- fixed values -------------------------------------------------------
 RUN_TS = "2025-01-01 00:00:00"          # load stamp of the reproducible runs
 REDELIVERY_TS = "2025-01-02 00:00:00"   # load stamp of re-delivered orders
-ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"     # how the collector writes times
 # -------------------------------------------------------------------------
 
 
@@ -31,7 +30,9 @@ def _s(c: Column) -> Column:
 
 
 def _iso(ts: Column) -> Column:
-    return F.date_format(ts, ISO_OUT)
+    """timestamp_ntz -> 'yyyy-MM-ddTHH:mm:ssZ' (seconds), without passing
+    through the session time zone."""
+    return F.concat(F.regexp_replace(F.substring(ts.cast("string"), 1, 19), " ", "T"), F.lit("Z"))
 
 
 def _mod(c: Column | str, m: int) -> Column:
