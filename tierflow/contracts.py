@@ -116,13 +116,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     A missing column is an error; use ``col_or_null`` upstream when a
     source may legitimately lack a column.
     """
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    have = {f.name: f.dataType for f in df.schema.fields}   # one schema fetch
+    missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"columns missing for contract: {missing}")
+    if [f.name for f in schema.fields] == list(have) and all(
+            have[f.name] == f.dataType for f in schema.fields):
+        return df
     cols: list[Column] = []
     for f in schema.fields:
         c = F.col(f.name)
-        if df.schema[f.name].dataType != f.dataType:
+        if have[f.name] != f.dataType:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
     return df.select(*cols)

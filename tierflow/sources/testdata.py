@@ -10,7 +10,7 @@ mirrors every rule here).  Everything scales with the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow import contracts as C
@@ -25,18 +25,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _sel(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Project with SQL expressions (one call per projection)."""
+    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in cols.items()])
 
 
-def _iso(ts: Column) -> Column:
-    """timestamp_ntz -> 'yyyy-MM-ddTHH:mm:ssZ' (seconds), without passing
-    through the session time zone."""
-    return F.concat(F.regexp_replace(F.substring(ts.cast("string"), 1, 19), " ", "T"), F.lit("Z"))
+# zone-free 'yyyy-MM-ddTHH:mm:ssZ' of a timestamp_ntz expression
+def _iso(ts: str) -> str:
+    return f"concat(replace(substring(CAST({ts} AS STRING), 1, 19), ' ', 'T'), 'Z')"
 
 
-def _mod(c: Column | str, m: int) -> Column:
-    return (F.col(c) if isinstance(c, str) else c) % m
+_EV = ("event_id AS n", "user_id AS uid", "event_type AS et", "ts AS t0",
+       "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+
+
+def _click_common() -> dict[str, str]:
+    return {
+        "event_id": "CASE WHEN n % 1000 = 999 THEN NULL ELSE 'e' || CAST(n AS STRING) END",
+        "session_id": "'s-' || CAST(uid AS STRING) || '-' || CAST(n % 3 AS STRING)",
+        "element": "CASE WHEN et = 'click' THEN '#btn-' || CAST(n % 11 AS STRING) END",
+    }
+
+
+def _meta(browser: str, device: str) -> str:
+    return f"""named_struct(
+        'browser', {browser},
+        'campaign', CASE WHEN n % 7 = 0 THEN 'spring-' || CAST(k % 5 AS STRING) END,
+        'country', CAST(NULL AS STRING),
+        'device', {device},
+        'k', k,
+        'os', CASE WHEN uid % 2 = 0 THEN 'linux' ELSE 'ios' END,
+        'search_term', CASE WHEN et = 'view' THEN 'q' || CAST(k AS STRING) ELSE '' END)"""
+
+
+_CLICK_ORDER = ["event_id", "user_id", "session_id", "event_type", "page", "route",
+                "element", "ts", "metadata", "_ingested_at"]
 
 
 def raw_clicks(spark: SparkSession, sf_dir: str, deliveries: str = "all") -> DataFrame:
@@ -48,86 +71,60 @@ def raw_clicks(spark: SparkSession, sf_dir: str, deliveries: str = "all") -> Dat
     (ties then go to the later ``_ingested_at``).
     deliveries: "all", "first" or "second".
     """
-    e = table(spark, sf_dir, "events")
-    n, uid, et, ts = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("ts")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    event_id = F.when(_mod(n, 1000) == 999, F.lit(None)).otherwise(F.concat(F.lit("e"), _s(n)))
-    session = F.concat(F.lit("s-"), _s(uid), F.lit("-"), _s(_mod(n, 3)))
-    p7 = _s(_mod(uid, 7))
-    element = F.when(et == "click", F.concat(F.lit("#btn-"), _s(_mod(n, 11))))
-
-    def meta(browser: Column, device: Column) -> Column:
-        return F.struct(
-            browser.alias("browser"),
-            F.when(_mod(n, 7) == 0, F.concat(F.lit("spring-"), _s(k % 5))).alias("campaign"),
-            F.lit(None).cast("string").alias("country"),
-            device.alias("device"),
-            k.alias("k"),
-            F.when(_mod(uid, 2) == 0, F.lit("linux")).otherwise(F.lit("ios")).alias("os"),
-            F.when(et == "view", F.concat(F.lit("q"), _s(k))).otherwise(F.lit("")).alias("search_term"))
-
-    first = e.select(
-        event_id.alias("event_id"),
-        F.when(_mod(n, 17) == 0, F.lit(None)).otherwise(uid).alias("user_id"),
-        session.alias("session_id"),
-        F.when(_mod(n, 97) == 0, F.concat(F.lit("\t"), et))
-         .when(_mod(n, 4) == 0, F.concat(F.lit("  "), F.upper(et), F.lit(" ")))
-         .when(_mod(n, 4) == 1, F.upper(et))
-         .otherwise(et).alias("event_type"),
-        F.when(_mod(n, 3) == 0, F.concat(F.lit(" //"), et, F.lit("///p"), p7, F.lit(" ")))
-         .otherwise(F.concat(F.lit("/"), et, F.lit("/p"), p7)).alias("page"),
-        F.when(_mod(n, 5) == 0, F.concat(F.lit("/"), et, F.lit("?next=http://shop.example.com//p"), p7))
-         .otherwise(F.concat(F.lit("//"), et, F.lit("//"))).alias("route"),
-        element.alias("element"),
-        F.when(_mod(n, 13) == 0, F.lit(None))
-         .when(_mod(n, 29) == 0, F.lit("not-a-time"))
-         .otherwise(_iso(ts)).alias("ts"),
-        F.when(_mod(n, 19) == 0, F.lit(None))
-         .otherwise(meta(F.when(_mod(n, 3) == 0, F.lit("chrome"))
-                          .when(_mod(n, 3) == 1, F.lit("firefox"))
-                          .otherwise(F.lit("safari")),
-                         F.when(_mod(n, 2) == 0, F.lit("desktop")).otherwise(F.lit("mobile"))))
-         .alias("metadata"),
-        (ts + F.expr("INTERVAL 1 HOUR")).alias("_ingested_at"))
-
-    second = e.where(_mod(n, 5) == 0).select(
-        event_id.alias("event_id"),
-        uid.alias("user_id"),
-        session.alias("session_id"),
-        et.alias("event_type"),
-        F.concat(F.lit("/"), et, F.lit("/p"), p7).alias("page"),
-        F.concat(F.lit("/"), et).alias("route"),
-        element.alias("element"),
-        F.when(_mod(n, 10) == 0, F.lit(None))
-         .when(_mod(n, 20) == 5, _iso(ts - F.expr("INTERVAL 1 SECOND")))
-         .when(_mod(n, 15) == 0, _iso(ts + F.expr("INTERVAL 1 SECOND")))
-         .otherwise(_iso(ts)).alias("ts"),
-        meta(F.lit("edge"),
-             F.when(_mod(n, 2) == 0, F.lit("mobile")).otherwise(F.lit("desktop"))).alias("metadata"),
-        (ts + F.expr("INTERVAL 2 HOURS")).alias("_ingested_at"))
-
+    ev = table(spark, sf_dir, "events").selectExpr(*_EV)
+    p7 = "CAST(uid % 7 AS STRING)"
+    first = dict(_click_common(), **{
+        "user_id": "CASE WHEN n % 17 = 0 THEN NULL ELSE uid END",
+        "event_type": """CASE WHEN n % 97 = 0 THEN char(9) || et
+                              WHEN n % 4 = 0 THEN '  ' || upper(et) || ' '
+                              WHEN n % 4 = 1 THEN upper(et) ELSE et END""",
+        "page": f"""CASE WHEN n % 3 = 0 THEN ' //' || et || '///p' || {p7} || ' '
+                         ELSE '/' || et || '/p' || {p7} END""",
+        "route": f"""CASE WHEN n % 5 = 0 THEN '/' || et || '?next=http://shop.example.com//p' || {p7}
+                          ELSE '//' || et || '//' END""",
+        "ts": f"""CASE WHEN n % 13 = 0 THEN NULL WHEN n % 29 = 0 THEN 'not-a-time'
+                       ELSE {_iso('t0')} END""",
+        "metadata": f"""CASE WHEN n % 19 = 0 THEN NULL ELSE {_meta(
+            "CASE WHEN n % 3 = 0 THEN 'chrome' WHEN n % 3 = 1 THEN 'firefox' ELSE 'safari' END",
+            "CASE WHEN n % 2 = 0 THEN 'desktop' ELSE 'mobile' END")} END""",
+        "_ingested_at": "t0 + INTERVAL 1 HOUR",
+    })
+    second = dict(_click_common(), **{
+        "user_id": "uid",
+        "event_type": "et",
+        "page": f"'/' || et || '/p' || {p7}",
+        "route": "'/' || et",
+        "ts": f"""CASE WHEN n % 10 = 0 THEN NULL
+                       WHEN n % 20 = 5 THEN {_iso('t0 - INTERVAL 1 SECOND')}
+                       WHEN n % 15 = 0 THEN {_iso('t0 + INTERVAL 1 SECOND')}
+                       ELSE {_iso('t0')} END""",
+        "metadata": _meta("'edge'", "CASE WHEN n % 2 = 0 THEN 'mobile' ELSE 'desktop' END"),
+        "_ingested_at": "t0 + INTERVAL 2 HOURS",
+    })
+    d1 = _sel(ev, {c: first[c] for c in _CLICK_ORDER})
+    d2 = _sel(ev.where("n % 5 = 0"), {c: second[c] for c in _CLICK_ORDER})
     if deliveries == "first":
-        return first
+        return d1
     if deliveries == "second":
-        return second
-    return first.unionByName(second)
+        return d2
+    return d1.unionByName(d2)
+
+
+_ORDER_COLS = ["order_id", "user_id", "status", "total_amount", "created_at", "updated_at"]
 
 
 def oltp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The OLTP ``orders`` table the bronze job snapshots (one row per order)."""
-    o = table(spark, sf_dir, "orders")
-    key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    return o.select(
-        key.alias("order_id"),
-        F.when(_mod(key, 41) == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("user_id"),
-        F.when(_mod(key, 3) == 0, F.concat(F.lit("  "), F.col("o_orderstatus"), F.lit(" ")))
-         .when(_mod(key, 3) == 1, F.lower("o_orderstatus"))
-         .otherwise(F.col("o_orderstatus")).alias("status"),
-        F.when(_mod(key, 37) == 0, F.lit(None))
-         .otherwise(F.col("o_totalprice").cast("decimal(12,2)")).alias("total_amount"),
-        F.when(_mod(key, 13) == 0, F.lit(None)).otherwise(day).alias("created_at"),
-        F.when(_mod(key, 26) == 0, F.lit(None))
-         .otherwise(day + F.expr("INTERVAL 1 DAY")).alias("updated_at"))
+    return _sel(table(spark, sf_dir, "orders"), {
+        "order_id": "o_orderkey",
+        "user_id": "CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_custkey END",
+        "status": """CASE WHEN o_orderkey % 3 = 0 THEN '  ' || o_orderstatus || ' '
+                          WHEN o_orderkey % 3 = 1 THEN lower(o_orderstatus)
+                          ELSE o_orderstatus END""",
+        "total_amount": "CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END",
+        "created_at": "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END",
+        "updated_at": "CASE WHEN o_orderkey % 26 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 DAY END",
+    })
 
 
 def bronze_orders_input(spark: SparkSession, sf_dir: str, redeliveries: bool = False) -> DataFrame:
@@ -137,19 +134,16 @@ def bronze_orders_input(spark: SparkSession, sf_dir: str, redeliveries: bool = F
     base = oltp_orders(spark, sf_dir).withColumn("_ingested_at", F.lit(RUN_TS).cast("timestamp_ntz"))
     if not redeliveries:
         return base
-    o = table(spark, sf_dir, "orders")
-    key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    again = o.where(_mod(key, 7) == 0).select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.lit(" Returned").alias("status"),
-        (F.col("o_totalprice").cast("decimal(12,2)") + 1).cast("decimal(12,2)").alias("total_amount"),
-        F.when(_mod(key, 14) == 0, day + F.expr("INTERVAL 2 DAYS"))
-         .when(_mod(key, 21) == 0, F.lit(None))
-         .otherwise(day).alias("created_at"),
-        F.when(_mod(key, 21) == 0, F.lit(None))
-         .otherwise(day + F.expr("INTERVAL 1 DAY")).alias("updated_at"),
-        F.lit(REDELIVERY_TS).cast("timestamp_ntz").alias("_ingested_at"))
+    again = _sel(table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0"), {
+        "order_id": "o_orderkey",
+        "user_id": "o_custkey",
+        "status": "' Returned'",
+        "total_amount": "CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2))",
+        "created_at": """CASE WHEN o_orderkey % 14 = 0 THEN o_orderdate + INTERVAL 2 DAYS
+                              WHEN o_orderkey % 21 = 0 THEN NULL ELSE o_orderdate END""",
+        "updated_at": "CASE WHEN o_orderkey % 21 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 DAY END",
+        "_ingested_at": f"CAST('{REDELIVERY_TS}' AS TIMESTAMP_NTZ)",
+    })
     return base.unionByName(again)
 
 
@@ -157,31 +151,48 @@ def legacy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older orders feed with another shape: customer_id/amount named as
     in silver, the day as ``yyyy-MM-dd`` text in ``order_date``, and no
     currency/order_ts/created_at/updated_at/_ingested_at at all."""
-    o = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    return o.select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
-        F.when(_mod(key, 11) == 0, F.lit("unknown"))
-         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"))
+    return _sel(table(spark, sf_dir, "orders"), {
+        "order_id": "o_orderkey",
+        "customer_id": "o_custkey",
+        "status": "o_orderstatus",
+        "amount": "CAST(o_totalprice AS DECIMAL(12,2))",
+        "order_date": """CASE WHEN o_orderkey % 11 = 0 THEN 'unknown'
+                              ELSE substring(CAST(o_orderdate AS STRING), 1, 10) END""",
+    })
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item snapshot from ``part`` (quantity NULL every 101st, -1 every 89th,
     blank name every 103rd)."""
-    p = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    return p.select(
-        key.alias("id"),
-        F.when(_mod(key, 103) == 0, F.lit("")).otherwise(F.col("p_name")).alias("name"),
-        F.col("p_brand").alias("sku"),
-        F.when(_mod(key, 101) == 0, F.lit(None).cast("int"))
-         .when(_mod(key, 89) == 0, F.lit(-1))
-         .otherwise(F.col("p_size")).cast("int").alias("quantity"),
-        F.col("p_type").alias("location"),
-        F.lit(RUN_TS).cast("timestamp_ntz").alias("updated_at"))
+    return _sel(table(spark, sf_dir, "part"), {
+        "id": "p_partkey",
+        "name": "CASE WHEN p_partkey % 103 = 0 THEN '' ELSE p_name END",
+        "sku": "p_brand",
+        "quantity": """CAST(CASE WHEN p_partkey % 101 = 0 THEN NULL WHEN p_partkey % 89 = 0 THEN -1
+                                 ELSE p_size END AS INT)""",
+        "location": "p_type",
+        "updated_at": f"CAST('{RUN_TS}' AS TIMESTAMP_NTZ)",
+    })
+
+
+# class = p_partkey % 10 -> (seq step, op, id, name, sku, quantity, location)
+_NS, _NI = "CAST(NULL AS STRING)", "CAST(NULL AS INT)"
+_CHANGES = [
+    (0, 1, "delete", "p_partkey", _NS, _NS, _NI, _NS),
+    (1, 1, "update", "p_partkey", "CASE WHEN p_partkey % 30 = 1 THEN '' ELSE upper(p_name) END",
+     "p_brand", "p_size - 3", "p_type"),
+    (2, 1, "update", "p_partkey", "p_name", "p_brand", "p_size + 1", "p_type"),
+    (2, 2, "delete", "p_partkey", _NS, _NS, _NI, _NS),
+    (3, 1, "delete", "p_partkey", _NS, _NS, _NI, _NS),
+    (3, 2, "update", "p_partkey", "p_name", "p_brand", "p_size", "p_type"),
+    (4, 1, "update", "p_partkey", "'first'", "p_brand", "1", "p_type"),
+    (4, 2, "update", "p_partkey", "p_name", "p_brand", "0", _NS),
+    (5, 1, "create", "NULL", "'new ' || p_name", "p_brand", "p_size % 7",
+     "'WH-' || CAST(p_partkey % 4 AS STRING)"),
+    (6, 1, "create", "p_partkey", "p_name", "p_brand", "p_size", "p_type"),
+    (7, 1, "update", "-p_partkey - 1", "p_name", "p_brand", "p_size", "p_type"),
+    (8, 1, "delete", "-p_partkey - 1", _NS, _NS, _NI, _NS),
+]
 
 
 def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,43 +204,17 @@ def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     8 delete of an unknown id · 9 nothing.
     """
     p = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    c = _mod(key, 10)
-    seq = key * 10
-    unknown = -key - 1
-    none_s, none_i = F.lit(None).cast("string"), F.lit(None).cast("int")
-
-    def change(where: Column, step: int, op: str, id_: Column, name: Column, sku: Column,
-               qty: Column, loc: Column) -> DataFrame:
-        return p.where(where).select(
-            (seq + step).alias("seq"), F.lit(op).alias("op"), id_.cast("bigint").alias("id"),
-            name.alias("name"), sku.alias("sku"), qty.cast("int").alias("quantity"),
-            loc.alias("location"))
-
-    upd_name = F.when(_mod(key, 30) == 1, F.lit("")).otherwise(F.upper("p_name"))
-    parts = [
-        change(c == 0, 1, "delete", key, none_s, none_s, none_i, none_s),
-        change(c == 1, 1, "update", key, upd_name, F.col("p_brand"), F.col("p_size") - 3, F.col("p_type")),
-        change(c == 2, 1, "update", key, F.col("p_name"), F.col("p_brand"), F.col("p_size") + 1, F.col("p_type")),
-        change(c == 2, 2, "delete", key, none_s, none_s, none_i, none_s),
-        change(c == 3, 1, "delete", key, none_s, none_s, none_i, none_s),
-        change(c == 3, 2, "update", key, F.col("p_name"), F.col("p_brand"), F.col("p_size"), F.col("p_type")),
-        change(c == 4, 1, "update", key, F.lit("first"), F.col("p_brand"), F.lit(1), F.col("p_type")),
-        change(c == 4, 2, "update", key, F.col("p_name"), F.col("p_brand"), F.lit(0), none_s),
-        change(c == 5, 1, "create", F.lit(None), F.concat(F.lit("new "), F.col("p_name")),
-               F.col("p_brand"), _mod("p_size", 7), F.concat(F.lit("WH-"), _s(_mod(key, 4)))),
-        change(c == 6, 1, "create", key, F.col("p_name"), F.col("p_brand"), F.col("p_size"), F.col("p_type")),
-        change(c == 7, 1, "update", unknown, F.col("p_name"), F.col("p_brand"), F.col("p_size"), F.col("p_type")),
-        change(c == 8, 1, "delete", unknown, none_s, none_s, none_i, none_s),
-    ]
+    parts = [_sel(p.where(f"p_partkey % 10 = {cls}"), {
+        "seq": f"p_partkey * 10 + {step}", "op": f"'{op}'", "id": f"CAST({id_} AS BIGINT)",
+        "name": name, "sku": sku, "quantity": f"CAST({qty} AS INT)", "location": loc})
+        for cls, step, op, id_, name, sku, qty, loc in _CHANGES]
     out = parts[0]
     for d in parts[1:]:
         out = out.unionByName(d)
-    return C.conform(out, C.ITEM_CHANGES)
+    return out
 
 
 def wanted_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids asked for by a lookup: parts ordered in quantity > 45 (repeats
     and unknown ids included, as a real request log would have)."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_quantity") > 45).select(F.col("l_partkey").alias("id"))
+    return table(spark, sf_dir, "lineitem").where("l_quantity > 45").selectExpr("l_partkey AS id")
