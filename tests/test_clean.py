@@ -68,9 +68,17 @@ def test_json_paths_edge_documents(spark):
             ("not json",), ('{"browser":"chrome","os":"ios"}',), ('{"browser":5}',)]
     df = spark.createDataFrame(docs, "j string")
     for once in (True, False):
-        out = [tuple(r) for r in df.select(*K.json_paths("j", ("browser", "os"), parse_once=once)).collect()]
+        out = [tuple(r) for r in K.with_json_fields(df, "j", ("browser", "os"), parse_once=once)
+               .select("browser", "os").collect()]
         assert out == [(None, None), (None, None), (None, None), ('{"a":1}', None),
                        (None, None), ("chrome", "ios"), ("5", None)], once
+    assert [tuple(r) for r in df.select(*K.json_paths("j", ("browser", "os"))).collect()] == out
+
+
+def test_json_parsed_once_in_plan(spark):
+    df = spark.createDataFrame([('{"browser":"x"}',)], "j string")
+    plan = K.with_json_fields(df, "j")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_typed_null_and_business_key(spark):

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.clean import collapse_slashes, json_paths, norm_lower
+from tierflow.functions.clean import collapse_slashes, norm_lower, with_json_fields
 from tierflow.operators.changes import apply_changes
 from tierflow.operators.items import lookup, low_stock, validity
 from tierflow.operators.upsert import upsert
@@ -84,10 +84,9 @@ def clean_paths(spark, d):
 
 
 def json_extract(spark, d):
-    b = bronze_clicks(spark, d)
-    return b.select("event_id", "_ingested_at",
-                    *json_paths("metadata_json", ("browser", "os", "device", "country",
-                                                  "campaign", "search_term")))
+    names = ("browser", "os", "device", "country", "campaign", "search_term")
+    b = bronze_clicks(spark, d).select("event_id", "_ingested_at", "metadata_json")
+    return with_json_fields(b, "metadata_json", names).select("event_id", "_ingested_at", *names)
 
 
 # ---- silver ---------------------------------------------------------------

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow import contracts as C
-from tierflow.functions.clean import (col_or_null, collapse_slashes, first_time,
-                                      json_paths, load_stamp, norm_lower, to_utc_ntz,
-                                      typed_null)
+from tierflow.functions.clean import (METADATA_PATHS, col_or_null, collapse_slashes,
+                                      first_time, load_stamp, norm_lower, to_utc_ntz,
+                                      typed_null, with_json_fields)
 from tierflow.operators.dedup import latest_per_key
 
 DEDUP_ORDER_ORDERS = ["order_ts_utc", "_ingested_at"]
@@ -70,13 +70,13 @@ def clicks(bronze: DataFrame, run_ts=None, null_keys: str = "keep") -> DataFrame
             "element", "metadata_json", "_ingested_at"]
     keyed = bronze.select(*cols, to_utc_ntz(bronze, "ts").alias("ts_utc"))
     latest = latest_per_key(keyed, ["event_id"], DEDUP_ORDER_CLICKS, null_keys=null_keys)
-    out = latest.select(
+    out = with_json_fields(latest, "metadata_json").select(
         "event_id", "user_id", "session_id",
         norm_lower("event_type").alias("event_type"),
         collapse_slashes("page").alias("page_path"),
         collapse_slashes("route").alias("route_path"),
         "element", "ts_utc",
-        *json_paths("metadata_json"),
+        *METADATA_PATHS,
         "metadata_json", "_ingested_at",
         load_stamp(run_ts).alias("_processed_at"))
     return C.conform(out, C.SILVER_CLICKS)
