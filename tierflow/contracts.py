@@ -71,7 +71,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
     ("bronze", "orders"): (BRONZE_ORDERS, ["order_id"], []),
     ("bronze", "click_events"): (BRONZE_CLICKS, [], ["_ingest_date"]),
     ("silver", "orders"): (SILVER_ORDERS, ["order_id"], []),
-    ("silver", "click_events"): (SILVER_CLICKS, ["event_id"], []),
+    ("silver", "click_events"): (SILVER_CLICKS, ["event_id"], ["_event_date"]),
     ("silver", "click_events_rejected"): (SILVER_CLICKS, [], []),
     ("gold", "dim_user"): (DIM_USER, ["user_id"], []),
     ("gold", "fact_orders"): (FACT_ORDERS, ["order_id"], ["order_month"]),
@@ -87,6 +87,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
 # without one folder (and at least one file) per day.
 PARTITION_EXPRS: dict[str, str] = {
     "_ingest_date": "to_date(_ingested_at)",
+    "_event_date": "to_date(ts_utc)",
     "order_month": "CAST(order_date_key DIV 100 AS INT)",
     "event_month": "CAST(event_date_key DIV 100 AS INT)",
 }

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.upsert import upsert
 from tierflow.plans import bronze, gold, silver
 from tierflow.sources.layers import LayerStore
 
@@ -19,7 +18,8 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     * silver.orders (only ``with_orders``): cleaned + de-duplicated stage,
       upserted on order_id.
     * silver.click_events: cleaned + de-duplicated stage, upserted on
-      event_id.  Rows whose event_id is NULL cannot be keyed; they go to
+      event_id; only the event days it touches are rewritten.  Rows whose
+      event_id is NULL cannot be keyed; they go to
       ``silver.click_events_rejected`` instead of being dropped.
     * gold: dim_user, fact_orders, fact_clicks, orders_daily_revenue,
       rebuilt in full each run (idempotent).
@@ -39,15 +39,15 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
 
     if with_orders:
         stage = silver.orders(store.read("bronze", "orders"), run_ts, dedup=True)
-        merged = upsert(store.read("silver", "orders"), stage, ["order_id"])
-        counts["silver.orders"] = store.overwrite(merged, "silver", "orders")
+        store.upsert(stage, "silver", "orders")
+        counts["silver.orders"] = store._rows("silver", "orders")
 
     stage = silver.clicks(store.read("bronze", "click_events"), run_ts)
     keyed = stage.where(F.col("event_id").isNotNull())
     counts["silver.click_events_rejected"] = store.overwrite(
         stage.where(F.col("event_id").isNull()), "silver", "click_events_rejected")
-    merged = upsert(store.read("silver", "click_events"), keyed, ["event_id"])
-    counts["silver.click_events"] = store.overwrite(merged, "silver", "click_events")
+    store.upsert(keyed, "silver", "click_events")
+    counts["silver.click_events"] = store._rows("silver", "click_events")
 
     clicks = gold.prepare_clicks(store.read("silver", "click_events"))
     orders = gold.prepare_orders(store.read("bronze", "orders"))

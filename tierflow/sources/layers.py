@@ -11,15 +11,24 @@ committed_at).  Readers take the highest committed version, so
   and a re-run gives the same result.
 
 Appends (bronze) go into the current version folder instead.
+
+Keyed upserts into a partitioned table (``upsert``) rewrite only the
+partitions that hold a key of the source now or will hold one afterwards,
+in place (dynamic partition overwrite), and log the change in row count.
+An upsert is idempotent, so a run interrupted between partition commits
+converges when re-run.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
+from tierflow.operators.upsert import checked_keys, upsert as upsert_frames
 
 
 class LayerStore:
@@ -45,6 +54,11 @@ class LayerStore:
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs.exists(p)
 
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def log(self, layer: str, table: str) -> DataFrame | None:
         path = self._log_path(layer, table)
         if not self._exists(path):
@@ -148,6 +162,96 @@ class LayerStore:
         self._commit(layer, table, cur, rows, epoch)
         return rows
 
+    def upsert(self, source: DataFrame, layer: str, table: str,
+               keys: list[str] | None = None, epoch: int | None = None) -> int:
+        """Upsert ``source`` into a stored table on ``keys`` (default: the
+        contract keys); returns the change in row count.
+
+        Unpartitioned (or not yet written) tables get a new full version.
+        For a partitioned table only the touched partitions are read,
+        merged and rewritten:
+
+        1. touched partitions = those of the source rows, plus those where
+           the source's keys live now (a semi-join over the target's key and
+           partition columns only: a row whose time changed moves partition,
+           and its old copy must go);
+        2. merged = source + (touched target rows whose key is not in the
+           source), written once to a staging table under the shared
+           checkpoint folder (lineage cut: the job overwrites what it reads);
+        3. the staging rows replace the touched partitions (dynamic
+           partition overwrite); untouched partitions are not read or
+           written.
+
+        The list of touched partition values goes through the driver; it
+        has at most one row per partition of the table.
+        """
+        keys = keys or C.keys_of(layer, table)
+        parts = C.TABLES[(layer, table)][2] if (layer, table) in C.TABLES else []
+        cur = self.current_version(layer, table)
+        schema = C.schema_of(layer, table)
+        if cur is None or not parts:
+            merged = upsert_frames(self.read(layer, table), C.conform(source, schema), keys)
+            before = 0 if cur is None else self._rows(layer, table)
+            return self.overwrite(merged, layer, table, epoch=epoch) - before
+
+        path = self._version_path(layer, table, cur)
+        src, _, _, _ = self._layout(C.conform(source, schema), layer, table, None)
+        target = self.spark.read.parquet(path)
+        columns = target.columns
+        src_keys = checked_keys(src, keys)
+        moved_from = target.select(*keys, *parts).join(src_keys, keys, "left_semi").select(*parts)
+        touched = moved_from.unionByName(src.select(*parts)).distinct().collect()
+        if not touched:
+            return 0
+        matches = []
+        for row in touched:
+            match = F.lit(True)
+            for p in parts:
+                v = row[p]
+                match = match & (F.col(p).isNull() if v is None else (F.col(p) == F.lit(v)))
+            matches.append(match)
+        cond = F.lit(False)
+        for m in matches:
+            cond = cond | m
+        removed, added = Observation(), Observation()
+        old_rows = target.where(cond).observe(removed, F.count(F.lit(1)).alias("n"))
+        merged = (src.select(*columns)
+                  .unionByName(old_rows.join(src_keys, keys, "left_anti").select(*columns))
+                  .observe(added, F.count(F.lit(1)).alias("n")))
+        staging = f"{self.spark.conf.get('spark.checkpoint.dir', None) or self.root}" \
+                  f"/tierflow-staging/{layer}-{table}-{uuid.uuid4().hex[:12]}"
+        merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
+        staged = self.spark.read.schema(target.schema).parquet(staging).select(*columns)
+        (staged.sortWithinPartitions(*parts)
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*parts).parquet(path))
+        # dynamic overwrite only replaces partitions that received rows: a
+        # touched partition left empty (its rows all moved) is removed here
+        kept_parts = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+        emptied = [m for row, m in zip(touched, matches)
+                   if tuple(row[p] for p in parts) not in kept_parts]
+        if emptied:
+            gone = F.lit(False)
+            for m in emptied:
+                gone = gone | m
+            # folders of the old files in those partitions (pruned scan of
+            # the pre-upsert listing; one row per folder comes back)
+            folders = (target.where(gone)
+                       .select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("d"))
+                       .distinct().collect())
+            for r in folders:
+                self._delete(r.d)
+        delta = int(added.get["n"]) - int(removed.get["n"])
+        self._commit(layer, table, cur, delta, epoch)
+        return delta
+
+    def _rows(self, layer: str, table: str) -> int:
+        """Row count of the current version, from the commit log."""
+        log = self.log(layer, table)
+        cur = self.current_version(layer, table)
+        v = log.where(F.col("version") == cur).agg(F.sum("rows")).first()[0]
+        return int(v or 0)
+
     def tables(self) -> DataFrame:
         """(layer, table, version, rows) of every committed table version
         (the row count of the last commit of that version)."""

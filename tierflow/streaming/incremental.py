@@ -7,7 +7,8 @@ handed to the batch functions through ``foreachBatch``:
 2. silver: the batch is cleaned and de-duplicated, then merged with the
    silver rows it touches (a left-semi join on event_id), so the latest
    delivery wins across batches exactly as in a full recompute, even
-   when an older re-delivery arrives late; the result is upserted.
+   when an older re-delivery arrives late; the result is upserted,
+   rewriting only the event days it touches.
    Rows whose event_id is NULL go to ``silver.click_events_rejected``.
 
 Each commit records the micro-batch epoch.  A batch replayed after a
@@ -25,7 +26,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import contracts as C
 from tierflow.operators.dedup import latest_per_key
-from tierflow.operators.upsert import upsert
 from tierflow.plans import bronze, silver
 from tierflow.sources.layers import LayerStore
 
@@ -60,8 +60,7 @@ def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None)
         touched = current.join(keyed.select("event_id"), "event_id", "left_semi")
         latest = latest_per_key(keyed.unionByName(touched), ["event_id"],
                                 silver.DEDUP_ORDER_CLICKS)
-        store.overwrite(upsert(current, latest, ["event_id"]), "silver", "click_events",
-                        epoch=epoch)
+        store.upsert(latest, "silver", "click_events", epoch=epoch)
     finally:
         b.unpersist()
 
