@@ -96,6 +96,11 @@ PARTITION_EXPRS: dict[str, str] = {
 # even.  Bronze appends carry one or two ingest days per batch and are
 # written as they come.
 REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks")}
+# Append-only tables whose rows carry the sequence number of the load that
+# wrote them (storage-only column ``_load_seq``): an incremental reader
+# takes the loads after the last one it processed, and since every file
+# holds one load, parquet min/max statistics skip the older files.
+LOAD_SEQUENCED = {("bronze", "click_events")}
 # Sort order inside the files of each stored table (for row-group pruning).
 SORT_WITHIN: dict[tuple[str, str], list[str]] = {
     ("gold", "fact_orders"): ["order_date_key"],

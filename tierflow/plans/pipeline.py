@@ -10,17 +10,21 @@ from tierflow.sources.layers import LayerStore
 
 
 def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None = None,
-        with_orders: bool = False, run_ts=None) -> dict[str, int]:
+        with_orders: bool = False, run_ts=None, incremental: bool = True) -> dict[str, int]:
     """bronze -> silver (upsert) -> gold, like the runner script.
 
     * bronze.click_events: append, partitioned by ingest day;
       bronze.orders: full snapshot replace (when ``oltp_orders`` is given).
     * silver.orders (only ``with_orders``): cleaned + de-duplicated stage,
       upserted on order_id.
-    * silver.click_events: cleaned + de-duplicated stage, upserted on
-      event_id; only the event days it touches are rewritten.  Rows whose
-      event_id is NULL cannot be keyed; they go to
-      ``silver.click_events_rejected`` instead of being dropped.
+    * silver.click_events: cleaned + de-duplicated stage, merged on
+      event_id so that the latest delivery wins (by ts, then _ingested_at)
+      against what silver already holds; only the event days it touches are
+      rewritten.  incremental=True (default) stages only the bronze loads
+      not merged yet; because the merge keeps the latest delivery, the
+      result equals re-staging all of bronze (incremental=False, the
+      original job's way).  Rows whose event_id is NULL cannot be keyed;
+      they go to ``silver.click_events_rejected`` instead of being dropped.
     * gold: dim_user, fact_orders, fact_clicks, orders_daily_revenue,
       rebuilt in full each run (idempotent).
 
@@ -42,11 +46,16 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
         store.upsert(stage, "silver", "orders")
         counts["silver.orders"] = store._rows("silver", "orders")
 
-    stage = silver.clicks(store.read("bronze", "click_events"), run_ts)
+    done = store.source_seq("silver", "click_events") if incremental else None
+    loaded = store.last_load_seq("bronze", "click_events")
+    stage = silver.clicks(store.read_loads_after("bronze", "click_events", done), run_ts)
     keyed = stage.where(F.col("event_id").isNotNull())
-    counts["silver.click_events_rejected"] = store.overwrite(
-        stage.where(F.col("event_id").isNull()), "silver", "click_events_rejected")
-    store.upsert(keyed, "silver", "click_events")
+    rejected = stage.where(F.col("event_id").isNull())
+    counts["silver.click_events_rejected"] = (
+        store.append(rejected, "silver", "click_events_rejected") if incremental
+        else store.overwrite(rejected, "silver", "click_events_rejected"))
+    store.upsert(keyed, "silver", "click_events", prefer_latest=silver.DEDUP_ORDER_CLICKS,
+                 source_seq=loaded)
     counts["silver.click_events"] = store._rows("silver", "click_events")
 
     clicks = gold.prepare_clicks(store.read("silver", "click_events"))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
+from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.upsert import checked_keys, upsert as upsert_frames
 
 
@@ -75,6 +76,21 @@ class LayerStore:
         v = log.agg(F.max("version")).first()[0]
         return None if v is None else int(v)
 
+    def _log_max(self, layer: str, table: str, column: str) -> int | None:
+        log = self.log(layer, table)
+        if log is None or column not in log.columns:
+            return None
+        v = log.agg(F.max(column)).first()[0]
+        return None if v is None else int(v)
+
+    def last_load_seq(self, layer: str, table: str) -> int | None:
+        """Sequence number of the latest load into a sequenced table."""
+        return self._log_max(layer, table, "load_seq")
+
+    def source_seq(self, layer: str, table: str) -> int | None:
+        """Highest source load merged into this table (None: none yet)."""
+        return self._log_max(layer, table, "source_seq")
+
     def last_epoch(self, layer: str, table: str) -> int:
         """Highest stream epoch committed to a table (-1 if none)."""
         log = self.log(layer, table)
@@ -102,12 +118,18 @@ class LayerStore:
 
     # ---- write ----------------------------------------------------------
     def _commit(self, layer: str, table: str, version: int, rows: int,
-                epoch: int | None = None) -> None:
+                epoch: int | None = None, load_seq: int | None = None,
+                source_seq: int | None = None) -> None:
+        """Append one row to the table's commit log.  load_seq: sequence
+        number of this load (sequenced tables); source_seq: highest load of
+        the source table merged into this table so far."""
         entry = self.spark.range(1).select(
             F.lit(version).cast("int").alias("version"),
             F.lit(rows).cast("bigint").alias("rows"),
             F.current_timestamp().alias("committed_at"),
-            F.lit(epoch).cast("bigint").alias("epoch"))
+            F.lit(epoch).cast("bigint").alias("epoch"),
+            F.lit(load_seq).cast("bigint").alias("load_seq"),
+            F.lit(source_seq).cast("bigint").alias("source_seq"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
 
     def _layout(self, df: DataFrame, layer: str, table: str,
@@ -144,10 +166,11 @@ class LayerStore:
         """Write ``df`` as the next version and commit it; returns row count
         (counted while writing, not by a second pass)."""
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
+        df, seq = self._sequence(df, layer, table)
         cur = self.current_version(layer, table) or 0
         rows = self._write(df, self._version_path(layer, table, cur + 1), "overwrite",
                            parts, sort_by, rebalance)
-        self._commit(layer, table, cur + 1, rows, epoch)
+        self._commit(layer, table, cur + 1, rows, epoch, seq)
         return rows
 
     def append(self, df: DataFrame, layer: str, table: str,
@@ -157,16 +180,39 @@ class LayerStore:
         if cur is None:
             return self.overwrite(df, layer, table, partition_by, epoch)
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
+        df, seq = self._sequence(df, layer, table)
         rows = self._write(df, self._version_path(layer, table, cur), "append",
                            parts, sort_by, rebalance)
-        self._commit(layer, table, cur, rows, epoch)
+        self._commit(layer, table, cur, rows, epoch, seq)
         return rows
 
+    def _sequence(self, df: DataFrame, layer: str, table: str) -> tuple[DataFrame, int | None]:
+        if (layer, table) not in C.LOAD_SEQUENCED:
+            return df, None
+        seq = (self.last_load_seq(layer, table) or 0) + 1
+        return df.withColumn("_load_seq", F.lit(seq).cast("bigint")), seq
+
+    def read_loads_after(self, layer: str, table: str, after: int | None) -> DataFrame:
+        """Rows of a sequenced table written by loads after ``after`` (all
+        rows when None), in the contract schema."""
+        df = self.read(layer, table, raw=True)
+        if after is not None and "_load_seq" in df.columns:
+            df = df.where(F.col("_load_seq") > F.lit(after))
+        return C.conform(df, C.schema_of(layer, table))
+
     def upsert(self, source: DataFrame, layer: str, table: str,
-               keys: list[str] | None = None, epoch: int | None = None) -> int:
+               keys: list[str] | None = None, epoch: int | None = None,
+               prefer_latest: list[str] | None = None,
+               source_seq: int | None = None) -> int:
         """Upsert ``source`` into a stored table on ``keys`` (default: the
         contract keys); returns the change in row count.
 
+        prefer_latest: instead of the source row always winning, the row
+            with the greatest ``prefer_latest`` tuple (NULLs last) wins
+            between the stored and the source row of a key: "latest
+            delivery wins" across runs, so deliveries loaded in any order
+            give one result.
+
         Unpartitioned (or not yet written) tables get a new full version.
         For a partitioned table only the touched partitions are read,
         merged and rewritten:
@@ -175,61 +221,80 @@ class LayerStore:
            the source's keys live now (a semi-join over the target's key and
            partition columns only: a row whose time changed moves partition,
            and its old copy must go);
-        2. merged = source + (touched target rows whose key is not in the
-           source), written once to a staging table under the shared
-           checkpoint folder (lineage cut: the job overwrites what it reads);
+        2. merged = source rows combined with the touched target rows,
+           written once to a staging table under the shared checkpoint
+           folder (lineage cut: the job overwrites what it reads);
         3. the staging rows replace the touched partitions (dynamic
-           partition overwrite); untouched partitions are not read or
-           written.
+           partition overwrite); partitions left empty are removed;
+           untouched partitions are neither read in full nor written.
 
         The list of touched partition values goes through the driver; it
-        has at most one row per partition of the table.
+        has at most one row per partition of the table.  The commit records
+        the row delta and ``source_seq`` (the last source load merged, for
+        incremental readers).
         """
         keys = keys or C.keys_of(layer, table)
-        parts = C.TABLES[(layer, table)][2] if (layer, table) in C.TABLES else []
-        cur = self.current_version(layer, table)
+        part_cols = C.TABLES[(layer, table)][2] if (layer, table) in C.TABLES else []
         schema = C.schema_of(layer, table)
-        if cur is None or not parts:
-            merged = upsert_frames(self.read(layer, table), C.conform(source, schema), keys)
+        cur = self.current_version(layer, table)
+        src = C.conform(source, schema)
+        src_keys = checked_keys(src, keys)
+        added, removed = Observation(), Observation()
+
+        def combine(stored: DataFrame, columns: list[str]) -> DataFrame:
+            new = src.select(*columns)
+            if prefer_latest:
+                ok = new.join(src_keys, keys, "left_semi")        # fails on bad keys
+                out = latest_per_key(ok.unionByName(stored.select(*columns)), keys, prefer_latest)
+            else:
+                out = new.unionByName(stored.join(src_keys, keys, "left_anti").select(*columns))
+            return out.select(*columns).observe(added, F.count(F.lit(1)).alias("n"))
+
+        if cur is None or not part_cols:
             before = 0 if cur is None else self._rows(layer, table)
-            return self.overwrite(merged, layer, table, epoch=epoch) - before
+            merged = combine(self.read(layer, table), schema.fieldNames())
+            df, parts, sort_by, rebalance = self._layout(merged, layer, table, None)
+            version = (cur or 0) + 1
+            rows = self._write(df, self._version_path(layer, table, version), "overwrite",
+                               parts, sort_by, rebalance)
+            self._commit(layer, table, version, rows, epoch, None, source_seq)
+            return rows - before
 
         path = self._version_path(layer, table, cur)
-        src, _, _, _ = self._layout(C.conform(source, schema), layer, table, None)
         target = self.spark.read.parquet(path)
         columns = target.columns
-        src_keys = checked_keys(src, keys)
-        moved_from = target.select(*keys, *parts).join(src_keys, keys, "left_semi").select(*parts)
-        touched = moved_from.unionByName(src.select(*parts)).distinct().collect()
+        src, _, _, _ = self._layout(src, layer, table, None)
+        moved_from = target.select(*keys, *part_cols).join(src_keys, keys, "left_semi")
+        touched = (moved_from.select(*part_cols).unionByName(src.select(*part_cols))
+                   .distinct().collect())
         if not touched:
+            self._commit(layer, table, cur, 0, epoch, None, source_seq)
             return 0
         matches = []
         for row in touched:
             match = F.lit(True)
-            for p in parts:
+            for p in part_cols:
                 v = row[p]
                 match = match & (F.col(p).isNull() if v is None else (F.col(p) == F.lit(v)))
             matches.append(match)
         cond = F.lit(False)
         for m in matches:
             cond = cond | m
-        removed, added = Observation(), Observation()
         old_rows = target.where(cond).observe(removed, F.count(F.lit(1)).alias("n"))
-        merged = (src.select(*columns)
-                  .unionByName(old_rows.join(src_keys, keys, "left_anti").select(*columns))
-                  .observe(added, F.count(F.lit(1)).alias("n")))
-        staging = f"{self.spark.conf.get('spark.checkpoint.dir', None) or self.root}" \
-                  f"/tierflow-staging/{layer}-{table}-{uuid.uuid4().hex[:12]}"
-        merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
+        merged = combine(old_rows, columns)
+
+        base = self.spark.conf.get("spark.checkpoint.dir", None) or self.root
+        staging = f"{base}/tierflow-staging/{layer}-{table}-{uuid.uuid4().hex[:12]}"
+        merged.write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
         staged = self.spark.read.schema(target.schema).parquet(staging).select(*columns)
-        (staged.sortWithinPartitions(*parts)
+        (staged.sortWithinPartitions(*part_cols)
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*parts).parquet(path))
+               .partitionBy(*part_cols).parquet(path))
         # dynamic overwrite only replaces partitions that received rows: a
         # touched partition left empty (its rows all moved) is removed here
-        kept_parts = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+        kept_parts = {tuple(r) for r in staged.select(*part_cols).distinct().collect()}
         emptied = [m for row, m in zip(touched, matches)
-                   if tuple(row[p] for p in parts) not in kept_parts]
+                   if tuple(row[p] for p in part_cols) not in kept_parts]
         if emptied:
             gone = F.lit(False)
             for m in emptied:
@@ -242,7 +307,7 @@ class LayerStore:
             for r in folders:
                 self._delete(r.d)
         delta = int(added.get["n"]) - int(removed.get["n"])
-        self._commit(layer, table, cur, delta, epoch)
+        self._commit(layer, table, cur, delta, epoch, None, source_seq)
         return delta
 
     def _rows(self, layer: str, table: str) -> int:

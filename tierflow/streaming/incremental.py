@@ -4,11 +4,11 @@ New JSON-lines files are picked up by a file stream; every micro-batch is
 handed to the batch functions through ``foreachBatch``:
 
 1. bronze: the batch is shaped (``bronze.clicks``) and appended;
-2. silver: the batch is cleaned and de-duplicated, then merged with the
-   silver rows it touches (a left-semi join on event_id), so the latest
-   delivery wins across batches exactly as in a full recompute, even
-   when an older re-delivery arrives late; the result is upserted,
-   rewriting only the event days it touches.
+2. silver: the batch is cleaned and de-duplicated, then merged into
+   silver so that the latest delivery wins against the stored row
+   (``LayerStore.upsert(prefer_latest=...)``): the result equals a full
+   recompute even when an older re-delivery arrives late, and only the
+   event days the batch touches are read and rewritten.
    Rows whose event_id is NULL go to ``silver.click_events_rejected``.
 
 Each commit records the micro-batch epoch.  A batch replayed after a
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import contracts as C
-from tierflow.operators.dedup import latest_per_key
 from tierflow.plans import bronze, silver
 from tierflow.sources.layers import LayerStore
 
@@ -53,14 +52,12 @@ def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None)
         if epoch > store.last_epoch("bronze", "click_events"):
             store.append(b, "bronze", "click_events", epoch=epoch)
         stage = silver.clicks(b, run_ts)
-        store.overwrite(stage.where(F.col("event_id").isNull()),
-                        "silver", "click_events_rejected", epoch=epoch)
+        if epoch > store.last_epoch("silver", "click_events_rejected"):
+            store.append(stage.where(F.col("event_id").isNull()),
+                         "silver", "click_events_rejected", epoch=epoch)
         keyed = stage.where(F.col("event_id").isNotNull())
-        current = store.read("silver", "click_events")
-        touched = current.join(keyed.select("event_id"), "event_id", "left_semi")
-        latest = latest_per_key(keyed.unionByName(touched), ["event_id"],
-                                silver.DEDUP_ORDER_CLICKS)
-        store.upsert(latest, "silver", "click_events", epoch=epoch)
+        store.upsert(keyed, "silver", "click_events", epoch=epoch,
+                     prefer_latest=silver.DEDUP_ORDER_CLICKS)
     finally:
         b.unpersist()
 
