@@ -43,7 +43,10 @@ def test_partition_scoped_upsert(spark):
                             ("b", T(2024, 1, 2, 6), None),        # b: replaced, NULL wins
                             ("e", T(2024, 1, 2, 7), "new")])       # e: insert
     expected = sorted(map(tuple, upsert(target, source, ["event_id"]).collect()), key=repr)
-    delta = store.upsert(source, "silver", "click_events")
+    res = store.upsert(source, "silver", "click_events")
+    delta = res.delta
+    assert {d["_event_date"] for d in res.touched} == {
+        dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)}
     got = sorted(map(tuple, store.read("silver", "click_events").collect()), key=repr)
     assert got == expected
     assert delta == 1

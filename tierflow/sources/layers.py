@@ -22,6 +22,7 @@ converges when re-run.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,12 @@ from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.upsert import checked_keys, upsert as upsert_frames
 
 
+@dataclass
+class UpsertResult:
+    delta: int                        # change in row count
+    touched: list[dict] | None        # partitions rewritten; None = whole table
+
+
 class LayerStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -205,7 +212,7 @@ class LayerStore:
                prefer_latest: list[str] | None = None,
                source_seq: int | None = None) -> int:
         """Upsert ``source`` into a stored table on ``keys`` (default: the
-        contract keys); returns the change in row count.
+        contract keys); returns the row delta and the partitions rewritten.
 
         prefer_latest: instead of the source row always winning, the row
             with the greatest ``prefer_latest`` tuple (NULLs last) wins
@@ -258,56 +265,86 @@ class LayerStore:
             rows = self._write(df, self._version_path(layer, table, version), "overwrite",
                                parts, sort_by, rebalance)
             self._commit(layer, table, version, rows, epoch, None, source_seq)
-            return rows - before
+            return UpsertResult(rows - before, None)
 
         path = self._version_path(layer, table, cur)
         target = self.spark.read.parquet(path)
         columns = target.columns
         src, _, _, _ = self._layout(src, layer, table, None)
         moved_from = target.select(*keys, *part_cols).join(src_keys, keys, "left_semi")
-        touched = (moved_from.select(*part_cols).unionByName(src.select(*part_cols))
-                   .distinct().collect())
+        touched = [r.asDict() for r in
+                   moved_from.select(*part_cols).unionByName(src.select(*part_cols))
+                   .distinct().collect()]
         if not touched:
             self._commit(layer, table, cur, 0, epoch, None, source_seq)
-            return 0
-        matches = []
-        for row in touched:
-            match = F.lit(True)
-            for p in part_cols:
-                v = row[p]
-                match = match & (F.col(p).isNull() if v is None else (F.col(p) == F.lit(v)))
-            matches.append(match)
-        cond = F.lit(False)
-        for m in matches:
-            cond = cond | m
-        old_rows = target.where(cond).observe(removed, F.count(F.lit(1)).alias("n"))
+            return UpsertResult(0, [])
+        old_rows = (target.where(self._any_match(touched, part_cols))
+                    .observe(removed, F.count(F.lit(1)).alias("n")))
         merged = combine(old_rows, columns)
+        self._rewrite_partitions(layer, table, path, target, merged, part_cols, touched)
+        delta = int(added.get["n"]) - int(removed.get["n"])
+        self._commit(layer, table, cur, delta, epoch, None, source_seq)
+        return UpsertResult(delta, touched)
 
+    @staticmethod
+    def _any_match(values: list[dict], part_cols: list[str]):
+        cond = F.lit(False)
+        for v in values:
+            match = F.lit(True)
+            for p in part_cols:
+                match = match & (F.col(p).isNull() if v[p] is None else (F.col(p) == F.lit(v[p])))
+            cond = cond | match
+        return cond
+
+    def _rewrite_partitions(self, layer: str, table: str, path: str, target: DataFrame,
+                            content: DataFrame, part_cols: list[str], touched: list[dict]) -> None:
+        """Make ``content`` the complete content of the ``touched``
+        partitions of the table at ``path`` (``target`` = its pre-write
+        read).  ``content`` is written once to a staging folder under the
+        shared checkpoint folder (cutting lineage, since ``content`` may read
+        the partitions it replaces), then swapped in with a dynamic partition
+        overwrite; touched partitions left without rows are removed.
+        """
+        columns = target.columns
         base = self.spark.conf.get("spark.checkpoint.dir", None) or self.root
         staging = f"{base}/tierflow-staging/{layer}-{table}-{uuid.uuid4().hex[:12]}"
-        merged.write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
+        content.select(*columns).write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
         staged = self.spark.read.schema(target.schema).parquet(staging).select(*columns)
-        (staged.sortWithinPartitions(*part_cols)
+        (staged.sortWithinPartitions(*part_cols, *C.SORT_WITHIN.get((layer, table), []))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*part_cols).parquet(path))
         # dynamic overwrite only replaces partitions that received rows: a
         # touched partition left empty (its rows all moved) is removed here
-        kept_parts = {tuple(r) for r in staged.select(*part_cols).distinct().collect()}
-        emptied = [m for row, m in zip(touched, matches)
-                   if tuple(row[p] for p in part_cols) not in kept_parts]
+        kept = {tuple(r) for r in staged.select(*part_cols).distinct().collect()}
+        emptied = [v for v in touched if tuple(v[p] for p in part_cols) not in kept]
         if emptied:
-            gone = F.lit(False)
-            for m in emptied:
-                gone = gone | m
             # folders of the old files in those partitions (pruned scan of
-            # the pre-upsert listing; one row per folder comes back)
-            folders = (target.where(gone)
+            # the pre-write listing; one row per folder comes back)
+            folders = (target.where(self._any_match(emptied, part_cols))
                        .select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("d"))
                        .distinct().collect())
             for r in folders:
                 self._delete(r.d)
-        delta = int(added.get["n"]) - int(removed.get["n"])
-        self._commit(layer, table, cur, delta, epoch, None, source_seq)
+
+    def replace_partitions(self, content: DataFrame, layer: str, table: str,
+                           touched: list[dict]) -> int:
+        """Replace the ``touched`` partitions of a stored partitioned table
+        with ``content`` (their complete new rows, contract columns); other
+        partitions are not read or written.  Returns the row delta."""
+        part_cols = C.TABLES[(layer, table)][2]
+        cur = self.current_version(layer, table)
+        if cur is None:
+            raise FileNotFoundError(f"{layer}.{table} must exist before partial replacement")
+        path = self._version_path(layer, table, cur)
+        target = self.spark.read.parquet(path)
+        content, _, _, _ = self._layout(C.conform(content, C.schema_of(layer, table)),
+                                        layer, table, None)
+        before = target.where(self._any_match(touched, part_cols)).count()
+        added = Observation()
+        content = content.observe(added, F.count(F.lit(1)).alias("n"))
+        self._rewrite_partitions(layer, table, path, target, content, part_cols, touched)
+        delta = int(added.get["n"]) - before
+        self._commit(layer, table, cur, delta)
         return delta
 
     def _rows(self, layer: str, table: str) -> int:
