@@ -2,7 +2,7 @@
 
 import pytest
 
-from tierflow.plans import pipeline, quality
+from tierflow.plans import quality, runner
 from tierflow.session import scratch_path
 from tierflow.sources import testdata as td
 from tierflow.sources.layers import LayerStore
@@ -29,10 +29,10 @@ def test_overwrite_while_reading(spark):
 def test_pipeline_rerun_is_stable(spark):
     store = LayerStore(spark, scratch_path(spark, "t-run"))
     args = (td.raw_clicks(spark, SF001), td.oltp_orders(spark, SF001))
-    c1 = pipeline.run(store, *args, with_orders=True, run_ts=td.RUN_TS)
+    c1 = runner.run(store, *args, with_orders=True, run_ts=td.RUN_TS)
     gold1 = sorted((tuple(r) for r in store.read("gold", "fact_clicks").collect()), key=repr)
     # a re-delivery of the same raw data: bronze grows, silver/gold do not change
-    c2 = pipeline.run(store, args[0], None, with_orders=True, run_ts=td.RUN_TS)
+    c2 = runner.run(store, args[0], None, with_orders=True, run_ts=td.RUN_TS)
     assert c2["bronze.click_events"] == c1["bronze.click_events"]
     assert c2["silver.click_events"] == c1["silver.click_events"]
     assert sorted((tuple(r) for r in store.read("gold", "fact_clicks").collect()), key=repr) == gold1
@@ -48,18 +48,18 @@ def test_pipeline_rerun_is_stable(spark):
 def test_with_orders_needs_input(spark):
     store = LayerStore(spark, scratch_path(spark, "t-noorders"))
     with pytest.raises(FileNotFoundError):
-        pipeline.run(store, td.raw_clicks(spark, SF001), None, with_orders=True)
+        runner.run(store, td.raw_clicks(spark, SF001), None, with_orders=True)
 
 
 def test_incremental_runs_equal_full_recompute(spark):
     first = td.raw_clicks(spark, SF001, "first")
     second = td.raw_clicks(spark, SF001, "second")
     inc = LayerStore(spark, scratch_path(spark, "t-inc"))
-    pipeline.run(inc, second, run_ts=td.RUN_TS)                 # newer deliveries first
-    pipeline.run(inc, first, run_ts=td.RUN_TS)                  # older ones arrive late
+    runner.run(inc, second, run_ts=td.RUN_TS)                 # newer deliveries first
+    runner.run(inc, first, run_ts=td.RUN_TS)                  # older ones arrive late
     assert inc.source_seq("silver", "click_events") == 2
     full = LayerStore(spark, scratch_path(spark, "t-full"))
-    pipeline.run(full, first.unionByName(second), run_ts=td.RUN_TS, incremental=False)
+    runner.run(full, first.unionByName(second), run_ts=td.RUN_TS, incremental=False)
     for table in ("click_events",):
         a, b = inc.read("silver", table), full.read("silver", table)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -17,7 +17,7 @@ from tierflow.functions.clean import collapse_slashes, norm_lower, with_json_fie
 from tierflow.operators.changes import apply_changes
 from tierflow.operators.items import lookup, low_stock, validity
 from tierflow.operators.upsert import upsert
-from tierflow.plans import bronze, gold, pipeline, quality, silver
+from tierflow.plans import bronze, gold, quality, runner, silver
 from tierflow.session import ensure_checkpoint_dir, scratch_path
 from tierflow.sources import jsonl
 from tierflow.sources import testdata as td
@@ -152,7 +152,7 @@ def gold_orders_daily_revenue(spark, d):
 def report_daily_revenue(spark, d):
     store = _store(spark, "report")
     store.overwrite(gold_orders_daily_revenue(spark, d), "gold", "orders_daily_revenue")
-    return pipeline.report_daily_revenue(store)
+    return runner.report_daily_revenue(store)
 
 
 # ---- items ----------------------------------------------------------------
@@ -201,7 +201,7 @@ def stream_silver_clicks(spark, d):
 # ---- whole runs -----------------------------------------------------------
 def _full_run(spark, d, name):
     store = _store(spark, name)
-    pipeline.run(store, td.raw_clicks(spark, d), td.oltp_orders(spark, d),
+    runner.run(store, td.raw_clicks(spark, d), td.oltp_orders(spark, d),
                  with_orders=True, run_ts=RUN_TS)
     return store
 
