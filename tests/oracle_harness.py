@@ -77,7 +77,12 @@ if __name__ == "__main__":
     import __spark_entry__ as E
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):   # a session without tierflow's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("SESSION_TZ"):   # results must not depend on the session zone
         spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])

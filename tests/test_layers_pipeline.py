@@ -69,3 +69,16 @@ def test_incremental_runs_equal_full_recompute(spark):
     plan = inc.read_loads_after("bronze", "click_events", 1)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "GreaterThan(_load_seq,1)" in plan
+
+
+def test_views_and_ddl(spark):
+    from tierflow import contracts as C
+    store = LayerStore(spark, scratch_path(spark, "t-views"))
+    store.overwrite(td.items(spark, SF001), "app", "inventory_items")
+    assert "app_inventory_items" in store.register_views()
+    assert spark.sql("SELECT count(*) FROM app_inventory_items").first()[0] == 200
+    text = C.ddl("gold", "fact_clicks", "/lake/gold/fact_clicks")
+    assert "PARTITIONED BY (event_month)" in text and "events_count BIGINT" in text
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold")
+    spark.sql(C.ddl("gold", "fact_clicks", scratch_path(spark, "t-ddl")))
+    assert "events_count" in spark.table("gold.fact_clicks").columns

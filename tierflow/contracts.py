@@ -141,3 +141,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def empty(spark, schema: T.StructType) -> DataFrame:
     """An empty frame with the contract schema (a missing table reads as this)."""
     return spark.createDataFrame([], schema)
+
+
+def ddl(layer: str, table: str, location: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a contract (B5): the schema,
+    storage partition columns and, optionally, a location."""
+    schema, keys, parts = TABLES[(layer, table)]
+    cols = [f"  {f.name} {f.dataType.simpleString().upper()}" for f in schema.fields]
+    part_types = {"_ingest_date": "DATE", "_event_date": "DATE",
+                  "order_month": "INT", "event_month": "INT"}
+    cols += [f"  {p} {part_types[p]}" for p in parts]
+    text = f"CREATE TABLE IF NOT EXISTS {layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"
+    if parts:
+        text += f"\nPARTITIONED BY ({', '.join(parts)})"
+    if keys:
+        text += f"\nCOMMENT 'key: {', '.join(keys)}'"
+    if location:
+        text += f"\nLOCATION '{location}'"
+    return text

@@ -354,6 +354,18 @@ class LayerStore:
         v = log.where(F.col("version") == cur).agg(F.sum("rows")).first()[0]
         return int(v or 0)
 
+    def register_views(self) -> list[str]:
+        """Expose the current version of every stored contract table as a
+        temporary view ``<layer>_<table>`` for ``spark.sql``; returns the
+        view names."""
+        names = []
+        for (layer, table) in C.TABLES:
+            if self.exists(layer, table):
+                name = f"{layer}_{table}"
+                self.read(layer, table).createOrReplaceTempView(name)
+                names.append(name)
+        return names
+
     def tables(self) -> DataFrame:
         """(layer, table, version, rows) of every committed table version
         (the row count of the last commit of that version)."""
