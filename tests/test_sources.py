@@ -35,3 +35,10 @@ def test_jdbc_credentials_from_env(monkeypatch):
     monkeypatch.delenv("JDBC_PASSWORD", raising=False)
     with pytest.raises(KeyError):
         jdbc.connection()
+
+
+def test_jdbc_refuses_nested_columns(spark):
+    raw = td.raw_clicks(spark, SF001)          # has the metadata struct
+    with pytest.raises(ValueError, match="metadata"):
+        jdbc.write(raw, {"url": "jdbc:none:", "user": "u", "password": "p"}, "t")
+    jdbc.check_writable(raw.drop("metadata"))  # flat frames pass

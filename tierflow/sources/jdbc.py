@@ -8,6 +8,7 @@ environment, never from code or config files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tierflow.session import env
 
@@ -40,6 +41,16 @@ def read_options(conn: dict, table: str, partition_column: str | None = None,
     return opts
 
 
+def read_by_predicates(spark: SparkSession, conn: dict, table: str,
+                       predicates: list[str], fetch_size: int = 10_000) -> DataFrame:
+    """A parallel read with one task per WHERE-clause predicate (for tables
+    without a numeric split column, e.g. one predicate per month).  The
+    predicates must not overlap and should cover every row."""
+    props = {k: v for k, v in conn.items() if k != "url"}
+    props["fetchsize"] = str(fetch_size)
+    return spark.read.jdbc(conn["url"], table, predicates=predicates, properties=props)
+
+
 def read(spark: SparkSession, conn: dict, table: str, **kw) -> DataFrame:
     """A (bounded, parallel) JDBC table scan; filters and column pruning are
     pushed into the generated SQL by Spark."""
@@ -63,8 +74,18 @@ def write_options(conn: dict, table: str, mode: str = "append",
     return opts
 
 
+def check_writable(df: DataFrame) -> None:
+    """JDBC has no struct/map/array type: fail before connecting, naming
+    the columns (serialise them with ``to_json`` first, as bronze does for
+    ``metadata``)."""
+    nested = [f.name for f in df.schema.fields
+              if isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType))]
+    if nested:
+        raise ValueError(f"columns {nested} are nested; serialise them (to_json) before a JDBC write")
+
+
 def write(df: DataFrame, conn: dict, table: str, mode: str = "append", **kw) -> None:
-    """Append or replace a JDBC table.  Structs must be serialised first
-    (JDBC has no struct type): use bronze ``metadata_json``."""
+    """Append or replace a JDBC table (nested columns are refused)."""
+    check_writable(df)
     (df.write.format("jdbc").mode(mode)
        .options(**write_options(conn, table, mode=mode, **kw)).save())
