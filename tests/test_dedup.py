@@ -60,3 +60,9 @@ def test_plan_limits_groups_before_the_shuffle(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     plan = latest_per_key(df, ["k"], ["ts", "ing"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_map_columns_are_hashable_for_ties(spark):
+    df = spark.createDataFrame([("a", {"x": "1"}), ("a", {"x": "2"})], "k string, m map<string,string>")
+    out = latest_per_key(df, ["k"], []).collect()
+    assert len(out) == 1

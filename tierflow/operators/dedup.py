@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _RN = "__tf_rn"
 
@@ -31,6 +32,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
             for k in keys})
     ords: list[Column] = [F.col(c).desc_nulls_last() for c in order]
     if tie_break:
-        ords.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
+        # maps cannot be hashed directly; their JSON text can
+        cols = [F.to_json(F.col(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
+                for f in df.schema.fields]
+        ords.append(F.xxhash64(*cols).desc())
     w = Window.partitionBy(*keys).orderBy(*ords)
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
