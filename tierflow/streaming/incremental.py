@@ -65,10 +65,12 @@ def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None)
 def start_clicks(spark: SparkSession, source_path: str, store: LayerStore, checkpoint: str,
                  run_ts=None, available_now: bool = True,
                  processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
     """Start the incremental job.  ``available_now`` processes every file
     present and stops (a scheduled incremental run); otherwise the query
-    keeps running with a ``processing_time`` trigger."""
+    keeps running with a ``processing_time`` trigger.  A backlog is split
+    into micro-batches of at most ``max_files_per_trigger`` files, which
+    bounds what one batch holds."""
     stream = read_landed_clicks(spark, source_path, max_files_per_trigger)
     w = (stream.writeStream
          .option("checkpointLocation", checkpoint)
