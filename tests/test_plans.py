@@ -22,10 +22,22 @@ def test_scan_prunes_columns(spark):
     assert "o_orderpriority" not in p          # only needed columns are read
 
 
-def test_filter_pushed_to_scan(spark):
-    df = registry.upsert_orders(spark, SF01)
-    assert "PushedFilters: [IsNotNull(o_orderkey)" in df._jdf.queryExecution().executedPlan().toString() \
-        or "PushedFilters" in plan(df)
+def test_month_filter_prunes_partitions(spark):
+    from tierflow.session import scratch_path
+    from tierflow.sources.layers import LayerStore
+    store = LayerStore(spark, scratch_path(spark, "t-prune"))
+    store.overwrite(registry.gold_fact_orders(spark, SF01), "gold", "fact_orders")
+    df = store.read("gold", "fact_orders", raw=True).where("order_month = 199501")
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(order_month" in p and "(order_month" in p
+    assert df.count() == df.where("order_date_key between 19950101 and 19950131").count()
+
+
+def test_value_filter_pushed_to_parquet(spark):
+    df = spark.read.parquet(f"{SF01}/lineitem.parquet").where("l_quantity > 45").select("l_partkey")
+    p = plan(df)
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,45.0)]" in p
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in p
 
 
 def test_fact_clicks_unique_events_single_shuffle(spark):
