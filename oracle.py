@@ -257,7 +257,7 @@ def _keys(layer: str, table: str, src: str, key: str) -> str:
 
 SQL: dict[str, str] = {
     "bronze_clicks": _with(CLICKS) + "SELECT * FROM bronze_clicks",
-    "bronze_clicks_oneoff": _with(CLICKS) + (
+    "bronze_clicks_raw": _with(CLICKS) + (
         "SELECT event_id, user_id, session_id, event_type, page, route, element, ts, "
         f"_ingested_at, {_META_COLS} FROM raw_clicks"),
     "bronze_orders": _with(BRONZE_ORDERS) + "SELECT * FROM bronze_orders",

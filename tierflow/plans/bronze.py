@@ -28,7 +28,7 @@ def clicks(raw: DataFrame, run_ts=None, parse: bool = True) -> DataFrame:
     """Raw click records -> bronze.click_events.
 
     parse=True (the bronze job): ``ts`` text -> UTC timestamp, ``metadata``
-    struct -> ``metadata_json`` text.  parse=False (the one-off loader):
+    struct -> ``metadata_json`` text.  parse=False (the raw loader):
     raw ``ts`` and the nested ``metadata`` kept as they are; only fit for a
     sink that stores structs (parquet, not JDBC).
     """

@@ -44,7 +44,7 @@ def bronze_clicks(spark, d):
     return bronze.clicks(td.raw_clicks(spark, d), RUN_TS)
 
 
-def bronze_clicks_oneoff(spark, d):
+def bronze_clicks_raw(spark, d):
     raw = bronze.clicks(td.raw_clicks(spark, d), RUN_TS, parse=False)
     return raw.select(*[c for c in raw.columns if c != "metadata"],
                       *[F.col(f"metadata.{f}").alias(f"metadata_{f}")
@@ -216,7 +216,7 @@ def contract_check(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_clicks": bronze_clicks,
-    "bronze_clicks_oneoff": bronze_clicks_oneoff,
+    "bronze_clicks_raw": bronze_clicks_raw,
     "bronze_orders": bronze_orders,
     "scan_jsonl_clicks": scan_jsonl_clicks,
     "bronze_append": bronze_append,

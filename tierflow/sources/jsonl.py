@@ -1,4 +1,4 @@
-"""JSON-lines click files (A1, and the one-off loader's input)."""
+"""JSON-lines click files (A1, and the raw loader's input)."""
 
 from __future__ import annotations
 
