@@ -82,3 +82,15 @@ def test_views_and_ddl(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     spark.sql(C.ddl("gold", "fact_clicks", scratch_path(spark, "t-ddl")))
     assert "events_count" in spark.table("gold.fact_clicks").columns
+
+
+def test_command_line_run(spark, capsys):
+    from tierflow.__main__ import main
+    root = scratch_path(spark, "t-cli")
+    td.raw_clicks(spark, SF001).drop("_ingested_at").write.json(f"{root}/landing")
+    td.oltp_orders(spark, SF001).write.parquet(f"{root}/orders")
+    counts = main(["--lake", f"{root}/lake", "--clicks", f"{root}/landing/*.json",
+                   "--orders-parquet", f"{root}/orders", "--with-orders"], spark=spark)
+    assert counts["silver.orders"] == 1500 and counts["bronze.click_events"] == 1200
+    out = capsys.readouterr().out
+    assert "rows_written" in out and "orders_daily_revenue" in out
