@@ -41,3 +41,20 @@ def test_dense_index_many_partitions(spark):
     df = spark.range(0, 5000, 1, 13).select((F.col("id") * 7 % 5000).alias("seq"))
     out = dense_index(df, ["seq"], "i").collect()
     assert sorted((r.seq, r.i) for r in out) == [(s, s + 1) for s in range(5000)]
+
+
+def test_ids_are_never_reused_across_runs(spark):
+    from tierflow.plans import runner
+    from tierflow.session import scratch_path
+    from tierflow.sources.layers import LayerStore
+    store = LayerStore(spark, scratch_path(spark, "t-items"))
+    snap = spark.createDataFrame([(i, f"n{i}", "s", i, "l", T0) for i in (1, 2, 3)], ITEMS)
+    store.overwrite(snap, "app", "inventory_items")
+    runner.apply_item_changes(store, spark.createDataFrame(
+        [(1, "delete", 3, None, None, None, None)], CHG))            # frees the top id
+    res = runner.apply_item_changes(store, spark.createDataFrame(
+        [(2, "create", None, "c", "s", 1, "W"), (3, "create", 9, "bad", "s", 1, "W")], CHG))
+    ids = sorted(r.id for r in store.read("app", "inventory_items").collect())
+    assert ids == [1, 2, 4]                                          # 3 is not handed out again
+    assert [r.reason for r in res["invalid_changes"].collect()] == ["create_with_id"]
+    assert store._rows("app", "inventory_items") == 3

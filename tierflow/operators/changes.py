@@ -36,7 +36,7 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame,
-                  run_ts=None) -> DataFrame:
+                  run_ts=None, id_floor: int | None = None) -> DataFrame:
     """Apply create/update/delete rows (``seq, op, id, name, sku, quantity,
     location``) to an item snapshot (``id, name, sku, quantity, location,
     updated_at``).
@@ -47,8 +47,10 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame,
     * otherwise the update with the highest seq wins whole -- each update
       replaces all four fields, NULLs included -- and stamps ``updated_at``;
     * updates/deletes of unknown ids change nothing;
-    * a create gets a new id = max(existing id) + its rank among creates by
-      seq; a create that carries an id is rejected (see ``items.validity``).
+    * a create gets a new id = max(existing id, ``id_floor``) + its rank
+      among creates by seq, so ids are never reused when ``id_floor`` is
+      the highest id ever assigned (``runner.apply_item_changes`` keeps it);
+      a create that carries an id is rejected (see ``items.validity``).
 
     Plan: the change set is reduced to one row per id (partial aggregation
     runs map-side, so a hot id costs one row per partition) and joined once
@@ -75,6 +77,8 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame,
 
     creates = changes.where((op == "create") & F.col("id").isNull())
     base = F.coalesce(snapshot.select(F.max("id")).scalar(), F.lit(0))
+    if id_floor is not None:
+        base = F.greatest(base, F.lit(id_floor).cast("bigint"))
     numbered = dense_index(creates.select("seq", *FIELDS), ["seq"], "__rank")
     new_rows = numbered.select((base + F.col("__rank")).cast("bigint").alias("id"),
                                *FIELDS, stamp.alias("updated_at"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierflow import contracts as C
+from tierflow.operators.changes import apply_changes
+from tierflow.operators.items import validity
 from tierflow.plans import bronze, gold, silver
 from tierflow.sources.layers import LayerStore
 
@@ -99,6 +101,29 @@ def refresh_fact_clicks(store: LayerStore, days: list) -> int:
                                     [{"event_month": m} for m in months])
 
 
+def apply_item_changes(store: LayerStore, changes: DataFrame, run_ts=None) -> dict:
+    """Apply a change set to the stored item snapshot (``app.inventory_items``)
+    and commit the result as its next version.
+
+    New ids continue after the highest id ever assigned (kept in the commit
+    log), so an id freed by a delete is never handed out again.  Returns
+    the rows written and the validity report of the change set (invalid
+    rows are reported, not silently dropped; see ``items.validity``).
+    """
+    snapshot = store.read("app", "inventory_items")
+    before = snapshot.agg(F.max("id")).first()[0]          # one row to the driver
+    floor = store.id_high("app", "inventory_items")
+    out = apply_changes(snapshot, changes, run_ts=run_ts, id_floor=floor)
+    high = Observation()
+    rows = store.overwrite(out.observe(high, F.max("id").alias("id")), "app", "inventory_items")
+    seen = [x for x in (before, floor, high.get.get("id")) if x is not None]
+    if seen:
+        store._commit("app", "inventory_items", store.current_version("app", "inventory_items"),
+                      0, id_high=int(max(seen)))
+    bad = validity(changes).where(~F.col("valid"))
+    return {"rows": rows, "invalid_changes": bad}
+
+
 def report_daily_revenue(store: LayerStore) -> DataFrame:
     """H2: the stored daily mart, ordered by day (order is applied on read),
     as the SQL report the runner prints."""

@@ -90,6 +90,10 @@ class LayerStore:
         v = log.agg(F.max(column)).first()[0]
         return None if v is None else int(v)
 
+    def id_high(self, layer: str, table: str) -> int | None:
+        """Highest generated id ever committed to a table."""
+        return self._log_max(layer, table, "id_high")
+
     def last_load_seq(self, layer: str, table: str) -> int | None:
         """Sequence number of the latest load into a sequenced table."""
         return self._log_max(layer, table, "load_seq")
@@ -126,7 +130,7 @@ class LayerStore:
     # ---- write ----------------------------------------------------------
     def _commit(self, layer: str, table: str, version: int, rows: int,
                 epoch: int | None = None, load_seq: int | None = None,
-                source_seq: int | None = None) -> None:
+                source_seq: int | None = None, id_high: int | None = None) -> None:
         """Append one row to the table's commit log.  load_seq: sequence
         number of this load (sequenced tables); source_seq: highest load of
         the source table merged into this table so far."""
@@ -136,7 +140,8 @@ class LayerStore:
             F.current_timestamp().alias("committed_at"),
             F.lit(epoch).cast("bigint").alias("epoch"),
             F.lit(load_seq).cast("bigint").alias("load_seq"),
-            F.lit(source_seq).cast("bigint").alias("source_seq"))
+            F.lit(source_seq).cast("bigint").alias("source_seq"),
+            F.lit(id_high).cast("bigint").alias("id_high"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
 
     def _layout(self, df: DataFrame, layer: str, table: str,
@@ -169,7 +174,8 @@ class LayerStore:
         return int(obs.get["rows"])
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
-                  partition_by: list[str] | None = None, epoch: int | None = None) -> int:
+                  partition_by: list[str] | None = None, epoch: int | None = None,
+                  id_high: int | None = None) -> int:
         """Write ``df`` as the next version and commit it; returns row count
         (counted while writing, not by a second pass)."""
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
@@ -177,7 +183,7 @@ class LayerStore:
         cur = self.current_version(layer, table) or 0
         rows = self._write(df, self._version_path(layer, table, cur + 1), "overwrite",
                            parts, sort_by, rebalance)
-        self._commit(layer, table, cur + 1, rows, epoch, seq)
+        self._commit(layer, table, cur + 1, rows, epoch, seq, None, id_high)
         return rows
 
     def append(self, df: DataFrame, layer: str, table: str,
