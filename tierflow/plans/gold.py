@@ -13,11 +13,15 @@ FACT_CLICK_KEYS = ["session_id", "user_id", "page", "event_type", "event_date_ke
 
 
 def prepare_clicks(silver_clicks: DataFrame) -> DataFrame:
-    """silver clicks as the facts read them (page_path -> page)."""
+    """silver clicks as the facts read them (page_path -> page).
+
+    event_type is already lower(trim()) in silver; cleaning it again would
+    change nothing, so it is cleaned in one place only.
+    """
     return silver_clicks.select(
         "event_id", "user_id", "session_id",
         F.col("page_path").alias("page"),
-        norm_lower("event_type").alias("event_type"),
+        "event_type",
         to_utc_ntz(silver_clicks, "ts_utc").alias("ts_utc"))
 
 

@@ -43,6 +43,21 @@ class LayerStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # commit-log rows per table, read once and kept current by _commit
+        # (one writer per table; refresh() picks up other writers' commits)
+        self._logs: dict[tuple[str, str], list[dict]] = {}
+
+    def refresh(self) -> None:
+        """Forget cached commit logs (re-read them on next use)."""
+        self._logs.clear()
+
+    def _log_rows(self, layer: str, table: str) -> list[dict]:
+        key = (layer, table)
+        if key not in self._logs:
+            log = self.log(layer, table)
+            # one small row per commit: a bounded read
+            self._logs[key] = [] if log is None else [r.asDict() for r in log.collect()]
+        return self._logs[key]
 
     # ---- locations ------------------------------------------------------
     def table_path(self, layer: str, table: str) -> str:
@@ -77,18 +92,12 @@ class LayerStore:
             return None
 
     def current_version(self, layer: str, table: str) -> int | None:
-        log = self.log(layer, table)
-        if log is None:
-            return None
-        v = log.agg(F.max("version")).first()[0]
-        return None if v is None else int(v)
+        return self._log_max(layer, table, "version")
 
     def _log_max(self, layer: str, table: str, column: str) -> int | None:
-        log = self.log(layer, table)
-        if log is None or column not in log.columns:
-            return None
-        v = log.agg(F.max(column)).first()[0]
-        return None if v is None else int(v)
+        vals = [r.get(column) for r in self._log_rows(layer, table)]
+        vals = [v for v in vals if v is not None]
+        return int(max(vals)) if vals else None
 
     def id_high(self, layer: str, table: str) -> int | None:
         """Highest generated id ever committed to a table."""
@@ -104,11 +113,8 @@ class LayerStore:
 
     def last_epoch(self, layer: str, table: str) -> int:
         """Highest stream epoch committed to a table (-1 if none)."""
-        log = self.log(layer, table)
-        if log is None or "epoch" not in log.columns:
-            return -1
-        v = log.agg(F.max("epoch")).first()[0]
-        return -1 if v is None else int(v)
+        v = self._log_max(layer, table, "epoch")
+        return -1 if v is None else v
 
     def exists(self, layer: str, table: str) -> bool:
         return self.current_version(layer, table) is not None
@@ -134,6 +140,7 @@ class LayerStore:
         """Append one row to the table's commit log.  load_seq: sequence
         number of this load (sequenced tables); source_seq: highest load of
         the source table merged into this table so far."""
+        rows_cache = self._log_rows(layer, table)
         entry = self.spark.range(1).select(
             F.lit(version).cast("int").alias("version"),
             F.lit(rows).cast("bigint").alias("rows"),
@@ -143,6 +150,8 @@ class LayerStore:
             F.lit(source_seq).cast("bigint").alias("source_seq"),
             F.lit(id_high).cast("bigint").alias("id_high"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
+        rows_cache.append({"version": version, "rows": rows, "epoch": epoch,
+                           "load_seq": load_seq, "source_seq": source_seq, "id_high": id_high})
 
     def _layout(self, df: DataFrame, layer: str, table: str,
                 partition_by: list[str] | None) -> tuple[DataFrame, list[str], list[str], bool]:
@@ -355,10 +364,9 @@ class LayerStore:
 
     def _rows(self, layer: str, table: str) -> int:
         """Row count of the current version, from the commit log."""
-        log = self.log(layer, table)
         cur = self.current_version(layer, table)
-        v = log.where(F.col("version") == cur).agg(F.sum("rows")).first()[0]
-        return int(v or 0)
+        return int(sum(r["rows"] or 0 for r in self._log_rows(layer, table)
+                       if r["version"] == cur))
 
     def register_views(self) -> list[str]:
         """Expose the current version of every stored contract table as a

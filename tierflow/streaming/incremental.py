@@ -43,6 +43,7 @@ def read_landed_clicks(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None) -> None:
     """Apply one micro-batch of landed clicks to bronze and silver."""
+    store.refresh()                                 # see commits of other writers
     if epoch <= store.last_epoch("silver", "click_events"):
         return                                      # replay of a finished batch
     # the batch feeds two writes: keep it (memory, spilling to disk) instead
