@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.clean import load_stamp
+from tierflow.session import ensure_checkpoint_dir
 
 FIELDS = ["name", "sku", "quantity", "location"]
 
@@ -20,6 +21,7 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
     are broadcast.  ``order`` must be unique.
     """
     pid, mono = "__tf_pid", "__tf_mono"
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = (df.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn(pid, F.spark_partition_id())
                  .withColumn(mono, F.monotonically_increasing_id())
