@@ -2,8 +2,10 @@
 
 A table lives at ``<root>/<layer>/<table>/``.  Each full write creates a
 new version folder ``v000001/ v000002/ ...`` and then appends one row to
-the table's commit log ``_log/`` (a small parquet table: version, rows,
-committed_at).  Readers take the highest committed version, so
+the table's commit log ``_log/`` (a small parquet table: version, rows
+added, committed_at, and where relevant the stream epoch, the load
+sequence number, the last source load merged and the highest generated
+id).  Readers take the highest committed version, so
 
 * a job may read a table and write its next version (an upsert) without
   overwriting files it is still reading;
