@@ -101,13 +101,18 @@ def raw_clicks(spark: SparkSession, sf_dir: str, deliveries: str = "all") -> Dat
         "metadata": _meta("'edge'", "CASE WHEN n % 2 = 0 THEN 'mobile' ELSE 'desktop' END"),
         "_ingested_at": "t0 + INTERVAL 2 HOURS",
     })
-    d1 = _sel(ev, {c: first[c] for c in _CLICK_ORDER})
-    d2 = _sel(ev.where("n % 5 = 0"), {c: second[c] for c in _CLICK_ORDER})
-    if deliveries == "first":
-        return d1
-    if deliveries == "second":
-        return d2
-    return d1.unionByName(d2)
+    def struct(cols: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {cols[c]}" for c in _CLICK_ORDER) + ")"
+
+    # one scan of events: each event yields its first delivery and, every
+    # 5th event, a second one (exploded from an array of deliveries)
+    wanted = []
+    if deliveries in ("all", "first"):
+        wanted.append(struct(first))
+    if deliveries in ("all", "second"):
+        wanted.append(f"CASE WHEN n % 5 = 0 THEN {struct(second)} END")
+    return (ev.selectExpr(f"explode(array({', '.join(wanted)})) AS d")
+              .where("d IS NOT NULL").selectExpr(*[f"d.{c} AS {c}" for c in _CLICK_ORDER]))
 
 
 _ORDER_COLS = ["order_id", "user_id", "status", "total_amount", "created_at", "updated_at"]
@@ -203,15 +208,18 @@ def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     6 create carrying an id · 7 update of an unknown id ·
     8 delete of an unknown id · 9 nothing.
     """
-    p = table(spark, sf_dir, "part")
-    parts = [_sel(p.where(f"p_partkey % 10 = {cls}"), {
-        "seq": f"p_partkey * 10 + {step}", "op": f"'{op}'", "id": f"CAST({id_} AS BIGINT)",
-        "name": name, "sku": sku, "quantity": f"CAST({qty} AS INT)", "location": loc})
-        for cls, step, op, id_, name, sku, qty, loc in _CHANGES]
-    out = parts[0]
-    for d in parts[1:]:
-        out = out.unionByName(d)
-    return out
+    # one scan of part: each row yields the changes of its class, exploded
+    # from an array of (possibly NULL) change structs
+    structs = [f"""CASE WHEN p_partkey % 10 = {cls} THEN named_struct(
+                   'seq', p_partkey * 10 + {step}, 'op', '{op}', 'id', CAST({id_} AS BIGINT),
+                   'name', {name}, 'sku', {sku}, 'quantity', CAST({qty} AS INT),
+                   'location', {loc}) END"""
+               for cls, step, op, id_, name, sku, qty, loc in _CHANGES]
+    return (table(spark, sf_dir, "part")
+            .selectExpr(f"explode(array({', '.join(structs)})) AS c")
+            .where("c IS NOT NULL")
+            .selectExpr(*[f"c.{f} AS {f}" for f in
+                          ("seq", "op", "id", "name", "sku", "quantity", "location")]))
 
 
 def wanted_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
