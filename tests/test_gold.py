@@ -47,3 +47,13 @@ def test_fact_orders_and_daily(spark):
                  for r in gold.orders_daily_revenue(o, unique_orders=uniq).collect()}
         assert daily == {dt.date(2024, 1, 1): (2, Decimal("10.50")), None: (1, Decimal("2.25"))}
         assert sum(v[1] for v in daily.values()) == Decimal("12.75")   # sum(revenue) = sum(amount)
+
+
+def test_prepare_orders_from_silver(spark):
+    s = spark.createDataFrame(
+        [(1, 5, "paid", Decimal("3.10"), None, T(2024, 1, 2), T(2024, 1, 3), T(2025, 1, 1))],
+        "order_id bigint, customer_id bigint, status string, amount decimal(18,2), currency string, "
+        "order_ts_utc timestamp_ntz, _ingested_at timestamp_ntz, _processed_at timestamp_ntz")
+    o = gold.prepare_orders(s, source="silver")
+    r = gold.fact_orders(o).first()
+    assert (r.user_id, r.total_amount, r.order_date_key) == (5, Decimal("3.10"), 20240102)

@@ -42,3 +42,13 @@ def test_jdbc_refuses_nested_columns(spark):
     with pytest.raises(ValueError, match="metadata"):
         jdbc.write(raw, {"url": "jdbc:none:", "user": "u", "password": "p"}, "t")
     jdbc.check_writable(raw.drop("metadata"))  # flat frames pass
+
+
+def test_malformed_json_line_keeps_a_null_row(spark):
+    path = scratch_path(spark, "t-bad-json")
+    spark.createDataFrame([('{"event_id":"e1","user_id":1,"ts":"2025-09-04T09:30:00Z"}',),
+                           ('{"event_id": broken',)], "value string") \
+        .write.text(path)
+    rows = jsonl.read_clicks(spark, path).collect()
+    assert len(rows) == 2
+    assert sorted((r.event_id is None) for r in rows) == [False, True]
