@@ -2,7 +2,7 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame.  Loads are
 stamped with fixed times so results can be compared with an independent
-SQL oracle (``oracle.py``).  Entries that exercise sinks write to a fresh
+SQL oracle (``tierflow_oracle.py``).  Entries that exercise sinks write to a fresh
 folder under the session's shared checkpoint folder.
 """
 

@@ -4,7 +4,7 @@ The driver tables are clean (unique keys, no NULLs, lower-case types), so
 the adapters inject the dirt the pipeline exists to handle: re-deliveries,
 padding and case noise, NULLs, unparsable times, doubled slashes.  All of
 it is a pure function of the row's key, written with expressions that an
-independent SQL engine computes identically (the oracle in ``oracle.py``
+independent SQL engine computes identically (the oracle in ``tierflow_oracle.py``
 mirrors every rule here).  Everything scales with the input tables.
 """
 
