@@ -109,9 +109,13 @@ def silver_clicks(spark, d):
 
 # ---- upserts --------------------------------------------------------------
 def upsert_orders(spark, d):
+    """Target: orders whose id is not a multiple of 3.  Source: multiples of
+    3 (new keys: inserts) and even ids (updates with changed amounts and
+    some NULL statuses).  Together they cover every order; odd ids that are
+    not multiples of 3 exist only in the target and are kept."""
     base = silver_orders(spark, d)
     target = base.where(F.col("order_id") % 3 != 0)
-    source = base.where(F.col("order_id") % 2 == 0).withColumns({
+    source = base.where((F.col("order_id") % 3 == 0) | (F.col("order_id") % 2 == 0)).withColumns({
         "amount": (F.col("amount") + 10).cast("decimal(18,2)"),
         "status": F.when(F.col("order_id") % 8 == 0, F.lit(None)).otherwise(F.col("status")),
         "_processed_at": F.lit(RUN_TS2).cast("timestamp_ntz")})
@@ -119,9 +123,14 @@ def upsert_orders(spark, d):
 
 
 def upsert_clicks(spark, d):
+    """Target: silver built from the first deliveries, ids not multiples of
+    3.  Source: silver from all deliveries, ids that are multiples of 3
+    (inserts) or even (replacements).  Together they cover every keyed
+    event (a NULL id cannot be upserted)."""
     target = silver.clicks(bronze.clicks(td.raw_clicks(spark, d, "first"), RUN_TS), RUN_TS)
     target = target.where(_num() % 3 != 0)
-    source = silver.clicks(bronze_clicks(spark, d), RUN_TS2).where(_num() % 2 == 0)
+    source = silver.clicks(bronze_clicks(spark, d), RUN_TS2) \
+        .where((_num() % 3 == 0) | (_num() % 2 == 0))
     return upsert(target, source, ["event_id"])
 
 

@@ -301,7 +301,7 @@ FROM orders""",
   SELECT order_id, customer_id, CASE WHEN order_id % 8 = 0 THEN NULL ELSE status END AS status,
          CAST(amount + 10 AS DECIMAL(18,2)) AS amount, currency, order_ts_utc, _ingested_at,
          {RUN_TS2} AS _processed_at
-  FROM base WHERE order_id % 2 = 0)""") + """
+  FROM base WHERE order_id % 3 = 0 OR order_id % 2 = 0)""") + """
 SELECT * FROM src
 UNION ALL
 SELECT * FROM base t WHERE t.order_id % 3 <> 0
@@ -310,11 +310,13 @@ SELECT * FROM base t WHERE t.order_id % 3 <> 0
         CLICKS, _bronze_clicks("bronze_d1", "raw_d1"),
         _silver_clicks("tgt_all", "bronze_d1"),
         _silver_clicks("src_all", "bronze_clicks", RUN_TS2)) + f"""
-SELECT * FROM src_all WHERE {_NUM} % 2 = 0
+SELECT * FROM src_all WHERE {_NUM} % 3 = 0 OR {_NUM} % 2 = 0
 UNION ALL
 SELECT * FROM tgt_all t WHERE {_NUM} % 3 <> 0
-  AND NOT EXISTS (SELECT 1 FROM src_all s WHERE CAST(substr(s.event_id, 2) AS BIGINT) % 2 = 0
-                  AND s.event_id = t.event_id)""",
+  AND NOT EXISTS (SELECT 1 FROM src_all s
+                  WHERE (CAST(substr(s.event_id, 2) AS BIGINT) % 3 = 0
+                         OR CAST(substr(s.event_id, 2) AS BIGINT) % 2 = 0)
+                    AND s.event_id = t.event_id)""",
     "gold_dim_user": _with(CLICKS, BRONZE_ORDERS, _silver_clicks("silver_clicks", "bronze_clicks"))
         + _DIM_USER,
     "gold_fact_orders": _with(BRONZE_ORDERS) + _FACT_ORDERS,
