@@ -94,3 +94,18 @@ def test_command_line_run(spark, capsys):
     assert counts["silver.orders"] == 1500 and counts["bronze.click_events"] == 1200
     out = capsys.readouterr().out
     assert "rows_written" in out and "orders_daily_revenue" in out
+
+
+def test_contract_report_sees_stored_types(spark):
+    from pyspark.sql import functions as F
+    store = LayerStore(spark, scratch_path(spark, "t-contract"))
+    good = td.items(spark, SF001)
+    store.overwrite(good, "app", "inventory_items")
+    rep = quality.contract_report(store).first()
+    assert rep.schema_ok and rep.duplicate_keys == 0 and rep.rows == 200
+    # a writer that stored quantity as bigint breaks the contract
+    bad = good.withColumn("quantity", F.col("quantity").cast("bigint"))
+    store._write(bad, store._version_path("app", "inventory_items", 2), "overwrite", [], [])
+    store._commit("app", "inventory_items", 2, 200)
+    assert not quality.contract_report(store).first().schema_ok
+    assert dict(store.read("app", "inventory_items").dtypes)["quantity"] == "int"
