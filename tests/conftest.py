@@ -12,8 +12,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from tierflow.session import build_session
-    s = build_session("local[4]", app="tierflow-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="tierflow-tests", shuffle_partitions=8,
+                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tierflow-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
