@@ -325,7 +325,10 @@ class LayerStore:
         columns = target.columns
         base = self.spark.conf.get("spark.checkpoint.dir", None) or self.root
         staging = f"{base}/tierflow-staging/{layer}-{table}-{uuid.uuid4().hex[:12]}"
-        content.select(*columns).write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
+        content = content.select(*columns)
+        if (layer, table) in C.REBALANCE_ON_WRITE:
+            content = content.hint("rebalance", *part_cols)     # files per value, not per task
+        content.write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
         staged = self.spark.read.schema(target.schema).parquet(staging).select(*columns)
         (staged.sortWithinPartitions(*part_cols, *C.SORT_WITHIN.get((layer, table), []))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
