@@ -55,3 +55,46 @@ def test_partition_scoped_upsert(spark):
     assert raw.where("event_id = 'a'").select("_event_date").first()[0] == dt.date(2024, 1, 3)
     after = mtimes(vpath)
     assert all(after.get(k) == v for k, v in untouched.items())   # day 4 never rewritten
+
+
+from hypothesis import given, settings, strategies as st
+
+from tierflow.operators.dedup import latest_per_key
+
+row = st.tuples(st.integers(0, 12),                                   # key
+                st.one_of(st.none(), st.integers(1, 4)),              # day (NULL allowed)
+                st.integers(0, 3))                                    # ingest hour
+
+
+def _frame(spark, rows, tag):
+    seen, out = set(), []
+    for k, day, hour in rows:
+        if k in seen:
+            continue
+        seen.add(k)
+        ts = None if day is None else T(2024, 1, day, 5)
+        out.append((f"k{k}", ts, f"{tag}{k}", T(2024, 2, 1, hour)))
+    df = spark.createDataFrame(out or [("x", None, None, None)][:0],
+                               "event_id string, ts_utc timestamp_ntz, device string, "
+                               "_ingested_at timestamp_ntz")
+    others = [f for f in C.SILVER_CLICKS.fields if f.name not in df.columns]
+    return C.conform(df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in others]),
+                     C.SILVER_CLICKS)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(row, min_size=1, max_size=15), st.lists(row, max_size=15), st.booleans())
+def test_partition_upsert_equals_frame_upsert(spark, trows, srows, latest):
+    store = LayerStore(spark, scratch_path(spark, "t-pu-prop"))
+    target, source = _frame(spark, trows, "t"), _frame(spark, srows, "s")
+    store.upsert(target, "silver", "click_events")
+    order = ["ts_utc", "_ingested_at"]
+    store.upsert(source, "silver", "click_events", prefer_latest=order if latest else None)
+    if latest:
+        want = latest_per_key(source.unionByName(target), ["event_id"], order)
+    else:
+        want = upsert(target, source, ["event_id"])
+    got = store.read("silver", "click_events")
+    key = lambda r: repr(tuple(r))
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert store._rows("silver", "click_events") == got.count()

@@ -105,6 +105,12 @@ REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks"),
 # takes the loads after the last one it processed, and since every file
 # holds one load, parquet min/max statistics skip the older files.
 LOAD_SEQUENCED = {("bronze", "click_events")}
+# Types of the storage partition columns (declared, never inferred: a
+# version holding only NULL partition values would otherwise read as VOID).
+PARTITION_TYPES: dict[str, T.DataType] = {
+    "_ingest_date": T.DateType(), "_event_date": T.DateType(),
+    "order_month": T.IntegerType(), "event_month": T.IntegerType(),
+}
 # Sort order inside the files of each stored table (for row-group pruning).
 SORT_WITHIN: dict[tuple[str, str], list[str]] = {
     ("gold", "fact_orders"): ["order_date_key"],
@@ -112,6 +118,17 @@ SORT_WITHIN: dict[tuple[str, str], list[str]] = {
 }
 
 
+def stored_schema(layer: str, table: str) -> T.StructType:
+    """The schema of a table's files as stored: contract columns, the load
+    sequence column of sequenced tables, then the partition columns."""
+    schema, _, parts = TABLES[(layer, table)]
+    fields = list(schema.fields)
+    if (layer, table) in LOAD_SEQUENCED:
+        fields.append(T.StructField("_load_seq", T.LongType(), True))
+    fields += [T.StructField(p, PARTITION_TYPES[p], True) for p in parts]
+    return T.StructType(fields)
+
+
 def schema_of(layer: str, table: str) -> T.StructType:
     return TABLES[(layer, table)][0]
 
@@ -152,9 +169,7 @@ def ddl(layer: str, table: str, location: str | None = None) -> str:
     storage partition columns and, optionally, a location."""
     schema, keys, parts = TABLES[(layer, table)]
     cols = [f"  {f.name} {f.dataType.simpleString().upper()}" for f in schema.fields]
-    part_types = {"_ingest_date": "DATE", "_event_date": "DATE",
-                  "order_month": "INT", "event_month": "INT"}
-    cols += [f"  {p} {part_types[p]}" for p in parts]
+    cols += [f"  {p} {PARTITION_TYPES[p].simpleString().upper()}" for p in parts]
     text = f"CREATE TABLE IF NOT EXISTS {layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"
     if parts:
         text += f"\nPARTITIONED BY ({', '.join(parts)})"

@@ -116,7 +116,11 @@ def apply_item_changes(store: LayerStore, changes: DataFrame, run_ts=None) -> di
     out = apply_changes(snapshot, changes, run_ts=run_ts, id_floor=floor)
     high = Observation()
     rows = store.overwrite(out.observe(high, F.max("id").alias("id")), "app", "inventory_items")
-    seen = [x for x in (before, floor, high.get.get("id")) if x is not None]
+    try:
+        top_new = high.get.get("id")
+    except Exception:          # no rows written: nothing observed
+        top_new = None
+    seen = [x for x in (before, floor, top_new) if x is not None]
     if seen:
         store._commit("app", "inventory_items", store.current_version("app", "inventory_items"),
                       0, id_high=int(max(seen)))

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
@@ -35,6 +36,20 @@ from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.upsert import checked_keys, upsert as upsert_frames
 
 
+def observed(obs: Observation, name: str = "n") -> int:
+    """An observed count, read after the action that computed it.
+
+    When the optimizer proves the observed input empty (for example a
+    partition filter that matches no folder) it removes the observing node
+    and no metrics are reported: no row passed, so the count is 0.
+    """
+    try:
+        value = obs.get.get(name)
+    except Exception:          # metrics never reported: node pruned as empty
+        return 0
+    return 0 if value is None else int(value)
+
+
 @dataclass
 class UpsertResult:
     delta: int                        # change in row count
@@ -132,9 +147,28 @@ class LayerStore:
             if schema is None:
                 raise FileNotFoundError(f"{layer}.{table} has never been written")
             return C.empty(self.spark, schema)
-        df = self.spark.read.parquet(self._version_path(layer, table, v))
+        df = self._read_version(layer, table, v)
         return C.conform(df, schema) if (schema is not None and not raw) else df
 
+    def file_schema(self, layer: str, table: str):
+        """The column types the current version's files really hold (read
+        from the parquet footers, storage-only columns left out): what a
+        contract check must look at, since ``read`` applies the contract."""
+        v = self.current_version(layer, table)
+        if v is None:
+            return None
+        storage = set(C.TABLES.get((layer, table), (None, None, []))[2]) | {"_load_seq"}
+        schema = self.spark.read.parquet(self._version_path(layer, table, v)).schema
+        return T.StructType([f for f in schema.fields if f.name not in storage])
+
+    def _read_version(self, layer: str, table: str, version: int) -> DataFrame:
+        """One version's files, with the declared stored schema (no
+        inference) for contract tables."""
+        reader = self.spark.read
+        if (layer, table) in C.TABLES:
+            reader = reader.schema(C.stored_schema(layer, table))
+        return reader.parquet(self._version_path(layer, table, version))
+
     # ---- write ----------------------------------------------------------
     def _commit(self, layer: str, table: str, version: int, rows: int,
                 epoch: int | None = None, load_seq: int | None = None,
@@ -175,14 +209,14 @@ class LayerStore:
             # small output partitions and splits a skewed one (a hot day
             # does not end up in one task), so files are few and even.
             df = df.hint("rebalance", *partition_by)
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if partition_by or sort_by:
-            observed = observed.sortWithinPartitions(*partition_by, *sort_by)
-        w = observed.write.mode(mode)
+            counted = counted.sortWithinPartitions(*partition_by, *sort_by)
+        w = counted.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return int(obs.get["rows"])
+        return observed(obs, "rows")
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
                   partition_by: list[str] | None = None, epoch: int | None = None,
@@ -285,7 +319,7 @@ class LayerStore:
             return UpsertResult(rows - before, None)
 
         path = self._version_path(layer, table, cur)
-        target = self.spark.read.parquet(path)
+        target = self._read_version(layer, table, cur)
         columns = target.columns
         src, _, _, _ = self._layout(src, layer, table, None)
         moved_from = target.select(*keys, *part_cols).join(src_keys, keys, "left_semi")
@@ -299,7 +333,7 @@ class LayerStore:
                     .observe(removed, F.count(F.lit(1)).alias("n")))
         merged = combine(old_rows, columns)
         self._rewrite_partitions(layer, table, path, target, merged, part_cols, touched)
-        delta = int(added.get["n"]) - int(removed.get["n"])
+        delta = observed(added) - observed(removed)
         self._commit(layer, table, cur, delta, epoch, None, source_seq)
         return UpsertResult(delta, touched)
 
@@ -335,6 +369,7 @@ class LayerStore:
                .partitionBy(*part_cols).parquet(path))
         # dynamic overwrite only replaces partitions that received rows: a
         # touched partition left empty (its rows all moved) is removed here
+        # one row per partition value written (at most the touched ones)
         kept = {tuple(r) for r in staged.select(*part_cols).distinct().collect()}
         emptied = [v for v in touched if tuple(v[p] for p in part_cols) not in kept]
         if emptied:
@@ -356,14 +391,14 @@ class LayerStore:
         if cur is None:
             raise FileNotFoundError(f"{layer}.{table} must exist before partial replacement")
         path = self._version_path(layer, table, cur)
-        target = self.spark.read.parquet(path)
+        target = self._read_version(layer, table, cur)
         content, _, _, _ = self._layout(C.conform(content, C.schema_of(layer, table)),
                                         layer, table, None)
         before = target.where(self._any_match(touched, part_cols)).count()
         added = Observation()
         content = content.observe(added, F.count(F.lit(1)).alias("n"))
         self._rewrite_partitions(layer, table, path, target, content, part_cols, touched)
-        delta = int(added.get["n"]) - before
+        delta = observed(added) - before
         self._commit(layer, table, cur, delta)
         return delta
 
