@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tierflow import contracts as C
 from tierflow.plans import silver
 
@@ -35,3 +37,13 @@ def test_tolerant_input_lacking_columns(spark):
     assert rows[1].order_ts_utc == T(2024, 3, 5)            # latest of the re-deliveries
     assert rows[2].order_ts_utc is None
     assert rows[1].amount is None and rows[1].currency is None and rows[1].customer_id is None
+
+
+def test_bronze_fills_missing_ingest_stamp(spark):
+    from tierflow.plans import bronze
+    from tierflow.sources import testdata as td
+    from tests.conftest import SF001
+    raw = td.raw_clicks(spark, SF001, "first").limit(3)
+    raw = raw.withColumn("_ingested_at", F.lit(None).cast("timestamp_ntz"))
+    out = bronze.clicks(raw, run_ts="2025-05-05 00:00:00").select("_ingested_at").distinct().collect()
+    assert [r[0] for r in out] == [T(2025, 5, 5)]

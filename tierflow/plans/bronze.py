@@ -13,9 +13,12 @@ RAW_CLICK_COLUMNS = ["event_id", "user_id", "session_id", "event_type",
 
 
 def _stamp(df: DataFrame, run_ts) -> DataFrame:
-    # A landing process may already have stamped the delivery time.
+    """``_ingested_at`` is never NULL (the table default is the load time):
+    keep a delivery time the landing process stamped, else the load stamp."""
     if "_ingested_at" in df.columns:
-        return df
+        return df.withColumn("_ingested_at",
+                             F.coalesce(F.col("_ingested_at").cast("timestamp_ntz"),
+                                        load_stamp(run_ts)))
     return df.withColumn("_ingested_at", load_stamp(run_ts))
 
 
