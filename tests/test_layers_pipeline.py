@@ -16,6 +16,16 @@ def test_missing_table_reads_empty_with_contract(spark):
     assert df.count() == 0 and "order_ts_utc" in df.columns
 
 
+def test_vacuum_keeps_newest_versions(spark):
+    store = LayerStore(spark, scratch_path(spark, "t-vacuum"))
+    for n in (5, 4, 3):
+        store.overwrite(spark.range(n).selectExpr("id AS user_id", "CAST(id AS STRING) AS user_key"),
+                        "gold", "dim_user")
+    assert store.vacuum("gold", "dim_user", keep=1) == [1, 2]
+    assert store.read("gold", "dim_user").count() == 3
+    assert not store._exists(store._version_path("gold", "dim_user", 1))
+
+
 def test_overwrite_while_reading(spark):
     store = LayerStore(spark, scratch_path(spark, "t-ver"))
     store.overwrite(spark.range(5).withColumnRenamed("id", "user_id")

@@ -55,6 +55,10 @@ def test_partition_scoped_upsert(spark):
     assert raw.where("event_id = 'a'").select("_event_date").first()[0] == dt.date(2024, 1, 3)
     after = mtimes(vpath)
     assert all(after.get(k) == v for k, v in untouched.items())   # day 4 never rewritten
+    staging_root = spark.conf.get("spark.checkpoint.dir").replace("file:", "") + "/tierflow-staging"
+    assert not [d for d in (os.listdir(staging_root) if os.path.isdir(staging_root) else [])
+                if d.startswith("silver-click_events-") and os.path.getmtime(
+                    os.path.join(staging_root, d)) >= min(untouched.values())]
 
 
 from hypothesis import given, settings, strategies as st

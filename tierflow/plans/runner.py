@@ -15,7 +15,8 @@ from tierflow.sources.layers import LayerStore
 
 
 def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None = None,
-        with_orders: bool = False, run_ts=None, incremental: bool = True) -> dict[str, int]:
+        with_orders: bool = False, run_ts=None, incremental: bool = True,
+        keep_versions: int | None = 2) -> dict[str, int]:
     """bronze -> silver (upsert) -> gold, like the runner script.
 
     * bronze.click_events: append, partitioned by ingest day;
@@ -36,7 +37,9 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
 
     Every table version is written before it is committed, so an
     interrupted run leaves the previous versions readable and a re-run
-    produces the same tables.  Returns the rows written per table.
+    produces the same tables.  At the end, version folders older than the
+    newest ``keep_versions`` are deleted (None keeps all).  Returns the rows
+    written per table.
     """
     if with_orders and oltp_orders is None and not store.exists("bronze", "orders"):
         raise FileNotFoundError("with_orders=True but there is no orders input")
@@ -75,6 +78,10 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     counts["gold.fact_clicks"] = store._rows("gold", "fact_clicks")
     counts["gold.orders_daily_revenue"] = store.overwrite(
         gold.orders_daily_revenue(orders, unique_orders=True), "gold", "orders_daily_revenue")
+    if keep_versions is not None:
+        for layer, table in C.TABLES:
+            if store.exists(layer, table):
+                store.vacuum(layer, table, keep_versions)
     return counts
 
 

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # WindowGroupLimit turns "row_number() = 1" into a map-side top-1.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # remove reliable-checkpoint files once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -380,6 +380,22 @@ class LayerStore:
                        .distinct().collect())
             for r in folders:
                 self._delete(r.d)
+        self._delete(staging)                   # swapped in: the copy is no longer needed
+
+    def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
+        """Delete the folders of all but the newest ``keep`` committed
+        versions of a table (readers still on a removed version fail, so
+        keep at least the versions a running reader may use); returns the
+        versions removed.  The commit log is kept."""
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        versions = sorted({r["version"] for r in self._log_rows(layer, table)})
+        drop = versions[:-keep]
+        for v in drop:
+            path = self._version_path(layer, table, v)
+            if self._exists(path):
+                self._delete(path)
+        return drop
 
     def replace_partitions(self, content: DataFrame, layer: str, table: str,
                            touched: list[dict]) -> int:
