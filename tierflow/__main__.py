@@ -37,6 +37,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--orders-partitions", type=int, default=16)
     p.add_argument("--full", action="store_true",
                    help="re-stage all of bronze instead of only new loads")
+    p.add_argument("--keep-versions", type=int, default=2,
+                   help="version folders kept per table (older ones are deleted)")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     p.add_argument("--report-rows", type=int, default=50,
                    help="how many report rows to print (the report itself is complete)")
@@ -61,7 +63,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                       upper_bound=a.orders_bounds[1], num_partitions=a.orders_partitions)
         orders = jdbc.read(spark, conn, a.orders_jdbc_table, **kw)
     counts = runner.run(store, jsonl.read_clicks(spark, a.clicks), orders,
-                        with_orders=a.with_orders, incremental=not a.full)
+                        with_orders=a.with_orders, incremental=not a.full,
+                        keep_versions=a.keep_versions)
     print(json.dumps({"rows_written": counts}))
     quality.audit(store).orderBy("layer", "table").show(truncate=False)
     quality.contract_report(store).orderBy("layer", "table").show(truncate=False)
