@@ -119,3 +119,15 @@ def test_contract_report_sees_stored_types(spark):
     store._commit("app", "inventory_items", 2, 200)
     assert not quality.contract_report(store).first().schema_ok
     assert dict(store.read("app", "inventory_items").dtypes)["quantity"] == "int"
+
+
+def test_runs_keep_few_versions(spark):
+    import os
+    store = LayerStore(spark, scratch_path(spark, "t-keep"))
+    for _ in range(3):
+        runner.run(store, td.raw_clicks(spark, SF001, "second"), td.oltp_orders(spark, SF001),
+                   run_ts=td.RUN_TS, keep_versions=2)
+    folder = store.table_path("gold", "dim_user").replace("file:", "")
+    versions = sorted(d for d in os.listdir(folder) if d.startswith("v"))
+    assert versions == ["v000002", "v000003"]
+    assert store.read("gold", "dim_user").count() > 0
