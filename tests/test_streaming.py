@@ -35,3 +35,13 @@ def test_late_older_delivery_does_not_win(spark):
     a = store.read("silver", "click_events")
     b = store2.read("silver", "click_events")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_command_line_stream(spark):
+    from tierflow.__main__ import main
+    from tierflow.streaming.incremental import NTZ_FORMAT
+    root = scratch_path(spark, "t-cli-stream")
+    td.raw_clicks(spark, SF001).write.option("timestampNTZFormat", NTZ_FORMAT).json(f"{root}/landing")
+    out = main(["--lake", f"{root}/lake", "--clicks", f"{root}/landing", "--stream"], spark=spark)
+    # 1,000 events; the 1 event with a NULL id is rejected, re-deliveries merge
+    assert out["silver.click_events"] == 999
