@@ -33,7 +33,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
 from tierflow.operators.dedup import latest_per_key
-from tierflow.operators.upsert import checked_keys, upsert as upsert_frames
+from tierflow.operators.upsert import checked_keys
 
 
 def observed(obs: Observation, name: str = "n") -> int:

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow import contracts as C
 
 # ---- fixed values -------------------------------------------------------
 RUN_TS = "2025-01-01 00:00:00"          # load stamp of the reproducible runs
