@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target size of post-shuffle partitions, and so of the files written
+    # after a REBALANCE: fewer, larger files for big tables
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # WindowGroupLimit turns "row_number() = 1" into a map-side top-1.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # remove reliable-checkpoint files once their DataFrame is gone
