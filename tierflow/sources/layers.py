@@ -99,14 +99,65 @@ class LayerStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+    def _children(self, path: str) -> list[str]:
+        """Names of the entries of a folder ([] if it does not exist)."""
+        if not self._exists(path):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def _snapshot(self, layer: str, table: str) -> int:
+        """Highest commit sequence number folded into a log snapshot (0: none)."""
+        snaps = [int(n[1:]) for n in self._children(f"{self.table_path(layer, table)}/_logsnap")
+                 if n.startswith("s") and n[1:].isdigit()]
+        return max(snaps, default=0)
+
     def log(self, layer: str, table: str) -> DataFrame | None:
+        """All commit entries: the newest snapshot plus the entries after it."""
+        snap = self._snapshot(layer, table)
+        parts = []
+        if snap:
+            parts.append(self.spark.read.parquet(
+                f"{self.table_path(layer, table)}/_logsnap/s{snap:08d}"))
         path = self._log_path(layer, table)
-        if not self._exists(path):
-            return None
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
+        if any(n.endswith(".parquet") for n in self._children(path)):
+            try:
+                tail = self.spark.read.parquet(path)
+                parts.append(tail.where(F.col("seq") > F.lit(snap)) if snap else tail)
+            except AnalysisException:
+                pass
+        if not parts:
             return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+    def compact_log(self, layer: str, table: str) -> int:
+        """Fold a table's commit entries into one snapshot file and remove the
+        per-commit files; returns the entries folded.  Safe to interrupt:
+        readers take the newest snapshot plus entries with a higher ``seq``,
+        so a crash between the steps never counts an entry twice."""
+        self._logs.pop((layer, table), None)     # fold what is on disk (with commit times)
+        rows = self._log_rows(layer, table)
+        if not rows:
+            return 0
+        top = max(r["seq"] for r in rows)
+        root = self.table_path(layer, table)
+        old_snaps = self._children(f"{root}/_logsnap")
+        old_files = self._children(self._log_path(layer, table))
+        schema = self.log(layer, table).schema
+        (self.spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows],
+                                    schema)
+             .coalesce(1).write.mode("overwrite").parquet(f"{root}/_logsnap/s{top:08d}"))
+        for name in old_files:
+            self._delete(f"{self._log_path(layer, table)}/{name}")
+        for name in old_snaps:
+            if name != f"s{top:08d}":
+                self._delete(f"{root}/_logsnap/{name}")
+        return len(rows)
 
     def current_version(self, layer: str, table: str) -> int | None:
         return self._log_max(layer, table, "version")
@@ -177,7 +228,9 @@ class LayerStore:
         number of this load (sequenced tables); source_seq: highest load of
         the source table merged into this table so far."""
         rows_cache = self._log_rows(layer, table)
+        seq = max((r.get("seq") or 0 for r in rows_cache), default=0) + 1
         entry = self.spark.range(1).select(
+            F.lit(seq).cast("bigint").alias("seq"),
             F.lit(version).cast("int").alias("version"),
             F.lit(rows).cast("bigint").alias("rows"),
             F.current_timestamp().alias("committed_at"),
@@ -186,7 +239,8 @@ class LayerStore:
             F.lit(source_seq).cast("bigint").alias("source_seq"),
             F.lit(id_high).cast("bigint").alias("id_high"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
-        rows_cache.append({"version": version, "rows": rows, "epoch": epoch,
+        rows_cache.append({"seq": seq, "version": version, "rows": rows,
+                           "committed_at": None, "epoch": epoch,
                            "load_seq": load_seq, "source_seq": source_seq, "id_high": id_high})
 
     def _layout(self, df: DataFrame, layer: str, table: str,
@@ -395,6 +449,8 @@ class LayerStore:
             path = self._version_path(layer, table, v)
             if self._exists(path):
                 self._delete(path)
+        if len(self._log_rows(layer, table)) - self._snapshot(layer, table) > 20:
+            self.compact_log(layer, table)
         return drop
 
     def replace_partitions(self, content: DataFrame, layer: str, table: str,
