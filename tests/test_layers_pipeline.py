@@ -148,3 +148,17 @@ def test_commit_log_compaction(spark):
     assert fresh.log("gold", "dim_user").count() == 5
     audit = {(r.layer, r.table): r.value for r in quality.audit(fresh).collect()}
     assert audit[("gold", "dim_user")] == 2
+
+
+def test_vacuum_compacts_long_logs(spark):
+    import os
+    store = LayerStore(spark, scratch_path(spark, "t-autocompact"))
+    frame = spark.range(2).selectExpr("id AS user_id", "CAST(id AS STRING) AS user_key")
+    for _ in range(22):
+        store.overwrite(frame, "gold", "dim_user")
+    store.vacuum("gold", "dim_user", keep=1)
+    root = store.table_path("gold", "dim_user").replace("file:", "")
+    assert os.listdir(f"{root}/_logsnap") == ["s00000022"]
+    assert not [n for n in os.listdir(f"{root}/_log") if n.endswith(".parquet")]
+    fresh = LayerStore(spark, store.root)
+    assert (fresh.current_version("gold", "dim_user"), fresh._rows("gold", "dim_user")) == (22, 2)
