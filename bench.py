@@ -105,6 +105,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "runs": runs,
+        "pyspark": spark.version,
+        "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "pipeline": pipeline,
     }))
     spark.stop()
