@@ -52,7 +52,9 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame,
     * a create gets a new id = max(existing id, ``id_floor``) + its rank
       among creates by seq, so ids are never reused when ``id_floor`` is
       the highest id ever assigned (``runner.apply_item_changes`` keeps it);
-      a create that carries an id is rejected (see ``items.validity``).
+      a create that carries an id is rejected (see ``items.validity``);
+    * ids of creates are assigned while the set is applied, so updates and
+      deletes in the same set can only refer to ids already in the snapshot.
 
     Plan: the change set is reduced to one row per id (partial aggregation
     runs map-side, so a hot id costs one row per partition) and joined once
