@@ -1,0 +1,89 @@
+"""Small tables and brute-force versions shared by the llm tests."""
+
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+#: Columns whose names clash with those the operators use inside.
+EXTRA = {"ord": 1, "g": "x", "n": 2.5, "key": None, "size": 7, "text2": "t"}
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def docs_frame(spark, texts, ids=None, langs=None, sources=None, extra=True):
+    """A documents table; with extra columns of clashing names."""
+    rows = []
+    for i, t in enumerate(texts):
+        rows.append((ids[i] if ids else i, t, langs[i] if langs else "en",
+                     sources[i] if sources else "src0", len(t) if t is not None else None))
+    schema = DOCS
+    if extra:
+        rows = [r + tuple(EXTRA.values()) for r in rows]
+        schema += ", ord int, g string, n double, key string, size long, text2 string"
+    return spark.createDataFrame(rows, schema)
+
+
+def shingle_bag(text, k=5):
+    w = words(text)
+    grams = [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else ([tuple(w)] if w else [])
+    bag = {}
+    for g in grams:
+        bag[g] = bag.get(g, 0) + 1
+    return bag
+
+
+def weighted_jaccard(a, b):
+    both = sum(min(n, b.get(g, 0)) for g, n in a.items())
+    total = sum(a.values()) + sum(b.values()) - both
+    return both / total if total else 0.0
+
+
+def near_classes(texts, ids, threshold=0.8, k=5):
+    """Class (smallest id) of each text by comparing all pairs that share a
+    shingle."""
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    bags = [shingle_bag(t, k) for t in texts]
+    by_gram, by_text = {}, {}
+    pairs = set()
+    for i, b in enumerate(bags):
+        by_text.setdefault(texts[i] or "", []).append(i)
+        for g in b:
+            by_gram.setdefault(g, []).append(i)
+    for group in by_gram.values():
+        pairs |= {(x, y) for n, x in enumerate(group) for y in group[n + 1:]}
+    links = {(x, y) for x, y in pairs if weighted_jaccard(bags[x], bags[y]) >= threshold}
+    links |= {(g[0], y) for g in by_text.values() for y in g[1:]}
+    for x, y in links:
+        a, b = find(x), find(y)
+        root[max(a, b)] = min(a, b)
+    least = {}
+    for i in range(len(texts)):
+        r = find(i)
+        least[r] = min(least.get(r, ids[i]), ids[i])
+    return [least[find(i)] for i in range(len(texts))]
+
+
+def cut_words(docs, window=20):
+    """{doc_id: (n_words, n_removed, kept text)} of (doc_id, text) rows with
+    distinct ids: the substring dedup contract, window by window."""
+    seen, out = set(), {}
+    for i, t in sorted(docs):
+        w = words(t)
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s:s + window])
+            if key in seen:
+                gone[s:s + window] = [True] * window
+            seen.add(key)
+        out[i] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
+    return out

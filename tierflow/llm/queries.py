@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.minhash_dart import near_duplicates
 from tierflow.llm.substring_dedup import dedup_substrings
 
 
@@ -20,6 +21,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_minhash_dart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "is_first")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_minhash_dart": op10_minhash_dart,
     "op9_substring_dedup": op9_substring_dedup,
 }
