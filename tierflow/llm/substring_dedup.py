@@ -202,16 +202,18 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     blocks = staged(slim.select("ord", "d1", "text").join(lists, ["ord", "d1"])
                     .mapInArrow(_cut_blocks(window, anchor), _BLOCKS), "substring-blocks")
     place = F.struct("ord", "d1", "start")
-    classes = staged(blocks.groupBy("g", "same", "size").agg(F.min(place).alias("first")),
+    classes = staged(blocks.groupBy("g", "same", "size")
+                     .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")),
                      "substring-classes")
     mixed = classes.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
 
     def span(start, n):
         return F.shiftleft(start.cast("long"), 32).bitwiseOR((start + n + (window - 1)).cast("long"))
 
-    copied = (blocks.drop("windows").join(classes, ["g", "same", "size"])
-              .where(place != F.col("first"))
-              .select("ord", "d1", span(F.col("start"), F.col("size")).alias("span")))
+    copied = staged(blocks.drop("windows").join(classes.where("n > 1"), ["g", "same", "size"])
+                    .where(place != F.col("first"))
+                    .select("ord", "d1", span(F.col("start"), F.col("size")).alias("span")),
+                    "substring-copied")
     # boundaries: only the first block of each class can hold a first window
     heads = (classes.join(mixed, "g", "left_semi").select("first.*", "g", "size")
              .join(blocks.select("ord", "d1", "start", "g", "windows"), ["ord", "d1", "start", "g"]))
