@@ -24,4 +24,36 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
-SQL: dict[str, str] = {"op9_substring_dedup": OP9}
+OP1 = """
+WITH e AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+OP7 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper FROM p
+)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM m
+"""
+
+SQL: dict[str, str] = {
+    "op1_topk_maxscore": OP1,
+    "op7_warc": OP7,
+    "op9_substring_dedup": OP9,
+}
