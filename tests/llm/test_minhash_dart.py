@@ -65,3 +65,38 @@ def test_repeated_rows(spark):
     assert got == [(2, 2, True), (4, 4, True), (4, 4, True), (9, 4, False)]
     kept = drop_near_duplicates(df)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 4]
+
+
+def test_block_links_match_pairwise_similarity():
+    from tierflow.llm.minhash_dart import _bags, similarity, spanning_links
+    rng = random.Random(4)
+    base = [f"w{rng.randint(0, 40)}" for _ in range(120)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(120)] = f"e{rng.randint(0, 30)}"
+        texts.append(" ".join(w).encode())
+    texts += [b"a b", b"a b c", b""]
+    bags = _bags(texts, 5)
+    want = near_classes([t.decode() for t in texts], list(range(len(texts))))
+    root = list(range(len(texts)))
+    for i, j in zip(*spanning_links(bags, 0.8)):
+        assert similarity(bags[i], bags[j]) >= 0.8
+        a, b = root[i], root[j]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    assert root == want
+
+
+def test_small_blocks_give_the_same_classes(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(120)]
+    texts = []
+    for i in range(80):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(120)] = f"edit{rng.randint(0, 999)}"
+        texts.append(" ".join(w))
+    df = docs_frame(spark, texts)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(df, block=7, bands=40).collect()}
+    assert got == dict(enumerate(near_classes(texts, list(range(80)))))

@@ -12,10 +12,12 @@ the number of its words plus about ``size * ln(size)`` darts, not their
 product.
 
 Signatures are cut into bands; documents that agree in a band are candidates.
-Every candidate link is verified on the whole texts.  A band's bucket is never
-expanded into pairs: its smallest document leads, all others are compared with
-the leader, and those that no leader has matched elect the next one, until
-all are matched; every leader is compared with the whole bucket.
+Every link is verified on whole texts.  A band's bucket is never expanded into
+rows of pairs: first all of its documents are compared with its hub, the one
+with most companions over all bands.  That joins most groups (an original and
+its copies).  What remains are buckets whose documents are not all in one
+class yet; there, blocks of bounded size are compared as a whole by a matrix
+product, which emits a spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
+#: Documents in a block of a bucket; two blocks meet in one task.
+BLOCK = 512
 
 _U = np.uint64
 _LAST = (1 << 63) - 1
@@ -130,7 +134,7 @@ def _signatures(shingle: int, bands: int, rows: int, seed: int):
                 flat = pa.array(keys[some].reshape(-1).view(np.int64))
                 offsets = pa.array((np.arange(len(some) + 1) * bands).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [b["id"].slice(lo, n).take(pa.array(some)), pa.ListArray.from_arrays(offsets, flat)],
+                    [b["id"].slice(lo, n).take(pa.array(some, pa.int64())), pa.ListArray.from_arrays(offsets, flat)],
                     names=["id", "keys"])
     return run
 
@@ -181,8 +185,63 @@ def _verify(shingle: int, threshold: float):
     return run
 
 
+def _linked(shingle: int, threshold: float):
+    """Compare all documents of a block, or of two, and emit links that join
+    those which similar pairs connect."""
+    def run(table: pa.Table) -> pa.Table:
+        ids = table["id"].combine_chunks()
+        bags = _bags(table["text"].cast(pa.binary()).to_pylist(), shingle)
+        a, b = spanning_links(bags, threshold)
+        return pa.table({"id": ids.take(pa.array(a, pa.int64())), "lead": ids.take(pa.array(b, pa.int64()))})
+    return run
+
+
+def spanning_links(bags: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> tuple[list[int], list[int]]:
+    """Links (i, j) of bags of similarity ``threshold`` or more that connect
+    all bags which such links connect, without cycles."""
+    n = len(bags)
+    owner = np.repeat(np.arange(n), [int(w.sum()) for _, w in bags])
+    # the k-th occurrence of a shingle is an element of its own
+    unit = np.concatenate([mix(np.repeat(e, w.astype(np.int64))
+                               + mix(_nth(w.astype(np.int64)).astype(_U))) for e, w in bags])
+    total = np.bincount(owner, minlength=n).astype(np.float32)
+    _, column, uses = np.unique(unit, return_inverse=True, return_counts=True)
+    often = uses[column] > 1
+    rank = np.cumsum(uses > 1) - 1
+    owner, column = owner[often], rank[column[often]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    width = max(1, (1 << 22) // n)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [at, at + width])
+        x = np.zeros((n, width), np.float32)
+        x[owner[lo:hi], column[lo:hi] - at] = 1
+        both += x @ x.T
+    i, j = np.nonzero(np.triu(both >= threshold * (total[:, None] + total[None, :] - both) - 1e-3, 1))
+    root, links = list(range(n)), ([], [])
+    for x, y in zip(i.tolist(), j.tolist()):
+        a, b = x, y
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        while root[b] != b:
+            root[b] = root[root[b]]
+            b = root[b]
+        if a != b and both[x, y] / (float(total[x]) + float(total[y]) - float(both[x, y])) >= threshold:
+            root[max(a, b)] = min(a, b)
+            links[0].append(x)
+            links[1].append(y)
+    return links
+
+
+def _nth(counts: np.ndarray) -> np.ndarray:
+    """0..c-1 for each c of ``counts``."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
-                    bands: int = BANDS, rows: int = ROWS, seed: int = 0) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, seed: int = 0) -> DataFrame:
     """``docs`` with two more columns: ``class_id``, the smallest ``doc_id``
     of the document's near-duplicates (its own if it has none), and
     ``is_first``, true for the one document that stands for its class.  They
@@ -201,14 +260,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     gives an empty table.  Other columns are passed on.
     """
     return _labelled(docs.drop("class_id", "is_first"),
-                     _classes(docs, threshold, shingle, bands, rows, seed))
+                     _classes(docs, threshold, shingle, bands, rows, block, seed))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are first in their class, with its columns;
     of rows that repeat a ``doc_id`` and its text, one."""
     classes = _classes(docs, **({"threshold": THRESHOLD, "shingle": SHINGLE, "bands": BANDS,
-                                 "rows": ROWS, "seed": 0} | options))
+                                 "rows": ROWS, "block": BLOCK, "seed": 0} | options))
     first = _labelled(docs.drop("class_id", "is_first"), classes).where("is_first").drop("class_id", "is_first")
     if not classes.where("leads and rows > 1").isEmpty():
         first = first.dropDuplicates(["doc_id", "text"])
@@ -232,7 +291,8 @@ def _keys() -> list:
             F.coalesce(F.col("doc_id"), F.lit(_LAST)).cast("long").alias("ord")]
 
 
-def _classes(docs: DataFrame, threshold: float, shingle: int, bands: int, rows: int, seed: int) -> DataFrame:
+def _classes(docs: DataFrame, threshold: float, shingle: int, bands: int, rows: int,
+             block: int, seed: int) -> DataFrame:
     """The class of each distinct text: d1, d2 (its hashes), ord (its smallest
     doc_id), rows (that have both), root (the class), leads."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -250,51 +310,47 @@ def _classes(docs: DataFrame, threshold: float, shingle: int, bands: int, rows:
                   .select("id.*", "keys"), "dart-signatures")
     entries = (sigs.join(copies, ["d1", "d2", "ord"], "left_semi").dropDuplicates(["d1", "d2", "ord"])
                .select(ident.alias("id"), F.posexplode("keys").alias("band", "key")))
-    shared = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
+    shared = staged(entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "dart-shared")
     members = staged(entries.join(shared, ["band", "key"], "left_semi"), "dart-members")
     involved = members.select("id.*").distinct()
     texts = staged(slim.join(involved, ["ord", "d1", "d2"], "left_semi").dropDuplicates(["ord", "d1", "d2"])
                    .select(ident.alias("id"), "text"), "dart-texts")
 
-    matched, open_ = [], members
-    while True:
-        leads = staged(open_.groupBy("band", "key").agg(F.min("id").alias("lead")), "dart-leads")
-        if leads.isEmpty():
-            break
-        pairs = (members.join(leads, ["band", "key"]).where(F.col("id") != F.col("lead"))
-                 .select("id", "lead").distinct())
-        seen = _verified(pairs, texts, matched, shingle, threshold)
-        matched.append(seen)
-        known = _union(matched).where("ok").select("id", "lead")
-        covered = members.join(leads, ["band", "key"]).join(known, ["id", "lead"], "left_semi").select("id", "band", "key")
-        open_ = staged(open_.join(covered, ["id", "band", "key"], "left_anti")
-                       .join(leads.select("band", "key", F.col("lead").alias("id")), ["id", "band", "key"], "left_anti"),
-                       "dart-open")
-
-    if matched:
-        links = _union(matched).where("ok").select(F.col("id").alias("a"), F.col("lead").alias("b"))
-        roots = components(links).select("node.*", "root")
-        copies = copies.join(roots, ["ord", "d1", "d2"], "left")
-    else:
-        copies = copies.withColumn("root", F.lit(None).cast("struct<ord:bigint,d1:bigint,d2:bigint>"))
+    degree = members.join(shared, ["band", "key"]).groupBy("id").agg(F.sum("n").alias("degree"))
+    hubs = (members.join(degree, "id").groupBy("band", "key")
+            .agg(F.min(F.struct((-F.col("degree")).alias("order"), "id")).alias("hub"))
+            .select("band", "key", F.col("hub.id").alias("lead")))
+    pairs = members.join(hubs, ["band", "key"]).where(F.col("id") != F.col("lead")).select("id", "lead").distinct()
+    hub_links = _verified(pairs, texts, shingle, threshold)
+
+    rooted = members.join(components(hub_links), F.col("id") == F.col("node"), "left").select(
+        "band", "key", "id", F.coalesce("root", "id").alias("root"))
+    # a set of documents often fills several buckets: one of them is enough
+    split = (rooted.groupBy("band", "key")
+             .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"),
+                  F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("ids"))
+             .where("a <> b").groupBy("n", "ids").agg(F.min(F.struct("band", "key")).alias("x"))
+             .select("x.*", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    rest = (members.join(split, ["band", "key"])
+            .withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .select("id", "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+            .join(texts, "id"))
+    kind = "struct<ord:bigint,d1:bigint,d2:bigint>"
+    block_links = staged(rest.groupBy("band", "key", "i", "j")
+                         .applyInArrow(_linked(shingle, threshold), f"id {kind}, lead {kind}"), "dart-block-links")
+    roots = (components(hub_links.union(block_links.withColumnsRenamed({"id": "a", "lead": "b"})))
+             .select("node.*", "root"))
+    copies = copies.join(roots, ["ord", "d1", "d2"], "left")
     return staged(copies.select("d1", "d2", "rows", "ord", F.coalesce("root.ord", "ord").alias("root"),
                                 (F.coalesce("root", ident) == ident).alias("leads")), "dart-classes")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, matched: list[DataFrame], shingle: int,
-              threshold: float) -> DataFrame:
-    """Whether the pairs that were not compared before are similar."""
-    if matched:
-        pairs = pairs.join(_union(matched).select("id", "lead"), ["id", "lead"], "left_anti")
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The pairs (id, lead) that are similar, as links (a, b)."""
     both = (pairs.join(texts, "id")
             .join(texts.withColumnsRenamed({"id": "lead", "text": "lead_text"}), "lead")
             .select("id", "lead", "text", "lead_text").sortWithinPartitions("lead"))
     kind = "struct<ord:bigint,d1:bigint,d2:bigint>"
-    return staged(both.mapInArrow(_verify(shingle, threshold), f"id {kind}, lead {kind}, ok boolean"), "dart-verified")
+    found = both.mapInArrow(_verify(shingle, threshold), f"id {kind}, lead {kind}, ok boolean")
+    return staged(found.where("ok").select(F.col("id").alias("a"), F.col("lead").alias("b")), "dart-hub-links")
