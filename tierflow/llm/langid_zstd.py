@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
@@ -34,7 +33,7 @@ LEVEL = 9
 #: less decides there.
 SHORT, SHORT_LEVEL = 1024, 3
 #: Levels that break a tie, in turn.
-TIE_LEVELS = (12, 6, 5, 7, 10, 4)
+TIE_LEVELS = (12, 6, 5)
 
 UNKNOWN = "und"
 
@@ -81,11 +80,11 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.langs = sorted(dictionaries)
         self.dictionaries = [dictionaries[x] for x in self.langs]
+        self.by_level: dict[int, list[zstandard.ZstdCompressor]] = {}
 
-    @lru_cache(maxsize=None)  # noqa: B019  one classifier lives as long as its worker
     def _encoders(self, level: int) -> list[zstandard.ZstdCompressor]:
-        out = []
-        for d in self.dictionaries:
+        out = self.by_level.setdefault(level, [])
+        for d in self.dictionaries[len(out):]:
             raw = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=level)
             out.append(zstandard.ZstdCompressor(level=level, dict_data=raw, write_checksum=False,
