@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Entries of each of the caches of a Python worker.
+#: Entries of each of the caches of a task.
 CACHE = 300_000
-#: Words that are put together at a time.
+#: Texts that are encoded, and words that are put together, at a time.
+ROWS = 512
 RUN = 65_536
 
 
@@ -57,6 +58,9 @@ class PrefixEncoder:
         # line ends that no piece goes across end a word, too
         ends = "".join(re.escape(c) for c in "\n\t\r" if c not in joined)
         self.words = re.compile(f"{MARK}*[^{MARK}{ends}]+|{MARK}+" + (f"|[{ends}]" if ends else ""))
+        self.digits = [str(i) for i in range(size)]
+        self.surfaces = [bytes([self.byte_of[i]]) if i in self.byte_of else p.replace(MARK, " ").encode()
+                         for i, p in enumerate(self.pieces)]
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             self.automaton.add_word(p, (p, len(p)))
@@ -138,11 +142,11 @@ class PrefixEncoder:
                 fits = known.get((left, piece))
                 if self._fits(left, piece) if fits is None else fits:
                     last[end] = piece
-        last = [word[i - 1] if t is None else t for i, t in enumerate(last)]
         out, end = [], len(word)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            token = last[end] or word[end - 1]
+            out.append(token)
+            end -= len(token)
         return out[::-1]
 
     def _encoded(self, word: str) -> str | tuple[str, bytes]:
@@ -153,8 +157,11 @@ class PrefixEncoder:
             ids: list[int] = []
             for token in self.tokens(word):
                 one = self.ids.get(token)
-                ids += [one] if one is not None else [self.bytes[b] for b in token.encode()]
-            found, surface = ",".join(map(str, ids)), self._surface(ids)
+                if one is not None:
+                    ids.append(one)
+                else:
+                    ids += [self.bytes[b] for b in token.encode()]
+            found, surface = ",".join([self.digits[i] for i in ids]), self._surface(ids)
             if surface != word.replace(MARK, " ").encode():
                 found = found, surface
         if len(self.young) >= CACHE:
@@ -164,8 +171,7 @@ class PrefixEncoder:
 
     def _surface(self, ids: list[int]) -> bytes:
         """Decoded bytes of ids that are not the first of their text."""
-        return b"".join(bytes([self.byte_of[i]]) if i in self.byte_of
-                        else self.pieces[i].replace(MARK, " ").encode() for i in ids)
+        return b"".join([self.surfaces[i] for i in ids])
 
     def runs(self, text: str) -> Iterator[tuple[str, bytes]]:
         """(ids joined by commas, decoded bytes) of runs of words, of bounded
@@ -235,7 +241,7 @@ def encode_texts(docs: DataFrame, model_file: str, columns: tuple[str, ...] = ("
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PrefixEncoder(model_file)
-        for b in batches:
+        for b in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             found = [encoder.coded(t or "", columns) for t in b.column(at).to_pylist()]
             more = [pa.array([f[c] for f in found], COLUMNS[c][1]) for c in columns]
             yield pa.RecordBatch.from_arrays([*b.columns, *more],

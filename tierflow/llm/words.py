@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text hashed at a time: bounds the temporary arrays.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
