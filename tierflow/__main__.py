@@ -47,8 +47,6 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--keep-versions", type=int, default=2,
                    help="version folders kept per table (older ones are deleted)")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
-    p.add_argument("--report-rows", type=int, default=50,
-                   help="how many report rows to print (the report itself is complete)")
     a = p.parse_args(argv)
     if not a.clicks:
         p.error("no click files: pass --clicks or set CLICKSTREAM_PATH")
@@ -73,10 +71,10 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         orders = spark.read.parquet(a.orders_parquet)
     elif a.orders_jdbc_table:
         conn = jdbc.connection("OLTP_JDBC_URL", "OLTP_USER", "OLTP_PASSWORD")
-        kw = {}
-        if a.orders_bounds:
-            kw = dict(partition_column=a.orders_split_column, lower_bound=a.orders_bounds[0],
-                      upper_bound=a.orders_bounds[1], num_partitions=a.orders_partitions)
+        if not a.orders_bounds:
+            raise SystemExit("--orders-jdbc-table needs --orders-bounds: without them one task reads the table")
+        kw = dict(partition_column=a.orders_split_column, lower_bound=a.orders_bounds[0],
+                  upper_bound=a.orders_bounds[1], num_partitions=a.orders_partitions)
         orders = jdbc.read(spark, conn, a.orders_jdbc_table, **kw)
     counts = runner.run(store, jsonl.read_clicks(spark, a.clicks), orders,
                         with_orders=a.with_orders, incremental=not a.full,
@@ -84,7 +82,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     print(json.dumps({"rows_written": counts}))
     quality.audit(store).orderBy("layer", "table").show(truncate=False)
     quality.contract_report(store).orderBy("layer", "table").show(truncate=False)
-    runner.report_daily_revenue(store).show(a.report_rows, truncate=False)
+    for row in runner.report_daily_revenue(store).toLocalIterator():   # the whole report, a row per day
+        print("\t".join("NULL" if v is None else str(v) for v in row))
     return counts
 
 

@@ -57,9 +57,10 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
 
     done = store.source_seq("silver", "click_events") if incremental else None
     loaded = store.last_load_seq("bronze", "click_events")
-    stage = silver.clicks(store.read_loads_after("bronze", "click_events", done), run_ts)
-    keyed = stage.where(F.col("event_id").isNotNull())
-    rejected = stage.where(F.col("event_id").isNull())
+    loads = store.read_loads_after("bronze", "click_events", done)
+    keyed = silver.clicks(loads.where(F.col("event_id").isNotNull()), run_ts)
+    # every unkeyed row is kept: de-duplication by a NULL key would leave one
+    rejected = silver.clicks(loads.where(F.col("event_id").isNull()), run_ts, dedup=False)
     counts["silver.click_events_rejected"] = (
         store.append(rejected, "silver", "click_events_rejected") if incremental
         else store.overwrite(rejected, "silver", "click_events_rejected"))
@@ -77,7 +78,7 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
         refresh_fact_clicks(store, [d["_event_date"] for d in merged.touched])
     counts["gold.fact_clicks"] = store._rows("gold", "fact_clicks")
     counts["gold.orders_daily_revenue"] = store.overwrite(
-        gold.orders_daily_revenue(orders, unique_orders=True), "gold", "orders_daily_revenue")
+        gold.orders_daily_revenue(orders), "gold", "orders_daily_revenue")
     if keep_versions is not None:
         for layer, table in C.TABLES:
             if store.exists(layer, table):

@@ -57,19 +57,20 @@ def orders(bronze: DataFrame, run_ts=None, dedup: bool = False,
     return C.conform(df, C.SILVER_ORDERS)
 
 
-def clicks(bronze: DataFrame, run_ts=None, null_keys: str = "keep") -> DataFrame:
+def clicks(bronze: DataFrame, run_ts=None, null_keys: str = "keep", dedup: bool = True) -> DataFrame:
     """bronze.click_events -> silver.click_events rows: keep the latest
     delivery per event_id (by ts, then _ingested_at, NULLs last), then
     normalise text and paths and extract the metadata attributes.
 
     Only the key and the ordering columns are needed to pick the survivor,
     so cleaning and JSON parsing run after the de-duplication, on survivors
-    only, and the shuffle carries the narrower bronze rows.
+    only, and the shuffle carries the narrower bronze rows.  ``dedup=False``
+    keeps every row (unkeyed rows have nothing to be de-duplicated by).
     """
     cols = ["event_id", "user_id", "session_id", "event_type", "page", "route",
             "element", "metadata_json", "_ingested_at"]
     keyed = bronze.select(*cols, to_utc_ntz(bronze, "ts").alias("ts_utc"))
-    latest = latest_per_key(keyed, ["event_id"], DEDUP_ORDER_CLICKS, null_keys=null_keys)
+    latest = latest_per_key(keyed, ["event_id"], DEDUP_ORDER_CLICKS, null_keys=null_keys) if dedup else keyed
     out = with_json_fields(latest, "metadata_json").select(
         "event_id", "user_id", "session_id",
         norm_lower("event_type").alias("event_type"),

@@ -58,8 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder
-    and is used as is.  Only when it is unset (local tests) a private
-    temporary folder is created and registered.
+    and is used as is.  Only where it is unset on a local master (tests) a
+    private temporary folder is created and registered; on a cluster that
+    folder would be out of the executors' reach, so ValueError is raised.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -67,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="tierflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()

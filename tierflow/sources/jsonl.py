@@ -21,11 +21,6 @@ def read_clicks(spark: SparkSession, path: str, schema=C.RAW_CLICK) -> DataFrame
             .json(path))
 
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1):
-    """Discovery helper: infer a schema from a sample of the files."""
-    return spark.read.option("samplingRatio", sampling_ratio).json(path).schema
-
-
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a frame as JSON lines (NULL fields are omitted, like the
     files the collector produces)."""

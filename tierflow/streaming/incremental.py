@@ -52,11 +52,10 @@ def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None)
     try:
         if epoch > store.last_epoch("bronze", "click_events"):
             store.append(b, "bronze", "click_events", epoch=epoch)
-        stage = silver.clicks(b, run_ts)
         if epoch > store.last_epoch("silver", "click_events_rejected"):
-            store.append(stage.where(F.col("event_id").isNull()),
+            store.append(silver.clicks(b.where(F.col("event_id").isNull()), run_ts, dedup=False),
                          "silver", "click_events_rejected", epoch=epoch)
-        keyed = stage.where(F.col("event_id").isNotNull())
+        keyed = silver.clicks(b.where(F.col("event_id").isNotNull()), run_ts)
         store.upsert(keyed, "silver", "click_events", epoch=epoch,
                      prefer_latest=silver.DEDUP_ORDER_CLICKS)
     finally:
