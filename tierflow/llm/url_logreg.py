@@ -64,11 +64,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def _grams(text: Column, tag: str) -> Column:
     """Character n-grams of a text between marks, with the part's tag."""
-    chars = F.split(F.concat(F.lit("\x02"), text, F.lit("\x03")), "")
-    return F.concat(*(F.when(F.size(chars) >= n, F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(1))),
-        lambda i, n=n: F.concat(F.lit(tag), F.array_join(F.slice(chars, i, n), ""))))
-        .otherwise(F.array().cast("array<string>")) for n in NGRAMS))
+    marked = F.concat(F.lit("\x02"), text, F.lit("\x03"))
+    # each match takes one character and looks at the n from it on: linear in
+    # the text, however long a url is
+    return F.concat(*(F.transform(F.regexp_extract_all(marked, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)),
+                                  lambda gram: F.concat(F.lit(tag), gram)) for n in NGRAMS))
 
 
 def _features(df: DataFrame, host: str, path: str, out: str) -> DataFrame:
