@@ -2,7 +2,7 @@
 
 import pytest
 
-from tierflow.plans import quality, runner
+from tierflow.plans import bronze, quality, runner
 from tierflow.session import scratch_path
 from tierflow.sources import testdata as td
 from tierflow.sources.layers import LayerStore
@@ -78,7 +78,47 @@ def test_incremental_runs_equal_full_recompute(spark):
     # the second incremental run staged only the second load
     plan = inc.read_loads_after("bronze", "click_events", 1)._jdf.queryExecution() \
         .executedPlan().toString()
-    assert "GreaterThan(_load_seq,1)" in plan
+    assert "PartitionFilters: [isnotnull(_load_seq" in plan
+
+
+def stopped(*args, **kw):
+    raise OSError("stopped")
+
+
+def test_stopped_append_is_not_seen_and_written_anew(spark, monkeypatch):
+    store = LayerStore(spark, scratch_path(spark, "t-stop"))
+    first, second = (bronze.clicks(td.raw_clicks(spark, SF001, x), td.RUN_TS) for x in ("first", "second"))
+    n = store.append(first, "bronze", "click_events")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_commit", stopped)
+        with pytest.raises(OSError):
+            store.append(second, "bronze", "click_events")
+    assert store.read("bronze", "click_events").count() == n
+    n += store.append(second, "bronze", "click_events")
+    assert store.read("bronze", "click_events").count() == n
+    for scan in (True, False):
+        assert quality.audit(store, scan=scan).first().value == n
+    with pytest.raises(ValueError):
+        store.append(first, "silver", "orders")
+
+
+def test_gold_follows_silver_after_a_stop(spark, monkeypatch):
+    store = LayerStore(spark, scratch_path(spark, "t-follow"))
+    first, second = (td.raw_clicks(spark, SF001, x) for x in ("first", "second"))
+    runner.run(store, first, run_ts=td.RUN_TS, load_id="a")
+    with monkeypatch.context() as m:
+        m.setattr(runner, "refresh_fact_clicks", stopped)
+        with pytest.raises(OSError):
+            runner.run(store, second, run_ts=td.RUN_TS, load_id="b")
+    # the run is repeated: its clicks are not loaded again, and gold catches up
+    counts = runner.run(store, second, run_ts=td.RUN_TS, load_id="b")
+    assert counts["bronze.click_events"] == 0
+    assert store.read("bronze", "click_events").count() == first.count() + second.count()
+    assert store.read("silver", "click_events_rejected").count() == 1
+    silver = store.read("silver", "click_events")
+    total = store.read("gold", "fact_clicks").selectExpr("sum(events_count)").first()[0]
+    assert total == silver.count()
+    assert store.source_seq("gold", "fact_clicks") == store.last_commit("silver", "click_events")
 
 
 def test_views_and_ddl(spark):

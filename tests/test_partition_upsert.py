@@ -102,3 +102,15 @@ def test_partition_upsert_equals_frame_upsert(spark, trows, srows, latest):
     key = lambda r: repr(tuple(r))
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
     assert store._rows("silver", "click_events") == got.count()
+
+
+def test_thousands_of_partitions_and_a_root_with_a_space(spark):
+    store = LayerStore(spark, scratch_path(spark, "t my lake"))
+    store.upsert(clicks(spark, [("a", T(2024, 1, 1, 5), "x"), ("b", T(2024, 1, 2, 5), "x")]), "silver", "click_events")
+    store.upsert(clicks(spark, [("a", T(2024, 1, 3, 5), "moved")]), "silver", "click_events")
+    got = store.read("silver", "click_events")
+    assert sorted((r.event_id, r.device) for r in got.collect()) == [("a", "moved"), ("b", "x")]
+    days = [{"_event_date": dt.date(2000, 1, 1) + dt.timedelta(days=i)} for i in range(9000)] + [{"_event_date": None}]
+    raw = store.read("silver", "click_events", raw=True)
+    assert raw.where(store._any_match(days, ["_event_date"])).count() == 2
+    assert raw.where(store._any_match(days[:5], ["_event_date"])).count() == 0

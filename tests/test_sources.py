@@ -1,7 +1,11 @@
 """JSON lines round trip and JDBC option building (no database is started)."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
+from tierflow.plans import bronze
 from tierflow.sources import jdbc, jsonl
 from tierflow.sources import testdata as td
 from tierflow.session import scratch_path
@@ -14,7 +18,8 @@ def test_jsonl_round_trip(spark):
     path = scratch_path(spark, "t-jsonl")
     jsonl.write_lines(raw, path)
     back = jsonl.read_clicks(spark, path)
-    assert back.schema.simpleString() == raw.schema.simpleString()
+    assert not any(r._malformed for r in back.collect())
+    back = back.drop("_malformed").withColumn("metadata", F.from_json("metadata", raw.schema["metadata"].dataType))
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
 
 
@@ -52,3 +57,16 @@ def test_malformed_json_line_keeps_a_null_row(spark):
     rows = jsonl.read_clicks(spark, path).collect()
     assert len(rows) == 2
     assert sorted((r.event_id is None) for r in rows) == [False, True]
+    assert [r._malformed for r in rows if r.event_id is None] == ['{"event_id": broken']
+
+
+def test_metadata_is_open_and_lines_keep_their_text(spark):
+    path = scratch_path(spark, "t-open-json")
+    lines = ['{"event_id":"e1","metadata":{"plan":"gold","k":"abc","n":{"x":[1,2.50]}}}',
+             '{"event_id":"e2","user_id":"no number","metadata":{"os":"linux"}}', 'no json "at" all',
+             '{"event_id":"e3","metadata":{}}', '{"event_id":"e4"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = {r["event_id"]: r["metadata_json"] for r in bronze.clicks(jsonl.read_clicks(spark, path)).collect()}
+    assert got["e1"] == '{"plan":"gold","k":"abc","n":{"x":[1,2.50]}}' and got["e3"] == "{}" and got["e4"] is None
+    assert json.loads(got["e2"]) == {"_malformed": lines[1], "os": "linux"}
+    assert json.loads(got[None]) == {"_malformed": lines[2]}

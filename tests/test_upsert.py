@@ -49,3 +49,11 @@ def test_properties(spark, tk, sk):
     assert len(out) == len(set(tk) | set(sk))                 # |t ∪ s keys|
     assert rows(upsert(once, s, ["id"])) == out              # idempotent
     assert all(r[1] == "s" for r in out if r[0] in set(sk))  # source wins
+
+
+def test_bad_keys_fail_on_an_empty_target(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    src = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3)], SCHEMA)
+    for use in (lambda df: df.collect(), lambda df: df.count()):
+        with pytest.raises(Exception, match="NULL or repeated key"):
+            use(upsert(empty, src, ["id"]))

@@ -46,6 +46,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
                         "(e.g. '1 minute'); default: process what is there, then stop")
     p.add_argument("--keep-versions", type=int, default=2,
                    help="version folders kept per table (older ones are deleted)")
+    p.add_argument("--load-id", default=None,
+                   help="name of this load of clicks: one already loaded is not loaded again")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     a = p.parse_args(argv)
     if not a.clicks:
@@ -78,7 +80,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         orders = jdbc.read(spark, conn, a.orders_jdbc_table, **kw)
     counts = runner.run(store, jsonl.read_clicks(spark, a.clicks), orders,
                         with_orders=a.with_orders, incremental=not a.full,
-                        keep_versions=a.keep_versions)
+                        keep_versions=a.keep_versions, load_id=a.load_id)
     print(json.dumps({"rows_written": counts}))
     quality.audit(store).orderBy("layer", "table").show(truncate=False)
     quality.contract_report(store).orderBy("layer", "table").show(truncate=False)

@@ -17,15 +17,11 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# JSON-lines click record as it lands (A1).  metadata keys are those the
-# silver job reads, plus device/search_term from the sample events and a
-# numeric k; fields are in alphabetical order like an inferred schema.
-CLICK_METADATA = _schema(("browser", S), ("campaign", S), ("country", S),
-                         ("device", S), ("k", L), ("os", S), ("search_term", S))
-
+# JSON-lines click record as it lands (A1).  metadata is open: its JSON text
+# is kept as it is, whatever keys and types it has.
 RAW_CLICK = _schema(("event_id", S), ("user_id", L), ("session_id", S),
                     ("event_type", S), ("page", S), ("route", S), ("element", S),
-                    ("ts", S), ("metadata", CLICK_METADATA))
+                    ("ts", S), ("metadata", S))
 
 # A landed click file may carry the delivery time stamped by the collector.
 LANDED_CLICK = T.StructType(RAW_CLICK.fields + [T.StructField("_ingested_at", TS, True)])
@@ -100,15 +96,14 @@ PARTITION_EXPRS: dict[str, str] = {
 # are written as they come.
 REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks"),
                       ("silver", "click_events")}
-# Append-only tables whose rows carry the sequence number of the load that
-# wrote them (storage-only column ``_load_seq``): an incremental reader
-# takes the loads after the last one it processed, and since every file
-# holds one load, parquet min/max statistics skip the older files.
-LOAD_SEQUENCED = {("bronze", "click_events")}
+# Append-only tables with a folder per load (storage-only partition column
+# ``_load_seq``): readers list the folders of committed loads only, and an
+# incremental reader those after the last one it processed.
+LOAD_SEQUENCED = {("bronze", "click_events"), ("silver", "click_events_rejected")}
 # Types of the storage partition columns (declared, never inferred: a
 # version holding only NULL partition values would otherwise read as VOID).
 PARTITION_TYPES: dict[str, T.DataType] = {
-    "_ingest_date": T.DateType(), "_event_date": T.DateType(),
+    "_load_seq": T.LongType(), "_ingest_date": T.DateType(), "_event_date": T.DateType(),
     "order_month": T.IntegerType(), "event_month": T.IntegerType(),
 }
 # Sort order inside the files of each stored table (for row-group pruning).
@@ -168,6 +163,8 @@ def ddl(layer: str, table: str, location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` text for a contract (B5): the schema,
     storage partition columns and, optionally, a location."""
     schema, keys, parts = TABLES[(layer, table)]
+    if (layer, table) in LOAD_SEQUENCED:
+        parts = ["_load_seq", *parts]
     cols = [f"  {f.name} {f.dataType.simpleString().upper()}" for f in schema.fields]
     cols += [f"  {p} {PARTITION_TYPES[p].simpleString().upper()}" for p in parts]
     text = f"CREATE TABLE IF NOT EXISTS {layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"

@@ -43,6 +43,20 @@ def checked_keys(source: DataFrame, keys: list[str]) -> DataFrame:
                             for k in keys]))
 
 
+def checked_rows(source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` itself; evaluating it fails the job if a key is NULL or
+    repeated, whatever else the plan does with its keys."""
+    rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                     F.first(F.struct(*(c for c in source.columns if c not in keys))).alias("__row"))
+    bad = F.col("__n") > 1
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    msg = F.concat(F.lit("upsert source has a NULL or repeated key: "), F.to_json(F.struct(*keys)))
+    # a filter on the count: neither pruned with columns nor pushed below
+    ok = rows.where(F.when(bad, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
+    return ok.select(*keys, "__row.*").select(*source.columns)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            check_source: bool = True) -> DataFrame:
     """``source`` rows win whole (NULLs included); unmatched target rows stay.
@@ -61,6 +75,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     collected or broadcast.
     """
     src = source.select(*target.columns)
+    if check_source and set(target.columns) > set(keys):
+        src = checked_rows(src, keys)
     src_keys = checked_keys(source, keys) if check_source else source.select(*keys)
     kept = target.join(src_keys, on=keys, how="left_anti")
     return src.unionByName(kept)

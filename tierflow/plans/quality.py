@@ -50,13 +50,13 @@ def _stored(store: LayerStore) -> list[tuple[str, str]]:
     return [(layer, table) for (layer, table) in C.TABLES if store.exists(layer, table)]
 
 
-def audit(store: LayerStore, scan: bool = False) -> DataFrame:
+def audit(store: LayerStore, scan: bool = True) -> DataFrame:
     """``(layer, table, metric, value)``: the row count of every stored
     table's current version (the runner's verification block).
 
-    By default the counts come from the commit logs: every write counted
-    its rows while writing, so the audit reads a few tiny log files instead
-    of scanning every table.  scan=True recounts the data itself.
+    The counts come from the files (Parquet footers hold them), so they find
+    what a writer got wrong.  scan=False gives the numbers that the writes
+    logged instead.
     """
     spark = store.spark
     parts = []

@@ -39,6 +39,10 @@ def _num(event_id: str = "event_id"):
     return F.substring(F.col(event_id), 2, 30).cast("bigint")
 
 
+#: Attributes of the events that the adapters write.
+METADATA = "browser string, campaign string, country string, device string, k bigint, os string, search_term string"
+
+
 # ---- bronze ---------------------------------------------------------------
 def bronze_clicks(spark, d):
     return bronze.clicks(td.raw_clicks(spark, d), RUN_TS)
@@ -58,12 +62,20 @@ def bronze_orders(spark, d):
 def scan_jsonl_clicks(spark, d):
     path = scratch_path(spark, "jsonl")
     jsonl.write_lines(td.raw_clicks(spark, d).drop("_ingested_at"), path)
-    raw = jsonl.read_clicks(spark, path)
-    return raw.select(*[c for c in raw.columns if c != "metadata"],
+    raw = jsonl.read_clicks(spark, path).withColumn("metadata", F.from_json("metadata", METADATA))
+    return raw.select(*[c for c in bronze.RAW_CLICK_COLUMNS if c != "metadata"],
                       *[F.col(f"metadata.{f}").alias(f"metadata_{f}")
                         for f in ("browser", "campaign", "country", "device", "k", "os", "search_term")])
 
 
+def scan_open_clicks(spark, d):
+    """Lines with metadata keys of any name and type, and lines that are no
+    JSON: both keep their text."""
+    path = scratch_path(spark, "jsonl-open")
+    td.click_lines(spark, d).write.text(path)
+    return bronze.clicks(jsonl.read_clicks(spark, path), RUN_TS).select("event_id", "user_id", "metadata_json")
+
+
 def bronze_append(spark, d):
     store = _store(spark, "append")
     for part in ("first", "second"):
@@ -107,6 +119,11 @@ def silver_clicks(spark, d):
     return silver.clicks(bronze_clicks(spark, d), RUN_TS)
 
 
+def rejected_clicks(spark, d):
+    """Every row that has no key, as stored by a run."""
+    return _full_run(spark, d, "rejected").read("silver", "click_events_rejected")
+
+
 # ---- upserts --------------------------------------------------------------
 def upsert_orders(spark, d):
     """Target: orders whose id is not a multiple of 3.  Source: multiples of
@@ -228,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_clicks_raw": bronze_clicks_raw,
     "bronze_orders": bronze_orders,
     "scan_jsonl_clicks": scan_jsonl_clicks,
+    "scan_open_clicks": scan_open_clicks,
     "bronze_append": bronze_append,
     "clean_status": clean_status,
     "clean_paths": clean_paths,
@@ -236,6 +254,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders_dedup": silver_orders_dedup,
     "schema_tolerant_orders": schema_tolerant_orders,
     "silver_clicks": silver_clicks,
+    "rejected_clicks": rejected_clicks,
     "upsert_orders": upsert_orders,
     "upsert_clicks": upsert_clicks,
     "gold_dim_user": gold_dim_user,

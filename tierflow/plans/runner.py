@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from tierflow.sources.layers import LayerStore
 
 def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None = None,
         with_orders: bool = False, run_ts=None, incremental: bool = True,
-        keep_versions: int | None = 2) -> dict[str, int]:
+        keep_versions: int | None = 2, load_id: str | None = None) -> dict[str, int]:
     """bronze -> silver (upsert) -> gold, like the runner script.
 
     * bronze.click_events: append, partitioned by ingest day;
@@ -33,11 +31,14 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
       they go to ``silver.click_events_rejected`` instead of being dropped.
     * gold: dim_user, fact_orders and orders_daily_revenue are rebuilt in
       full each run (idempotent); fact_clicks is rebuilt only for the
-      months whose silver days changed (in full on its first build).
-
-    Every table version is written before it is committed, so an
-    interrupted run leaves the previous versions readable and a re-run
-    produces the same tables.  At the end, version folders older than the
+      months whose silver days changed.  It records the silver commit it was
+      built from; if silver has gone on without it (a stopped run, the
+      streaming job), or on its first build, it is rebuilt in full.
+
+    Every table version and load is written before it is committed, so an
+    interrupted run leaves the previous state readable.  ``load_id`` names
+    the clicks given: a load of an id that is already committed is skipped, so
+    a run repeated with its id adds nothing to bronze.  At the end, version folders older than the
     newest ``keep_versions`` are deleted (None keeps all).  Returns the rows
     written per table.
     """
@@ -46,7 +47,8 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     counts: dict[str, int] = {}
 
     b_clicks = bronze.clicks(raw_clicks, run_ts)
-    counts["bronze.click_events"] = store.append(b_clicks, "bronze", "click_events")
+    known = load_id is not None and store.has_load("bronze", "click_events", load_id)
+    counts["bronze.click_events"] = 0 if known else store.append(b_clicks, "bronze", "click_events", load_id=load_id)
     if oltp_orders is not None:
         counts["bronze.orders"] = store.overwrite(bronze.orders(oltp_orders, run_ts), "bronze", "orders")
 
@@ -60,10 +62,14 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     loads = store.read_loads_after("bronze", "click_events", done)
     keyed = silver.clicks(loads.where(F.col("event_id").isNotNull()), run_ts)
     # every unkeyed row is kept: de-duplication by a NULL key would leave one
-    rejected = silver.clicks(loads.where(F.col("event_id").isNull()), run_ts, dedup=False)
+    seen = store.source_seq("silver", "click_events_rejected") if incremental else None
+    unkeyed = store.read_loads_after("bronze", "click_events", seen).where(F.col("event_id").isNull())
+    rejected = silver.clicks(unkeyed, run_ts, dedup=False)
+    write = store.append if incremental else store.overwrite
     counts["silver.click_events_rejected"] = (
-        store.append(rejected, "silver", "click_events_rejected") if incremental
-        else store.overwrite(rejected, "silver", "click_events_rejected"))
+        0 if seen is not None and seen >= loaded
+        else write(rejected, "silver", "click_events_rejected", source_seq=loaded))
+    before = store.last_commit("silver", "click_events")
     merged = store.upsert(keyed, "silver", "click_events",
                           prefer_latest=silver.DEDUP_ORDER_CLICKS, source_seq=loaded)
     counts["silver.click_events"] = store._rows("silver", "click_events")
@@ -72,10 +78,12 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     orders = gold.prepare_orders(store.read("bronze", "orders"))
     counts["gold.dim_user"] = store.overwrite(gold.dim_user(clicks, orders), "gold", "dim_user")
     counts["gold.fact_orders"] = store.overwrite(gold.fact_orders(orders), "gold", "fact_orders")
-    if merged.touched is None or not store.exists("gold", "fact_clicks"):
-        store.overwrite(gold.fact_clicks(clicks, unique_events=True), "gold", "fact_clicks")
+    now = store.last_commit("silver", "click_events")
+    follows = before is not None and store.source_seq("gold", "fact_clicks") == before
+    if merged.touched is None or not follows:
+        store.overwrite(gold.fact_clicks(clicks, unique_events=True), "gold", "fact_clicks", source_seq=now)
     else:
-        refresh_fact_clicks(store, [d["_event_date"] for d in merged.touched])
+        refresh_fact_clicks(store, [d["_event_date"] for d in merged.touched], now)
     counts["gold.fact_clicks"] = store._rows("gold", "fact_clicks")
     counts["gold.orders_daily_revenue"] = store.overwrite(
         gold.orders_daily_revenue(orders), "gold", "orders_daily_revenue")
@@ -86,27 +94,25 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     return counts
 
 
-def refresh_fact_clicks(store: LayerStore, days: list) -> int:
+def refresh_fact_clicks(store: LayerStore, days: list, source_seq: int | None = None) -> int:
     """Recompute gold.fact_clicks for the months holding ``days`` (event
     days whose silver rows changed) from those silver partitions only, and
-    replace just those month partitions.  Returns the row delta."""
+    replace just those month partitions.  ``source_seq`` is the silver commit
+    they come from.  Returns the row delta."""
     months = sorted({None if d is None else d.year * 100 + d.month for d in days},
                     key=lambda m: (m is None, m))
     if not months:
+        store._commit("gold", "fact_clicks", store.current_version("gold", "fact_clicks"), 0, source_seq=source_seq)
         return 0
     day = F.col("_event_date")
-    cond = F.lit(False)
-    for m in months:
-        if m is None:
-            cond = cond | day.isNull()
-        else:
-            start = dt.date(m // 100, m % 100, 1)
-            end = dt.date(start.year + start.month // 12, start.month % 12 + 1, 1)
-            cond = cond | ((day >= F.lit(start)) & (day < F.lit(end)))
+    # on the partition column alone, so it prunes folders
+    cond = (F.year(day) * 100 + F.month(day)).isin([m for m in months if m is not None])
+    if None in months:
+        cond = day.isNull() | F.coalesce(cond, F.lit(False))
     part = C.conform(store.read("silver", "click_events", raw=True).where(cond), C.SILVER_CLICKS)
     facts = gold.fact_clicks(gold.prepare_clicks(part), unique_events=True)
     return store.replace_partitions(facts, "gold", "fact_clicks",
-                                    [{"event_month": m} for m in months])
+                                    [{"event_month": m} for m in months], source_seq)
 
 
 def apply_item_changes(store: LayerStore, changes: DataFrame, run_ts=None) -> dict:

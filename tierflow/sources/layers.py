@@ -12,7 +12,9 @@ id).  Readers take the highest committed version, so
 * a job that dies before the commit row leaves the current version intact,
   and a re-run gives the same result.
 
-Appends (bronze) go into the current version folder instead.
+Appends (bronze clicks, rejected rows) go into the current version instead,
+each load into its own folder: readers take the folders of committed loads,
+and a load that was stopped before its commit is written anew by the next.
 
 Keyed upserts into a partitioned table (``upsert``) rewrite only the
 partitions that hold a key of the source now or will hold one afterwards,
@@ -33,7 +35,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
 from tierflow.operators.dedup import latest_per_key
-from tierflow.operators.upsert import checked_keys
+from tierflow.operators.upsert import checked_keys, checked_rows
 
 
 def observed(obs: Observation, name: str = "n") -> int:
@@ -99,6 +101,13 @@ class LayerStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+    def _delete_uri(self, uri: str) -> None:
+        """Delete a folder named by a URI, where names are escaped."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True):
+            raise FileNotFoundError(f"no folder to delete at {uri}")
+
     def _children(self, path: str) -> list[str]:
         """Names of the entries of a folder ([] if it does not exist)."""
         if not self._exists(path):
@@ -179,6 +188,14 @@ class LayerStore:
         """Highest source load merged into this table (None: none yet)."""
         return self._log_max(layer, table, "source_seq")
 
+    def last_commit(self, layer: str, table: str) -> int | None:
+        """Number of a table's latest commit."""
+        return self._log_max(layer, table, "seq")
+
+    def has_load(self, layer: str, table: str, load_id: str) -> bool:
+        """Whether a load of that id is committed."""
+        return any(r.get("load_id") == load_id for r in self._log_rows(layer, table))
+
     def last_epoch(self, layer: str, table: str) -> int:
         """Highest stream epoch committed to a table (-1 if none)."""
         v = self._log_max(layer, table, "epoch")
@@ -218,12 +235,16 @@ class LayerStore:
         reader = self.spark.read
         if (layer, table) in C.TABLES:
             reader = reader.schema(C.stored_schema(layer, table))
-        return reader.parquet(self._version_path(layer, table, version))
+        df = reader.parquet(self._version_path(layer, table, version))
+        if (layer, table) in C.LOAD_SEQUENCED:
+            df = df.where(F.col("_load_seq") <= F.lit(self.last_load_seq(layer, table)))
+        return df
 
     # ---- write ----------------------------------------------------------
     def _commit(self, layer: str, table: str, version: int, rows: int,
                 epoch: int | None = None, load_seq: int | None = None,
-                source_seq: int | None = None, id_high: int | None = None) -> None:
+                source_seq: int | None = None, id_high: int | None = None,
+                load_id: str | None = None) -> None:
         """Append one row to the table's commit log.  load_seq: sequence
         number of this load (sequenced tables); source_seq: highest load of
         the source table merged into this table so far."""
@@ -237,11 +258,13 @@ class LayerStore:
             F.lit(epoch).cast("bigint").alias("epoch"),
             F.lit(load_seq).cast("bigint").alias("load_seq"),
             F.lit(source_seq).cast("bigint").alias("source_seq"),
-            F.lit(id_high).cast("bigint").alias("id_high"))
+            F.lit(id_high).cast("bigint").alias("id_high"),
+            F.lit(load_id).cast("string").alias("load_id"))
         entry.coalesce(1).write.mode("append").parquet(self._log_path(layer, table))
         rows_cache.append({"seq": seq, "version": version, "rows": rows,
                            "committed_at": None, "epoch": epoch,
-                           "load_seq": load_seq, "source_seq": source_seq, "id_high": id_high})
+                           "load_seq": load_seq, "source_seq": source_seq, "id_high": id_high,
+                           "load_id": load_id})
 
     def _layout(self, df: DataFrame, layer: str, table: str,
                 partition_by: list[str] | None) -> tuple[DataFrame, list[str], list[str], bool]:
@@ -274,35 +297,40 @@ class LayerStore:
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
                   partition_by: list[str] | None = None, epoch: int | None = None,
-                  id_high: int | None = None) -> int:
+                  id_high: int | None = None, source_seq: int | None = None,
+                  load_id: str | None = None) -> int:
         """Write ``df`` as the next version and commit it; returns row count
         (counted while writing, not by a second pass)."""
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
-        df, seq = self._sequence(df, layer, table)
         cur = self.current_version(layer, table) or 0
-        rows = self._write(df, self._version_path(layer, table, cur + 1), "overwrite",
-                           parts, sort_by, rebalance)
-        self._commit(layer, table, cur + 1, rows, epoch, seq, None, id_high)
+        path, seq = self._place(layer, table, cur + 1)
+        rows = self._write(df, path, "overwrite", parts, sort_by, rebalance)
+        self._commit(layer, table, cur + 1, rows, epoch, seq, source_seq, id_high, load_id)
         return rows
 
     def append(self, df: DataFrame, layer: str, table: str,
-               partition_by: list[str] | None = None, epoch: int | None = None) -> int:
-        """Append rows to the current version (bronze is append-only)."""
+               partition_by: list[str] | None = None, epoch: int | None = None,
+               source_seq: int | None = None, load_id: str | None = None) -> int:
+        """Append rows to the current version of a table with a folder per
+        load (bronze is append-only); returns the rows appended."""
+        if (layer, table) not in C.LOAD_SEQUENCED:
+            raise ValueError(f"{layer}.{table} has no load folders: an append would not be atomic")
         cur = self.current_version(layer, table)
         if cur is None:
-            return self.overwrite(df, layer, table, partition_by, epoch)
+            return self.overwrite(df, layer, table, partition_by, epoch, None, source_seq, load_id)
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
-        df, seq = self._sequence(df, layer, table)
-        rows = self._write(df, self._version_path(layer, table, cur), "append",
-                           parts, sort_by, rebalance)
-        self._commit(layer, table, cur, rows, epoch, seq)
+        path, seq = self._place(layer, table, cur)
+        rows = self._write(df, path, "overwrite", parts, sort_by, rebalance)
+        self._commit(layer, table, cur, rows, epoch, seq, source_seq, None, load_id)
         return rows
 
-    def _sequence(self, df: DataFrame, layer: str, table: str) -> tuple[DataFrame, int | None]:
+    def _place(self, layer: str, table: str, version: int) -> tuple[str, int | None]:
+        """Folder of the next write into a version, and the number of the load."""
+        path = self._version_path(layer, table, version)
         if (layer, table) not in C.LOAD_SEQUENCED:
-            return df, None
+            return path, None
         seq = (self.last_load_seq(layer, table) or 0) + 1
-        return df.withColumn("_load_seq", F.lit(seq).cast("bigint")), seq
+        return f"{path}/_load_seq={seq}", seq
 
     def read_loads_after(self, layer: str, table: str, after: int | None) -> DataFrame:
         """Rows of a sequenced table written by loads after ``after`` (all
@@ -359,7 +387,8 @@ class LayerStore:
                 ok = new.join(src_keys, keys, "left_semi")        # fails on bad keys
                 out = latest_per_key(ok.unionByName(stored.select(*columns)), keys, prefer_latest)
             else:
-                out = new.unionByName(stored.join(src_keys, keys, "left_anti").select(*columns))
+                out = checked_rows(new, keys).unionByName(
+                    stored.join(src_keys, keys, "left_anti").select(*columns))
             return out.select(*columns).observe(added, F.count(F.lit(1)).alias("n"))
 
         if cur is None or not part_cols:
@@ -393,13 +422,12 @@ class LayerStore:
 
     @staticmethod
     def _any_match(values: list[dict], part_cols: list[str]):
-        cond = F.lit(False)
-        for v in values:
-            match = F.lit(True)
-            for p in part_cols:
-                match = match & (F.col(p).isNull() if v[p] is None else (F.col(p) == F.lit(v[p])))
-            cond = cond | match
-        return cond
+        """Rows of any of the partitions: one flat list, as there may be
+        thousands."""
+        (p,) = part_cols
+        named = [v[p] for v in values if v[p] is not None]
+        cond = F.col(p).isin(named) if named else F.lit(False)
+        return F.coalesce(cond, F.lit(False)) | F.col(p).isNull() if len(named) < len(values) else cond
 
     def _rewrite_partitions(self, layer: str, table: str, path: str, target: DataFrame,
                             content: DataFrame, part_cols: list[str], touched: list[dict]) -> None:
@@ -433,7 +461,7 @@ class LayerStore:
                        .select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("d"))
                        .distinct().collect())
             for r in folders:
-                self._delete(r.d)
+                self._delete_uri(r.d)
         self._delete(staging)                   # swapped in: the copy is no longer needed
 
     def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
@@ -454,7 +482,7 @@ class LayerStore:
         return drop
 
     def replace_partitions(self, content: DataFrame, layer: str, table: str,
-                           touched: list[dict]) -> int:
+                           touched: list[dict], source_seq: int | None = None) -> int:
         """Replace the ``touched`` partitions of a stored partitioned table
         with ``content`` (their complete new rows, contract columns); other
         partitions are not read or written.  Returns the row delta."""
@@ -471,7 +499,7 @@ class LayerStore:
         content = content.observe(added, F.count(F.lit(1)).alias("n"))
         self._rewrite_partitions(layer, table, path, target, content, part_cols, touched)
         delta = observed(added) - before
-        self._commit(layer, table, cur, delta)
+        self._commit(layer, table, cur, delta, source_seq=source_seq)
         return delta
 
     def _rows(self, layer: str, table: str) -> int:

@@ -114,6 +114,16 @@ def raw_clicks(spark: SparkSession, sf_dir: str, deliveries: str = "all") -> Dat
               .where("d IS NOT NULL").selectExpr(*[f"d.{c} AS {c}" for c in _CLICK_ORDER]))
 
 
+def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed text lines, one per event: metadata with keys no contract knows
+    and a k that is no number; every 50th line is no JSON."""
+    return table(spark, sf_dir, "events").selectExpr(*_EV).selectExpr(
+        """CASE WHEN n % 50 = 7 THEN 'no json ' || CAST(n AS STRING)
+                ELSE concat('{"event_id":"e', CAST(n AS STRING), '","user_id":', CAST(uid AS STRING),
+                            ',"metadata":{"plan":"p', CAST(k % 3 AS STRING), '","k":"', CAST(k AS STRING),
+                            'x","tags":["a",', CAST(uid AS STRING), ']}}') END AS value""")
+
+
 _ORDER_COLS = ["order_id", "user_id", "status", "total_amount", "created_at", "updated_at"]
 
 

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import contracts as C
 from tierflow.plans import bronze, silver
+from tierflow.sources.jsonl import with_malformed
 from tierflow.sources.layers import LayerStore
 
 # JSON text form of timestamp_ntz values in landed files (microseconds kept)
@@ -33,9 +34,7 @@ NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_landed_clicks(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(C.LANDED_CLICK)
-              .option("timestampNTZFormat", NTZ_FORMAT)
-              .option("mode", "PERMISSIVE"))
+    reader = with_malformed(spark.readStream, C.LANDED_CLICK).option("timestampNTZFormat", NTZ_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.json(path)

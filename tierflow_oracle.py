@@ -295,6 +295,15 @@ SELECT * EXCLUDE (rn) FROM (
                 AS TIMESTAMP) AS order_ts_utc,
        CAST(NULL AS TIMESTAMP) AS _ingested_at, {RUN_TS} AS _processed_at
 FROM orders""",
+    "scan_open_clicks": _with(_EV) + """SELECT
+  CASE WHEN n % 50 = 7 THEN NULL ELSE 'e' || CAST(n AS VARCHAR) END AS event_id,
+  CASE WHEN n % 50 = 7 THEN NULL ELSE uid END AS user_id,
+  CASE WHEN n % 50 = 7 THEN '{"_malformed":"no json ' || CAST(n AS VARCHAR) || '"}'
+       ELSE '{"plan":"p' || CAST(k % 3 AS VARCHAR) || '","k":"' || CAST(k AS VARCHAR)
+            || 'x","tags":["a",' || CAST(uid AS VARCHAR) || ']}' END AS metadata_json
+FROM ev""",
+    "rejected_clicks": _with(CLICKS, _silver_clicks("silver_clicks", "bronze_clicks"))
+        + f"SELECT *, {RUN_TS} AS _processed_at FROM silver_clicks_norm WHERE event_id IS NULL",
     "silver_clicks": _with(CLICKS, _silver_clicks("silver_clicks", "bronze_clicks"))
         + "SELECT * FROM silver_clicks",
     "upsert_orders": _with(BRONZE_ORDERS, _silver_orders("base", "bronze_orders"), f"""src AS (
