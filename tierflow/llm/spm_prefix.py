@@ -241,8 +241,14 @@ def encode_texts(docs: DataFrame, model_file: str, columns: tuple[str, ...] = ("
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PrefixEncoder(model_file)
+        text, codes = "", encoder.coded("", columns)  # copies of a text stand side by side in a mix
         for b in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
-            found = [encoder.coded(t or "", columns) for t in b.column(at).to_pylist()]
+            found = []
+            for t in b.column(at).to_pylist():
+                if (t or "") != text:
+                    text = t or ""
+                    codes = encoder.coded(text, columns)
+                found.append(codes)
             more = [pa.array([f[c] for f in found], COLUMNS[c][1]) for c in columns]
             yield pa.RecordBatch.from_arrays([*b.columns, *more],
                                              names=[f"c{i}" for i in range(len(names) + len(columns))])
