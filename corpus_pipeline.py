@@ -24,7 +24,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; ``lang`` becomes the one found.
-    Null texts, texts without a letter and exact ties go."""
+    Null texts, texts without a letter and those of narrow margins go."""
     found = identify(docs, learn(docs)).where("not rejected")
     return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 

@@ -1,8 +1,11 @@
+import random
+import string
+
 import duckdb
 import pytest
 
 from tests.llm.helpers import docs_frame
-from tierflow.llm.langid_zstd import MAX_LANGS, Classifier, identify, learn, normalized
+from tierflow.llm.langid_zstd import MAX_LANGS, MIN_MARGIN, Classifier, held_out, identify, learn, normalized
 from tierflow.llm.queries import QUERIES
 
 EN = "the quick brown fox jumps over the lazy dog and then it goes home to sleep by the fire "
@@ -51,3 +54,24 @@ def test_number_of_languages_is_bounded(spark):
     rows = spark.range(MAX_LANGS + 1).selectExpr("concat('l', id) AS lang", "'some text' AS text")
     with pytest.raises(ValueError):
         learn(rows)
+
+
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").withColumn(
+        "held_out", held_out())
+    learned = Classifier(learn(docs.where("not held_out and lang in ('de', 'en', 'es')")))
+    rows = docs.where("held_out").select("text", "lang").collect()
+    rejected = lambda rs: [learned.predict(r["text"], MIN_MARGIN)[2] for r in rs]
+    foreign = rejected([r for r in rows if r["lang"] == "fr" and len(r["text"]) > 400])
+    clean = rejected([r for r in rows if r["lang"] != "fr" and len(r["text"]) > 100])
+    assert len(foreign) > 20 and sum(foreign) / len(foreign) >= 0.85
+    assert len(clean) > 100 and sum(clean) / len(clean) <= 0.01
+
+
+def test_noise_is_rejected_at_any_length():
+    both = Classifier({"en": normalized(EN * 3), "de": normalized(DE * 3)})
+    draw = random.Random(5)
+    for n in (30, 300, 3000, 100_000):
+        noise = "".join(draw.choice(string.ascii_lowercase + "  ") for _ in range(n))
+        assert both.predict(noise, MIN_MARGIN)[2]
+    assert not both.predict("und geht dann nach hause", MIN_MARGIN)[2]

@@ -35,6 +35,11 @@ SHORT, SHORT_LEVEL = 1024, 3
 #: Levels that break a tie, in turn.
 TIE_LEVELS = (12, 6, 5)
 
+#: A text is rejected if the next language is not at least this share of the
+#: encoded bytes worse, or less than MIN_MARGIN bytes.  Chosen on held-out rows:
+#: see the README.
+MIN_SHARE, MIN_MARGIN = 0.02, 1
+
 UNKNOWN = "und"
 
 _GAPS = re.compile(r"[\W\d_]+")
@@ -103,7 +108,7 @@ class Classifier:
             out = [n + len(e.compress(pieces[-1])) for n, e in zip(out, self._encoders(level))]
         return out
 
-    def predict(self, text: str | None, min_margin: int) -> tuple[str, float, bool]:
+    def predict(self, text: str | None, min_margin: int, min_share: float = MIN_SHARE) -> tuple[str, float, bool]:
         data = normalized(text) if text else b""
         if not data or not self.langs:
             return UNKNOWN, 0.0, True
@@ -111,19 +116,23 @@ class Classifier:
         best = min(sizes)
         # a byte fewer makes a language 256 times as likely
         score = 1 / sum(2.0 ** (8 * (best - n)) for n in sizes if n - best < 100)
-        margin = min((n - best for i, n in enumerate(sizes) if i != sizes.index(best)), default=min_margin)
-        return self.langs[sizes.index(best)], score, margin < min_margin
+        # best counts all levels that broke a tie, so one byte of many tries is a small share
+        least = max(min_margin, min_share * best)
+        margin = min((n - best for i, n in enumerate(sizes) if i != sizes.index(best)), default=least)
+        return self.langs[sizes.index(best)], score, margin < least
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: int = 1) -> DataFrame:
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: int = MIN_MARGIN,
+             min_share: float = MIN_SHARE) -> DataFrame:
     """``docs`` with three more columns from ``text`` alone: ``lang_pred``,
     ``score`` (the likelihood share of the winner, 0 to 1) and ``rejected``.
     They replace columns of those names; all others are passed on.
 
     Null and empty texts and those without a letter give ``und``, score 0, and
-    are rejected, and so are all texts if there is no dictionary; so is a text whose best language is less than ``min_margin``
-    bytes better than the next (1: ties).  Ties go to the first language in
-    code point order.  Repeated rows have equal results; an empty table gives
+    are rejected, and so are all texts if there is no dictionary; so is a text
+    whose best language is less than ``min_margin`` bytes, or ``min_share`` of
+    its encoded bytes, better than the next: a language that was not learned,
+    mixed text, noise.  Ties go to the first language in code point order.  Repeated rows have equal results; an empty table gives
     an empty table.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
@@ -134,7 +143,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(shared.value)
         for b in batches:
-            found = [classifier.predict(t, min_margin) for t in b.column(at).to_pylist()]
+            found = [classifier.predict(t, min_margin, min_share) for t in b.column(at).to_pylist()]
             more = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                     pa.array([f[2] for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[f"c{i}" for i in range(len(names) + 3)])
