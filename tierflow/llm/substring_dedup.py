@@ -1,11 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by anchored blocks and window hashes.
 
-Every document is parsed against all earlier text (documents of smaller
-``doc_id``, and its own earlier words).  A stretch of words that also starts
-earlier is a factor; factors of ``window`` words or more are duplicate spans,
-and their words are removed.  The result is exact: a word goes if and only if
-a window of ``window`` consecutive words covers it whose words also start
-earlier.
+Every document is compared to all earlier text (documents of smaller
+``doc_id``, and its own earlier words).  Stretches of ``window`` words or more
+that also start earlier are duplicate spans, and their words are removed.  The
+result is exact up to hashes: a word goes if and only if a window of ``window``
+consecutive words covers it whose words also start earlier.  These are the
+words of the long factors of a relative Lempel-Ziv parsing, but no factor is
+extended against a reference: equal blocks and windows are grouped by hash.
 
 The reference is indexed in blocks.  Of each window, the ``anchor``-word gram
 of smallest hash is its anchor, so equal windows have equal anchors wherever
@@ -13,11 +14,10 @@ they stand, and neighbouring windows mostly share one: a block is the run of
 windows with the same anchor (about eight).  The jobs are
 
 1. hash the texts, and list each document's anchors;
-2. keep the anchors that occur at two places (all others start no factor);
+2. keep the anchors that occur at two places (all others start no copy);
 3. give each document its kept anchors, and cut its text into blocks;
-4. greedy factors: a block whose words equal those of an earlier block is
-   wholly a copy;
-5. at factor boundaries, where blocks share an anchor but not all words,
+4. a block whose words equal those of an earlier block is wholly a copy;
+5. at the ends of copies, where blocks share an anchor but not all words,
    compare window by window;
 6. join the spans to the texts and cut them out.
 
