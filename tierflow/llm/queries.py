@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tierflow.llm import langid_zstd, url_logreg
 from tierflow.llm.cws_fingerprint import compare_edited
+from tierflow.llm.fim_chunks import fill_in_middle, restored
 from tierflow.llm.html_suffix import extract_main_text
 from tierflow.llm.minhash_dart import near_duplicates
 from tierflow.llm.mixing import mix_sources
 from tierflow.llm.spm_prefix import encode_texts
 from tierflow.llm.substring_dedup import dedup_substrings
 from tierflow.llm.topk_maxscore import quantized, top_k
+from tierflow.llm.turn_repair import damaged, repair_conversations
 from tierflow.llm.warc_salvage import read_archive, write_archive
 from tierflow.session import scratch_path
 
@@ -86,6 +88,17 @@ def op10_minhash_dart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "class_id", "is_first")
 
 
+def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op12_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_maxscore": op1_topk_maxscore,
     "op2_mix_sources": op2_mix_sources,
@@ -97,4 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cws_fingerprint": op8_cws_fingerprint,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash_dart": op10_minhash_dart,
+    "op11_repair_turns": op11_repair_turns,
+    "op12_fim_chunks": op12_fim_chunks,
 }
