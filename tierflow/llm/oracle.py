@@ -156,10 +156,36 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
+OP13 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+                               ELSE array_to_string(ws[i:i + 2], ' ') END AS g, len(ws) < 3 AS short
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 1, 2))) AS i) WHERE len(ws) > 0
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingle x
+    JOIN shingle y ON x.g = y.g AND x.short = y.short AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN size sa ON sa.doc_id = p.a JOIN size sb ON sb.doc_id = p.b
+  WHERE 100 * both >= 90 * (sa.n + sb.n - both)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM w
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a
+)
+SELECT w.doc_id, coalesce(max(size.n), 0) AS n_shingles, min(r) AS component_id
+FROM w JOIN reach ON reach.doc_id = w.doc_id LEFT JOIN size ON size.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
 SQL: dict[str, str] = {
     "op1_topk_maxscore": OP1,
     "op7_warc": OP7,
     "op9_substring_dedup": OP9,
     "op11_repair_turns": OP11,
     "op12_fim_chunks": OP12,
+    "op13_jaccard_skip": OP13,
 }

@@ -12,6 +12,7 @@ from tierflow.llm import langid_zstd, url_logreg
 from tierflow.llm.cws_fingerprint import compare_edited
 from tierflow.llm.fim_chunks import fill_in_middle, restored
 from tierflow.llm.html_suffix import extract_main_text
+from tierflow.llm.jaccard_skip import jaccard_components
 from tierflow.llm.minhash_dart import near_duplicates
 from tierflow.llm.mixing import mix_sources
 from tierflow.llm.spm_prefix import encode_texts
@@ -99,6 +100,11 @@ def op12_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_jaccard_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_maxscore": op1_topk_maxscore,
     "op2_mix_sources": op2_mix_sources,
@@ -112,4 +118,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_dart": op10_minhash_dart,
     "op11_repair_turns": op11_repair_turns,
     "op12_fim_chunks": op12_fim_chunks,
+    "op13_jaccard_skip": op13_jaccard_skip,
 }
