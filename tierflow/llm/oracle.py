@@ -168,10 +168,10 @@ WITH RECURSIVE w AS (
   SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
 ), link AS (
   SELECT p.a, p.b FROM (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingle x
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingle x
     JOIN shingle y ON x.g = y.g AND x.short = y.short AND x.doc_id <> y.doc_id GROUP BY ALL) p
   JOIN size sa ON sa.doc_id = p.a JOIN size sb ON sb.doc_id = p.b
-  WHERE 100 * both >= 90 * (sa.n + sb.n - both)
+  WHERE 100 * shared >= 90 * (sa.n + sb.n - shared)
 ), reach AS (
   SELECT doc_id, doc_id AS r FROM w
   UNION
