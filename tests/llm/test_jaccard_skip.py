@@ -72,9 +72,8 @@ def test_equals_all_pairs(spark, seed):
     assert 20 < len({c for _, _, c in got}) < len(got) - 50
 
 
-def test_cut_parts_and_long_lists_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_skip, "LEAST", 4)
-    monkeypatch.setattr(jaccard_skip, "LONG", 300)
+def test_cut_parts_and_many_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_skip, "BUCKET", 500)
     texts, ids = corpus(random.Random(5))
     check(spark, texts, ids, part=400)
 

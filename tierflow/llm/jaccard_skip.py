@@ -10,19 +10,21 @@ being the threshold's share of q's size.  A search in an index of sets
   the long lists for the rest by binary search;
 * keeps the documents that reach the overlap which the two sizes ask for.
 
-An index of all documents is too large for a task, so documents are dealt to
-parts first, without loss.  With the corpus's long lists put last and all
-others in the order of their hash, two linked documents share one of the first
-``size - T + 1`` shingles of each (were all lists but those long, this is the
-same search).  Each such shingle names the smallest document that has it, and
-all documents that are dealt to a name are searched as one index.  Parts of
-more shingles than ``PART`` are cut; their smallest document is in each cut,
-and what is not connected with it visits the other cuts, too.
-
-Lists are counted exactly, over all documents, by packed arrays of hashes
-that are summed before and after a shuffle.  Only which of them are long is
-broadcast, at most ``LONG`` of them, whatever the corpus; the result doesn't
-depend on it.  Results are exact up to collisions of 64-bit hashes.
+An index of all documents is too large for a task, so Spark deals documents
+to parts first, without loss:
+
+1. A census counts, for each document, its lists that hold another document.
+   Hashes go to buckets as packed arrays, each once from a batch of documents,
+   and only sums come back.  Who is on fewer than T shared lists has no link;
+   in most corpora few documents remain, whatever passages they quote.
+2. Among those, with short lists first, two linked documents share one of the
+   first ``size - T + 1`` shingles of each (were all lists but those long, this
+   is the search above).  Each such shingle names the smallest document that
+   has it, and all documents that are dealt to a name are one index.
+3. Parts of more shingles than ``PART`` are cut; their smallest document is in
+   each cut, and what is not connected with it visits the other cuts, too.
+
+Nothing is broadcast.  Results are exact up to collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,23 +34,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
 from tierflow.llm.minhash_dart import weighted
 from tierflow.llm.stages import staged
-from tierflow.llm.words import grouped
+from tierflow.llm.words import grouped, mix
 
 SHINGLE = 3
 PERCENT = 90
 #: Shingles of a part that is searched as one index, about.
 PART = 1 << 20
-#: Lists that are known as long, at most; shorter ones than LEAST are not.
-LONG = 1 << 18
-LEAST = 32
-#: Shingles whose lists are counted in one group, about.
-COUNTED = 1 << 20
+#: Shingles counted in one bucket, and in one batch of documents, about.
+BUCKET, BATCH = 1 << 22, 1 << 20
 #: Weight of a probe against a merged entry when lists are divided.
 PROBE = 0.1
 
@@ -123,62 +124,114 @@ def search_links(sets: list[np.ndarray], percent: int = PERCENT, visitors: int =
     return links
 
 
-def _counts(k: int, bits: int):
-    """Packed counts of shingles by the first ``bits`` bits of their hash: the
-    next 32 bits of each, and in how many documents of a group they are."""
+def _census(k: int, percent: int, bits: int):
+    """Packed shingles of batches of documents, by the first ``bits`` bits of
+    their hash.  A row has the next 32 bits of the shingles that one document
+    of the batch has, how many of them each document has, and the shingles
+    that several have.  One more row a batch describes its documents: hashes
+    of the text, size, and shared lists so far, less those that are needed."""
+    def rows(part: int, d1: list, d2: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        size = np.array([len(x) for x in sets], np.int32)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
+        names, number, n = np.unique(np.concatenate(sets) >> _U(32 - bits), return_inverse=True, return_counts=True)
+        several = n[number] > 1
+        shared = np.bincount(owner[several], minlength=len(sets)) - [needed(int(x), percent) for x in size]
+        own = np.flatnonzero(~several)
+        bucket = (names[number[own]] >> _U(32)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")  # by bucket, then document
+        own, bucket = own[order], bucket[order]
+        low, owner = names[number[own]].astype(np.uint32), owner[own]
+        again = names[n > 1]
+        again_bucket, again = (again >> _U(32)).astype(np.int32), again.astype(np.uint32)
+        out = {"bucket": [], "docs": [], "n": [], "lists": [], "again": []}
+        for i in np.union1d(bucket, again_bucket).tolist():
+            lo, hi = np.searchsorted(bucket, [i, i + 1])
+            docs, counts = np.unique(owner[lo:hi], return_counts=True)
+            found = again[slice(*np.searchsorted(again_bucket, [i, i + 1]))]
+            for name, x in zip(out, (i, docs, counts.astype(np.int32), low[lo:hi], found)):
+                out[name].append(x if name == "bucket" else x.tobytes())
+        ends = [d1[0] % (1 << bits), np.array(d1, np.int64).tobytes(), np.array(d2, np.int64).tobytes(),
+                size.tobytes(), shared.astype(np.int32).tobytes()]
+        batch = int((mix(np.array(d1, np.int64).view(_U)) * mix(np.arange(1, len(d1) + 1))).sum().view(np.int64))
+        kinds = (pa.int32(), *[pa.binary()] * 4)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([batch] * (len(out["bucket"]) + 1), pa.int64()), pa.array([part] * (len(out["bucket"]) + 1), pa.int32()),
+             pa.array([False] * len(out["bucket"]) + [True]),
+             *(pa.array([*x, end], kind) for x, end, kind in zip(out.values(), ends, kinds))],
+            names=["batch", "part", "about", "bucket", "docs", "n", "lists", "again"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, d1, d2, sets, held, seen = TaskContext.get().partitionId(), [], [], [], 0, set()
         for b in batches:
-            for _, _, what, _ in _sets(b["text"].cast(pa.binary()).to_pylist(), k):
-                lists, n = np.unique(what >> _U(32 - bits), return_counts=True)
-                bucket = (lists >> _U(32)).astype(np.int32)
-                first = np.flatnonzero(np.diff(bucket, prepend=-1))
-                ends = np.append(first[1:], len(lists))
-                low, n = lists.astype(np.uint32), n.astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[first]),
-                     pa.array([low[i:j].tobytes() for i, j in zip(first, ends)], pa.binary()),
-                     pa.array([n[i:j].tobytes() for i, j in zip(first, ends)], pa.binary())],
-                    names=["bucket", "lists", "n"])
-    return run
-
-
-def _long_lists(least: int):
-    """(list, n) of the lists of a bucket that at least ``least`` documents
-    are on."""
-    def run(table: pa.Table) -> pa.Table:
-        lists = np.concatenate([np.frombuffer(x, np.uint32) for x in table["lists"].to_pylist()])
-        n = np.concatenate([np.frombuffer(x, np.uint32) for x in table["n"].to_pylist()])
-        order = np.argsort(lists)
-        first = np.flatnonzero(np.diff(lists[order].astype(np.int64), prepend=-1))
-        total = np.add.reduceat(n[order].astype(np.int64), first)
-        found = np.flatnonzero(total >= least)
-        bucket = table["bucket"][0].as_py()
-        return pa.table({"list": pa.array(lists[order][first[found]].astype(np.int64) + (bucket << 32)),
-                         "n": pa.array(total[found])})
+            h1, h2 = b["d1"].to_pylist(), b["d2"].to_pylist()
+            for lo, cut, what, _ in _sets(b["text"].cast(pa.binary()).to_pylist(), k):
+                for i, (x, y) in enumerate(zip(cut[:-1], cut[1:]), lo):
+                    if (h1[i], h2[i]) in seen:  # copies in a batch count once
+                        continue
+                    seen.add((h1[i], h2[i]))
+                    d1.append(h1[i])
+                    d2.append(h2[i])
+                    sets.append(what[x:y])
+                    held += y - x
+                if held >= BATCH:
+                    yield rows(part, d1, d2, sets)
+                    d1, d2, sets, held, seen = [], [], [], 0, set()
+        if sets:
+            yield rows(part, d1, d2, sets)
     return run
 
 
-def _dealt(k: int, percent: int, bits: int, long):
-    """Number of shingles of each document, and the first of them, long lists
-    last, of which linked documents share one."""
+_PACKED = "batch long, part int, about boolean, bucket int, docs binary, n binary, lists binary, again binary"
+_SUMS = "batch long, part int, about boolean, docs binary, n binary, lists binary, again binary"
+
+
+def _sum_bucket(table: pa.Table) -> pa.Table:
+    """Of one bucket: how many lists that are shared with other batches each
+    document of a batch is on.  Descriptions pass through."""
+    about = table.filter(table["about"]).drop_columns("bucket")
+    table = table.filter(pa.compute.invert(table["about"]))
+    lists = [np.frombuffer(x, np.uint32) for x in table["lists"].to_pylist()]
+    again = [np.frombuffer(x, np.uint32) for x in table["again"].to_pylist()]
+    every = np.concatenate([*lists, *again]) if lists else np.empty(0, np.uint32)
+    order = np.argsort(every, kind="stable")
+    new = np.diff(every[order].astype(np.int64), prepend=-1) > 0
+    shared = np.empty(len(every), bool)
+    sizes = np.diff(np.append(np.flatnonzero(new), len(every)))
+    shared[order] = np.repeat((sizes > 1), sizes)
+    at, docs, counts = 0, [], []
+    for x, d, n in zip(lists, table["docs"].to_pylist(), table["n"].to_pylist()):
+        d, n = np.frombuffer(d, np.int32), np.frombuffer(n, np.int32)
+        found = shared[at:at + len(x)]
+        at += len(x)
+        sums = np.add.reduceat(found, np.cumsum(n) - n, dtype=np.int32) if len(n) else n
+        docs.append(d[sums > 0].tobytes())
+        counts.append(sums[sums > 0].astype(np.int32).tobytes())
+    none = pa.nulls(len(docs), pa.binary())
+    sums = pa.table([table["batch"], table["part"], table["about"], pa.array(docs, pa.binary()),
+                     pa.array(counts, pa.binary()), none, none], names=about.column_names)
+    return pa.concat_tables([about, sums])
+
+
+def _sum_batch(table: pa.Table) -> pa.Table:
+    """(d1, d2, size, linkable) of the documents of a batch."""
+    rows = table.to_pylist()
+    about = next(r for r in rows if r["about"])
+    d1, d2 = (np.frombuffer(about[c], np.int64) for c in ("docs", "n"))
+    size, shared = np.frombuffer(about["lists"], np.int32), np.frombuffer(about["again"], np.int32).copy()
+    for r in rows:
+        if not r["about"]:
+            shared[np.frombuffer(r["docs"], np.int32)] += np.frombuffer(r["n"], np.int32)
+    return pa.table({"d1": d1, "d2": d2, "size": size, "linkable": pa.array((shared >= 0) & (size > 0))})
+
+
+def _shingles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = (np.frombuffer(x, np.int64) for x in long.value)
         for b in batches:
-            texts = b["text"].cast(pa.binary()).to_pylist()
-            size, begin = np.zeros(len(texts), np.int32), [None] * len(texts)
-            for lo, cut, what, _ in _sets(texts, k):
-                names = (what >> _U(32 - bits)).astype(np.int64)
-                at = np.minimum(np.searchsorted(known, names), max(len(known) - 1, 0))
-                rank = np.where(known[at] == names, n[at], 0) if len(known) else np.zeros(len(names), np.int64)
-                for i in range(len(cut) - 1):
-                    own = slice(cut[i], cut[i + 1])
-                    m = cut[i + 1] - cut[i]
-                    size[lo + i] = m
-                    order = np.argsort(rank[own], kind="stable")[:m - needed(int(m), percent) + 1] if m else []
-                    begin[lo + i] = what[own][order].view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b["d1"], b["d2"], b["ord"], pa.array(size), pa.array(begin, pa.list_(pa.int64()))],
-                names=["d1", "d2", "ord", "size", "begin"])
+            for lo, cut, what, _ in _sets(b["text"].cast(pa.binary()).to_pylist(), k):
+                lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(what.view(np.int64)))
+                own = b.slice(lo, len(lists))
+                yield pa.RecordBatch.from_arrays([own["d1"], own["d2"], own["ord"], lists],
+                                                 names=["d1", "d2", "ord", "lists"])
     return run
 
 
@@ -200,23 +253,6 @@ def _searched(k: int, percent: int, visiting: bool):
     return run
 
 
-def _long(docs: DataFrame, k: int, bits: int) -> tuple[bytes, bytes]:
-    """The longest lists, in order, and how many documents are on each: all of
-    at least ``LEAST``, or as many powers of two more as ``LONG`` allows."""
-    lists = staged(docs.select("text").mapInArrow(_counts(k, bits), "bucket int, lists binary, n binary")
-                   .groupBy("bucket").applyInArrow(_long_lists(LEAST), "list long, n long"), "skip-lists")
-    level = F.floor(F.log2("n")).cast("int")
-    by_level = sorted(lists.groupBy(level.alias("level")).count().collect(), reverse=True)
-    held, least = 0, 1 << 62
-    for found, count in by_level:
-        held += count
-        if held > LONG:
-            break
-        least = 1 << found
-    table = lists.where(F.col("n") >= least).toArrow().sort_by("list")
-    return tuple(table[c].to_numpy().astype(np.int64).tobytes() for c in ("list", "n"))
-
-
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
                        part: int = PART) -> DataFrame:
     """``docs`` with two more columns: ``n_shingles`` (distinct shingles of
@@ -241,19 +277,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
             F.coalesce(F.col("doc_id"), F.lit(_LAST)).cast("long").alias("ord")]
     slim = docs.select(text.alias("text"), *keys)
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(31, max(0, math.ceil(math.log2(max(1, total / 6 / COUNTED)))))
-    spark = docs.sparkSession
-    long = spark.sparkContext.broadcast(_long(slim, shingle, bits))
-
-    # copies of a text: one stands for all of them
-    one = F.min(F.struct("ord", "size", "begin"))
-    classes = staged(slim.mapInArrow(_dealt(shingle, percent, bits, long),
-                                     "d1 long, d2 long, ord long, size int, begin array<long>")
-                     .groupBy("d1", "d2").agg(one.alias("x")).select("d1", "d2", "x.*"), "skip-classes")
-    entries = classes.where("size > 0").select("d1", "d2", "ord", "size", F.explode("begin").alias("list"))
-    names = (entries.groupBy("list").agg(F.min("ord").alias("name"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("list", "name"))
-    dealt = staged(entries.join(names, "list").select("name", "d1", "d2", "ord", "size").distinct(), "skip-dealt")
+    bits = min(31, math.ceil(math.log2(max(1, total / 6 / BUCKET))))
+    # every text, whatever its copies: its size, and whether it can have a link
+    census = staged(slim.select("text", "d1", "d2").mapInArrow(_census(shingle, percent, bits), _PACKED)
+                    .groupBy("bucket").applyInArrow(_sum_bucket, _SUMS).groupBy("batch", "part")
+                    .applyInArrow(_sum_batch, "d1 long, d2 long, size int, linkable boolean")
+                    .groupBy("d1", "d2").agg(F.max("size").alias("size"), F.max("linkable").alias("linkable")),
+                    "skip-census")
+    classes = staged(slim.select("d1", "d2", "ord").groupBy("d1", "d2").agg(F.min("ord").alias("ord"))
+                     .join(census, ["d1", "d2"]), "skip-classes")
+    texts = staged(slim.join(classes.where("linkable").select("d1", "d2", "ord"), ["d1", "d2", "ord"], "left_semi")
+                   .dropDuplicates(["d1", "d2", "ord"]), "skip-texts")
+
+    lists = texts.mapInArrow(_shingles(shingle), "d1 long, d2 long, ord long, lists array<long>").select(
+        "d1", "d2", "ord", F.size("lists").alias("size"), F.explode("lists").alias("list"))
+    shared = staged(lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "skip-shared")
+    # of a document on n shared lists, the first n - T + 1, short ones first
+    begin = (lists.join(shared, "list").groupBy("d1", "d2", "ord", "size")
+             .agg(F.array_sort(F.collect_list(F.struct("n", "list"))).alias("lists"))
+             .withColumn("many", F.size("lists") - F.ceil(F.col("size") * percent / 100) + 1)
+             .where("many > 0").select("d1", "d2", "ord", "size", F.expr("slice(lists, 1, cast(many as int))").alias("lists")))
+    entries = staged(begin.select("d1", "d2", "ord", "size", F.explode("lists.list").alias("list")), "skip-entries")
+    names = entries.groupBy("list").agg(F.min("ord").alias("name"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    dealt = staged(entries.join(names.drop("n"), "list").select("name", "d1", "d2", "ord", "size").distinct(),
+                   "skip-dealt")
     cuts = dealt.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select(
         "name", F.ceil(F.col("total") / part).cast("int").alias("cuts"))
     involved = staged(dealt.join(cuts, "name").select(
