@@ -229,9 +229,7 @@ def _shingles(k: int):
         for b in batches:
             for lo, cut, what, _ in _sets(b["text"].cast(pa.binary()).to_pylist(), k):
                 lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(what.view(np.int64)))
-                own = b.slice(lo, len(lists))
-                yield pa.RecordBatch.from_arrays([own["d1"], own["d2"], own["ord"], lists],
-                                                 names=["d1", "d2", "ord", "lists"])
+                yield pa.RecordBatch.from_arrays([b["d1"].slice(lo, len(lists)), lists], names=["d1", "lists"])
     return run
 
 
@@ -289,14 +287,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     texts = staged(slim.join(classes.where("linkable").select("d1", "d2", "ord"), ["d1", "d2", "ord"], "left_semi")
                    .dropDuplicates(["d1", "d2", "ord"]), "skip-texts")
 
-    lists = texts.mapInArrow(_shingles(shingle), "d1 long, d2 long, ord long, lists array<long>").select(
-        "d1", "d2", "ord", F.size("lists").alias("size"), F.explode("lists").alias("list"))
-    shared = staged(lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "skip-shared")
+    # narrow rows: the hash stands for the document until its lists are chosen
+    lists = texts.select("text", "d1").mapInArrow(_shingles(shingle), "d1 long, lists array<long>").select(
+        "d1", F.explode("lists").alias("list"))
+    shared = staged(lists.groupBy("list").agg(F.count(F.lit(1)).cast("int").alias("n")).where("n > 1"), "skip-shared")
     # of a document on n shared lists, the first n - T + 1, short ones first
-    begin = (lists.join(shared, "list").groupBy("d1", "d2", "ord", "size")
+    begin = (lists.join(shared, "list").groupBy("d1")
              .agg(F.array_sort(F.collect_list(F.struct("n", "list"))).alias("lists"))
-             .withColumn("many", F.size("lists") - F.ceil(F.col("size") * percent / 100) + 1)
-             .where("many > 0").select("d1", "d2", "ord", "size", F.expr("slice(lists, 1, cast(many as int))").alias("lists")))
+             .join(classes.where("linkable"), "d1")
+             .withColumn("many", F.size("lists") - F.ceil(F.col("size") * percent / 100) + 1).where("many > 0")
+             .select("d1", "d2", "ord", "size", F.expr("slice(lists, 1, cast(greatest(many, 0) as int))").alias("lists")))
     entries = staged(begin.select("d1", "d2", "ord", "size", F.explode("lists.list").alias("list")), "skip-entries")
     names = entries.groupBy("list").agg(F.min("ord").alias("name"), F.count(F.lit(1)).alias("n")).where("n > 1")
     dealt = staged(entries.join(names.drop("n"), "list").select("name", "d1", "d2", "ord", "size").distinct(),
