@@ -234,7 +234,7 @@ _RUN = ",\n".join([
     CLICKS, BRONZE_ORDERS,
     _silver_clicks("silver_all", "bronze_clicks"),
     "silver_clicks AS (SELECT * FROM silver_all WHERE event_id IS NOT NULL)",
-    "rejected AS (SELECT * FROM silver_all WHERE event_id IS NULL)",
+    "rejected AS (SELECT * FROM silver_all_norm WHERE event_id IS NULL)",
     f"dim_user AS ({_DIM_USER})",
     f"fact_orders AS ({_FACT_ORDERS})",
     f"fact_clicks AS ({_FACT_CLICKS})",
