@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tierflow.session import scratch_path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a fresh scratch table and return the reader of it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     release(spark)
     return spark.read.schema(schema).parquet(path)
 
