@@ -22,6 +22,7 @@ from tierflow.plans import quality, runner
 from tierflow.session import build_session
 from tierflow.sources import jdbc, jsonl
 from tierflow.sources.layers import LayerStore
+from tierflow.streaming import incremental
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -47,7 +48,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--keep-versions", type=int, default=2,
                    help="version folders kept per table (older ones are deleted)")
     p.add_argument("--load-id", default=None,
-                   help="name of this load of clicks: one already loaded is not loaded again")
+                   help="read all files as one load of that name, which is not loaded again; "
+                        "by default each file is loaded once")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     a = p.parse_args(argv)
     if not a.clicks:
@@ -60,8 +62,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     spark = spark or build_session(a.master, app="tierflow-run")
     store = LayerStore(spark, a.lake)
     if a.stream:
-        from tierflow.streaming import incremental
-        q = incremental.start_clicks(spark, a.clicks, store, f"{a.lake.rstrip('/')}/_stream_checkpoint",
+        q = incremental.start_clicks(spark, a.clicks, store, incremental.checkpoint_of(store),
                                      available_now=a.trigger is None, processing_time=a.trigger)
         q.awaitTermination()
         if q.exception() is not None:
@@ -78,7 +79,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         kw = dict(partition_column=a.orders_split_column, lower_bound=a.orders_bounds[0],
                   upper_bound=a.orders_bounds[1], num_partitions=a.orders_partitions)
         orders = jdbc.read(spark, conn, a.orders_jdbc_table, **kw)
-    counts = runner.run(store, jsonl.read_clicks(spark, a.clicks), orders,
+    clicks = None
+    if a.load_id is None:
+        incremental.land_files(store, a.clicks)     # each file once, whoever loads it
+    else:
+        clicks = jsonl.read_clicks(spark, a.clicks)
+    if clicks is None and not store.exists("bronze", "click_events"):
+        raise SystemExit(f"no click files at {a.clicks}")
+    counts = runner.run(store, clicks, orders,
                         with_orders=a.with_orders, incremental=not a.full,
                         keep_versions=a.keep_versions, load_id=a.load_id)
     print(json.dumps({"rows_written": counts}))

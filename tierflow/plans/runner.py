@@ -9,10 +9,10 @@ from tierflow import contracts as C
 from tierflow.operators.changes import apply_changes
 from tierflow.operators.items import validity
 from tierflow.plans import bronze, gold, silver
-from tierflow.sources.layers import LayerStore
+from tierflow.sources.layers import LayerStore, UpsertResult
 
 
-def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None = None,
+def run(store: LayerStore, raw_clicks: DataFrame | None, oltp_orders: DataFrame | None = None,
         with_orders: bool = False, run_ts=None, incremental: bool = True,
         keep_versions: int | None = 2, load_id: str | None = None) -> dict[str, int]:
     """bronze -> silver (upsert) -> gold, like the runner script.
@@ -39,16 +39,18 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     interrupted run leaves the previous state readable.  ``load_id`` names
     the clicks given: a load of an id that is already committed is skipped, so
     a run repeated with its id adds nothing to bronze.  At the end, version folders older than the
-    newest ``keep_versions`` are deleted (None keeps all).  Returns the rows
-    written per table.
+    newest ``keep_versions`` are deleted (None keeps all).  ``raw_clicks`` is
+    None where the file stream has landed them (``incremental.land_files``),
+    which needs no id: it takes each file once.  Returns the rows written per
+    table.
     """
     if with_orders and oltp_orders is None and not store.exists("bronze", "orders"):
         raise FileNotFoundError("with_orders=True but there is no orders input")
     counts: dict[str, int] = {}
 
-    b_clicks = bronze.clicks(raw_clicks, run_ts)
     known = load_id is not None and store.has_load("bronze", "click_events", load_id)
-    counts["bronze.click_events"] = 0 if known else store.append(b_clicks, "bronze", "click_events", load_id=load_id)
+    counts["bronze.click_events"] = 0 if raw_clicks is None or known else store.append(
+        bronze.clicks(raw_clicks, run_ts), "bronze", "click_events", load_id=load_id)
     if oltp_orders is not None:
         counts["bronze.orders"] = store.overwrite(bronze.orders(oltp_orders, run_ts), "bronze", "orders")
 
@@ -57,21 +59,8 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
         store.upsert(stage, "silver", "orders")
         counts["silver.orders"] = store._rows("silver", "orders")
 
-    done = store.source_seq("silver", "click_events") if incremental else None
-    loaded = store.last_load_seq("bronze", "click_events")
-    loads = store.read_loads_after("bronze", "click_events", done)
-    keyed = silver.clicks(loads.where(F.col("event_id").isNotNull()), run_ts)
-    # every unkeyed row is kept: de-duplication by a NULL key would leave one
-    seen = store.source_seq("silver", "click_events_rejected") if incremental else None
-    unkeyed = store.read_loads_after("bronze", "click_events", seen).where(F.col("event_id").isNull())
-    rejected = silver.clicks(unkeyed, run_ts, dedup=False)
-    write = store.append if incremental else store.overwrite
-    counts["silver.click_events_rejected"] = (
-        0 if seen is not None and seen >= loaded
-        else write(rejected, "silver", "click_events_rejected", source_seq=loaded))
     before = store.last_commit("silver", "click_events")
-    merged = store.upsert(keyed, "silver", "click_events",
-                          prefer_latest=silver.DEDUP_ORDER_CLICKS, source_seq=loaded)
+    counts["silver.click_events_rejected"], merged = merge_loads(store, run_ts, incremental)
     counts["silver.click_events"] = store._rows("silver", "click_events")
 
     clicks = gold.prepare_clicks(store.read("silver", "click_events"))
@@ -80,7 +69,9 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     counts["gold.fact_orders"] = store.overwrite(gold.fact_orders(orders), "gold", "fact_orders")
     now = store.last_commit("silver", "click_events")
     follows = before is not None and store.source_seq("gold", "fact_clicks") == before
-    if merged.touched is None or not follows:
+    if merged is None and follows:
+        pass                                        # silver is as the facts saw it
+    elif merged is None or merged.touched is None or not follows:
         store.overwrite(gold.fact_clicks(clicks, unique_events=True), "gold", "fact_clicks", source_seq=now)
     else:
         refresh_fact_clicks(store, [d["_event_date"] for d in merged.touched], now)
@@ -94,6 +85,35 @@ def run(store: LayerStore, raw_clicks: DataFrame, oltp_orders: DataFrame | None
     return counts
 
 
+def merge_loads(store: LayerStore, run_ts=None, incremental: bool = True) -> tuple[int, UpsertResult | None]:
+    """Merge the bronze click loads that silver doesn't hold yet (all of them
+    if not ``incremental``): keyed rows into silver.click_events, all others
+    into silver.click_events_rejected.  Batch runs and the stream both come
+    here, and each commit records the last load it covers, so whichever of
+    them meets a load first takes it, and a load left by a stopped run is
+    taken by the next.  Returns the rejected rows written, and what the upsert
+    did (None if there was nothing to merge)."""
+    loaded = store.last_load_seq("bronze", "click_events")
+    done = store.source_seq("silver", "click_events") if incremental else None
+    if loaded is None or done is not None and done >= loaded:
+        return 0, None
+    # rows rejected just before a stop are ahead of silver
+    rejected_to = store.source_seq("silver", "click_events_rejected") if incremental else None
+    rejected_to = max((x for x in (done, rejected_to) if x is not None), default=None)
+    # every unkeyed row is kept: de-duplication by a NULL key would leave one
+    unkeyed = store.read_loads_after("bronze", "click_events", rejected_to).where(F.col("event_id").isNull())
+    rejected = 0
+    if not unkeyed.isEmpty():                       # else neither a folder nor a commit
+        write = store.append if incremental else store.overwrite
+        rejected = write(silver.clicks(unkeyed, run_ts, dedup=False), "silver", "click_events_rejected",
+                         source_seq=loaded)
+    elif not store.exists("silver", "click_events_rejected"):
+        store.overwrite(C.empty(store.spark, C.SILVER_CLICKS), "silver", "click_events_rejected", source_seq=loaded)
+    keyed = store.read_loads_after("bronze", "click_events", done).where(F.col("event_id").isNotNull())
+    return rejected, store.upsert(silver.clicks(keyed, run_ts), "silver", "click_events",
+                                  prefer_latest=silver.DEDUP_ORDER_CLICKS, source_seq=loaded)
+
+
 def refresh_fact_clicks(store: LayerStore, days: list, source_seq: int | None = None) -> int:
     """Recompute gold.fact_clicks for the months holding ``days`` (event
     days whose silver rows changed) from those silver partitions only, and

@@ -226,6 +226,8 @@ class LayerStore:
         if v is None:
             return None
         storage = set(C.TABLES.get((layer, table), (None, None, []))[2]) | {"_load_seq"}
+        if not self._read_version(layer, table, v).inputFiles():
+            return C.schema_of(layer, table)        # an empty partitioned table has no files
         schema = self.spark.read.parquet(self._version_path(layer, table, v)).schema
         return T.StructType([f for f in schema.fields if f.name not in storage])
 

@@ -3,29 +3,30 @@
 New JSON-lines files are picked up by a file stream; every micro-batch is
 handed to the batch functions through ``foreachBatch``:
 
-1. bronze: the batch is shaped (``bronze.clicks``) and appended;
-2. silver: the batch is cleaned and de-duplicated, then merged into
-   silver so that the latest delivery wins against the stored row
-   (``LayerStore.upsert(prefer_latest=...)``): the result equals a full
-   recompute even when an older re-delivery arrives late, and only the
-   event days the batch touches are read and rewritten.
-   Rows whose event_id is NULL go to ``silver.click_events_rejected``.
-
-Each commit records the micro-batch epoch.  A batch replayed after a
-failure skips the steps already committed, so each file affects the
-tables once.  The stream's own checkpoint (offsets, file log) lives
-under the shared checkpoint folder.
+1. bronze: the batch is shaped (``bronze.clicks``) and appended as a load;
+2. silver: all loads that silver doesn't hold yet are merged
+   (``runner.merge_loads``, the step of the batch run), so that the latest
+   delivery wins against the stored row: the result equals a full recompute
+   even when an older re-delivery arrives late, and only the event days the
+   loads touch are read and rewritten.  Rows whose event_id is NULL go to
+   ``silver.click_events_rejected``.
+
+The bronze commit records the micro-batch epoch: a batch replayed after a
+failure is not appended again, and its load is merged if it wasn't.  So each
+file affects the tables once, and batch runs and streams may share a lake.
+The stream's own checkpoint (offsets, file log) lives in the lake; the batch
+command uses the same one (``land_files``), so a file that either has taken is
+not taken again.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import contracts as C
-from tierflow.plans import bronze, silver
+from tierflow.plans import bronze
+from tierflow.plans.runner import merge_loads
 from tierflow.sources.jsonl import with_malformed
 from tierflow.sources.layers import LayerStore
 
@@ -43,22 +44,22 @@ def read_landed_clicks(spark: SparkSession, path: str, max_files_per_trigger: in
 def process_batch(store: LayerStore, batch: DataFrame, epoch: int, run_ts=None) -> None:
     """Apply one micro-batch of landed clicks to bronze and silver."""
     store.refresh()                                 # see commits of other writers
-    if epoch <= store.last_epoch("silver", "click_events"):
-        return                                      # replay of a finished batch
-    # the batch feeds two writes: keep it (memory, spilling to disk) instead
-    # of reading its files twice; its size is bounded by the trigger
-    b = bronze.clicks(batch, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if epoch > store.last_epoch("bronze", "click_events"):
-            store.append(b, "bronze", "click_events", epoch=epoch)
-        if epoch > store.last_epoch("silver", "click_events_rejected"):
-            store.append(silver.clicks(b.where(F.col("event_id").isNull()), run_ts, dedup=False),
-                         "silver", "click_events_rejected", epoch=epoch)
-        keyed = silver.clicks(b.where(F.col("event_id").isNotNull()), run_ts)
-        store.upsert(keyed, "silver", "click_events", epoch=epoch,
-                     prefer_latest=silver.DEDUP_ORDER_CLICKS)
-    finally:
-        b.unpersist()
+    if epoch > store.last_epoch("bronze", "click_events"):
+        store.append(bronze.clicks(batch, run_ts), "bronze", "click_events", epoch=epoch)
+    merge_loads(store, run_ts)
+
+
+def checkpoint_of(store: LayerStore) -> str:
+    """The file log of a lake's click files."""
+    return f"{store.root}/_stream_checkpoint"
+
+
+def land_files(store: LayerStore, source_path: str, run_ts=None) -> None:
+    """Load every click file that the lake hasn't taken yet, then return."""
+    q = start_clicks(store.spark, source_path, store, checkpoint_of(store), run_ts)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def start_clicks(spark: SparkSession, source_path: str, store: LayerStore, checkpoint: str,
