@@ -79,9 +79,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         kw = dict(partition_column=a.orders_split_column, lower_bound=a.orders_bounds[0],
                   upper_bound=a.orders_bounds[1], num_partitions=a.orders_partitions)
         orders = jdbc.read(spark, conn, a.orders_jdbc_table, **kw)
-    clicks = None
+    clicks, landed = None, {}
     if a.load_id is None:
-        incremental.land_files(store, a.clicks)     # each file once, whoever loads it
+        landed = incremental.land_files(store, a.clicks)    # each file once, whoever loads it
     else:
         clicks = jsonl.read_clicks(spark, a.clicks)
     if clicks is None and not store.exists("bronze", "click_events"):
@@ -89,6 +89,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     counts = runner.run(store, clicks, orders,
                         with_orders=a.with_orders, incremental=not a.full,
                         keep_versions=a.keep_versions, load_id=a.load_id)
+    for table, rows in landed.items():
+        counts[table] += rows
     print(json.dumps({"rows_written": counts}))
     quality.audit(store).orderBy("layer", "table").show(truncate=False)
     quality.contract_report(store).orderBy("layer", "table").show(truncate=False)

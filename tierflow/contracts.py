@@ -100,6 +100,10 @@ REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks"),
 # ``_load_seq``): readers list the folders of committed loads only, and an
 # incremental reader those after the last one it processed.
 LOAD_SEQUENCED = {("bronze", "click_events"), ("silver", "click_events_rejected")}
+# Tables stored in buckets of their key: number of buckets.  An upsert merges
+# them bucket by bucket; size it so that a bucket of the table is some 100 MB
+# (the layout of a table is fixed by its first version).
+BUCKETS: dict[tuple[str, str], int] = {("silver", "orders"): 32}
 # Types of the storage partition columns (declared, never inferred: a
 # version holding only NULL partition values would otherwise read as VOID).
 PARTITION_TYPES: dict[str, T.DataType] = {
@@ -170,6 +174,9 @@ def ddl(layer: str, table: str, location: str | None = None) -> str:
     text = f"CREATE TABLE IF NOT EXISTS {layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"
     if parts:
         text += f"\nPARTITIONED BY ({', '.join(parts)})"
+    if (layer, table) in BUCKETS:
+        by = ", ".join(keys)
+        text += f"\nCLUSTERED BY ({by}) SORTED BY ({by}) INTO {BUCKETS[layer, table]} BUCKETS"
     if keys:
         text += f"\nCOMMENT 'key: {', '.join(keys)}'"
     if location:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,3 +80,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     src_keys = checked_keys(source, keys) if check_source else source.select(*keys)
     kept = target.join(src_keys, on=keys, how="left_anti")
     return src.unionByName(kept)
+
+
+def merge_buckets(target: DataFrame, source: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``upsert`` into a target that is stored in ``buckets`` buckets of its
+    key: the join runs bucket by bucket.
+
+    The source is dealt by its key once; that one exchange serves the key
+    check (a count over the key) and the join, and leaves the rows as the next
+    version is stored.  The target has no exchange: its buckets are read as
+    they lie.  A key that is NULL or repeated in the source fails the job.
+    """
+    null_any = F.lit(False)
+    for k in keys:
+        null_any = null_any | F.col(k).isNull()
+    msg = F.concat(F.lit("upsert source has a NULL or repeated key: "), F.to_json(F.struct(*keys)))
+    dealt = source.select(*target.columns).repartition(buckets, *keys)
+    counted = dealt.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    new = counted.select(*target.columns, F.when((F.col("__n") > 1) | null_any, F.raise_error(msg).cast("boolean"))
+                         .otherwise(F.lit(True)).alias("__new")).alias("s")
+    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    return target.alias("t").join(new, on, "full_outer").select(
+        *[F.when(F.col("s.__new"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns])

@@ -130,13 +130,26 @@ def upsert_orders(spark, d):
     3 (new keys: inserts) and even ids (updates with changed amounts and
     some NULL statuses).  Together they cover every order; odd ids that are
     not multiples of 3 exist only in the target and are kept."""
+    target, source = _orders_upsert(spark, d)
+    return upsert(target, source, ["order_id"])
+
+
+def _orders_upsert(spark, d):
     base = silver_orders(spark, d)
-    target = base.where(F.col("order_id") % 3 != 0)
-    source = base.where((F.col("order_id") % 3 == 0) | (F.col("order_id") % 2 == 0)).withColumns({
+    return base.where(F.col("order_id") % 3 != 0), base.where((F.col("order_id") % 3 == 0) | (F.col("order_id") % 2 == 0)).withColumns({
         "amount": (F.col("amount") + 10).cast("decimal(18,2)"),
         "status": F.when(F.col("order_id") % 8 == 0, F.lit(None)).otherwise(F.col("status")),
         "_processed_at": F.lit(RUN_TS2).cast("timestamp_ntz")})
-    return upsert(target, source, ["order_id"])
+
+
+def upsert_orders_buckets(spark, d):
+    """The rows of ``upsert_orders`` merged into a stored silver.orders, bucket
+    by bucket."""
+    store = _store(spark, "buckets")
+    target, source = _orders_upsert(spark, d)
+    store.overwrite(target, "silver", "orders")
+    store.upsert(source, "silver", "orders")
+    return store.read("silver", "orders")
 
 
 def upsert_clicks(spark, d):
@@ -256,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clicks": silver_clicks,
     "rejected_clicks": rejected_clicks,
     "upsert_orders": upsert_orders,
+    "upsert_orders_buckets": upsert_orders_buckets,
     "upsert_clicks": upsert_clicks,
     "gold_dim_user": gold_dim_user,
     "gold_fact_orders": gold_fact_orders,

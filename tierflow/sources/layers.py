@@ -25,7 +25,9 @@ converges when re-run.
 
 from __future__ import annotations
 
+import re
 import uuid
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,7 +37,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tierflow import contracts as C
 from tierflow.operators.dedup import latest_per_key
-from tierflow.operators.upsert import checked_keys, checked_rows
+from tierflow.operators.upsert import checked_keys, checked_rows, merge_buckets
 
 
 def observed(obs: Observation, name: str = "n") -> int:
@@ -281,7 +283,8 @@ class LayerStore:
                 (layer, table) in C.REBALANCE_ON_WRITE)
 
     def _write(self, df: DataFrame, path: str, mode: str, partition_by: list[str],
-               sort_by: list[str], rebalance: bool = False) -> int:
+               sort_by: list[str], rebalance: bool = False,
+               bucket_by: tuple[list[str], int] | None = None) -> int:
         obs = Observation()
         if partition_by and rebalance:
             # REBALANCE: one shuffle on the partition columns; AQE merges
@@ -294,9 +297,48 @@ class LayerStore:
         w = counted.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        if bucket_by:
+            keys, n = bucket_by
+            name = self._bucket_table(path)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            w.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+        else:
+            w.parquet(path)
         return observed(obs, "rows")
 
+    # ---- tables in buckets of their key ----------------------------------
+    def _bucket_table(self, path: str) -> str:
+        """Catalog name of the bucketed files of a version."""
+        return f"tierflow_buckets_{zlib.crc32(path.encode()):08x}_{re.sub('[^a-z0-9]+', '_', path.lower())[-40:]}"
+
+    def _bucket_spec(self, layer: str, table: str) -> tuple[list[str], int] | None:
+        n = C.BUCKETS.get((layer, table))
+        return (C.keys_of(layer, table), n) if n else None
+
+    def read_buckets(self, layer: str, table: str) -> DataFrame | None:
+        """The current version with its buckets known to the planner; None if
+        its files are not in buckets (written before the table had any)."""
+        cur, n = self.current_version(layer, table), C.BUCKETS.get((layer, table))
+        if cur is None or n is None:
+            return None
+        files = self._read_version(layer, table, cur).inputFiles()
+        if any(not re.search(r"_\d{5}\.c\d{3}", f) for f in files):
+            return None
+        path = self._version_path(layer, table, cur)
+        name = self._bucket_table(path)
+        text = C.ddl(layer, table, path).split(" (", 1)[1]
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({text}")
+        return self.spark.table(name)
+
+    def merged_buckets(self, source: DataFrame, layer: str, table: str) -> DataFrame | None:
+        """The next version of a bucketed table after an upsert of ``source``;
+        None if the current one is not in buckets."""
+        target = self.read_buckets(layer, table)
+        if target is None:
+            return None
+        keys, n = self._bucket_spec(layer, table)
+        return merge_buckets(target, C.conform(source, C.schema_of(layer, table)), keys, n)
+
     def overwrite(self, df: DataFrame, layer: str, table: str,
                   partition_by: list[str] | None = None, epoch: int | None = None,
                   id_high: int | None = None, source_seq: int | None = None,
@@ -306,7 +348,10 @@ class LayerStore:
         df, parts, sort_by, rebalance = self._layout(df, layer, table, partition_by)
         cur = self.current_version(layer, table) or 0
         path, seq = self._place(layer, table, cur + 1)
-        rows = self._write(df, path, "overwrite", parts, sort_by, rebalance)
+        buckets = self._bucket_spec(layer, table)
+        if buckets:
+            df = df.repartition(buckets[1], *buckets[0])        # one file a bucket
+        rows = self._write(df, path, "overwrite", parts, sort_by, rebalance, buckets)
         self._commit(layer, table, cur + 1, rows, epoch, seq, source_seq, id_high, load_id)
         return rows
 
@@ -355,7 +400,9 @@ class LayerStore:
             delivery wins" across runs, so deliveries loaded in any order
             give one result.
 
-        Unpartitioned (or not yet written) tables get a new full version.
+        Unpartitioned (or not yet written) tables get a new full version;
+        those in buckets of their key are merged bucket by bucket, without an
+        exchange of the stored rows.
         For a partitioned table only the touched partitions are read,
         merged and rewritten:
 
@@ -395,11 +442,18 @@ class LayerStore:
 
         if cur is None or not part_cols:
             before = 0 if cur is None else self._rows(layer, table)
-            merged = combine(self.read(layer, table), schema.fieldNames())
+            buckets = self._bucket_spec(layer, table)
+            merged = None
+            if buckets and keys == buckets[0] and not prefer_latest:
+                merged = self.merged_buckets(src, layer, table)
+            if merged is None:
+                merged = combine(self.read(layer, table), schema.fieldNames())
+                if buckets:
+                    merged = merged.repartition(buckets[1], *buckets[0])
             df, parts, sort_by, rebalance = self._layout(merged, layer, table, None)
             version = (cur or 0) + 1
             rows = self._write(df, self._version_path(layer, table, version), "overwrite",
-                               parts, sort_by, rebalance)
+                               parts, sort_by, rebalance, buckets)
             self._commit(layer, table, version, rows, epoch, None, source_seq)
             return UpsertResult(rows - before, None)
 
@@ -477,6 +531,8 @@ class LayerStore:
         drop = versions[:-keep]
         for v in drop:
             path = self._version_path(layer, table, v)
+            if (layer, table) in C.BUCKETS:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucket_table(path)}")
             if self._exists(path):
                 self._delete(path)
         if len(self._log_rows(layer, table)) - self._snapshot(layer, table) > 20:

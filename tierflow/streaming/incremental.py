@@ -54,12 +54,16 @@ def checkpoint_of(store: LayerStore) -> str:
     return f"{store.root}/_stream_checkpoint"
 
 
-def land_files(store: LayerStore, source_path: str, run_ts=None) -> None:
-    """Load every click file that the lake hasn't taken yet, then return."""
+def land_files(store: LayerStore, source_path: str, run_ts=None) -> dict[str, int]:
+    """Load every click file that the lake hasn't taken yet, and merge it;
+    returns the rows written per append-only table."""
+    tables = [("bronze", "click_events"), ("silver", "click_events_rejected")]
+    before = [store._rows(*t) for t in tables]
     q = start_clicks(store.spark, source_path, store, checkpoint_of(store), run_ts)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return {".".join(t): store._rows(*t) - n for t, n in zip(tables, before)}
 
 
 def start_clicks(spark: SparkSession, source_path: str, store: LayerStore, checkpoint: str,

@@ -362,3 +362,6 @@ SELECT * FROM tgt_all t WHERE {_NUM} % 3 <> 0
         _keys("gold", "orders_daily_revenue", "daily", "order_date"),
     ]),
 }
+
+# the stored form of the same upsert
+SQL["upsert_orders_buckets"] = SQL["upsert_orders"]
