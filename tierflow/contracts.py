@@ -56,6 +56,10 @@ FACT_CLICKS = _schema(("session_id", S), ("user_id", L), ("page", S),
 ORDERS_DAILY_REVENUE = _schema(("order_date", T.DateType()), ("orders", L),
                                ("revenue", T.DecimalType(22, 2)))
 
+# what each load of orders adds to the daily mart (bitmaps of order ids)
+ORDERS_DAILY_STATE = _schema(("order_date", T.DateType()), ("id_block", L), ("ids", T.BinaryType()),
+                             ("revenue", T.DecimalType(22, 2)))
+
 ITEMS = _schema(("id", L), ("name", S), ("sku", S), ("quantity", I),
                 ("location", S), ("updated_at", TS))
 
@@ -73,6 +77,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
     ("gold", "fact_orders"): (FACT_ORDERS, ["order_id"], ["order_month"]),
     ("gold", "fact_clicks"): (FACT_CLICKS, [], ["event_month"]),
     ("gold", "orders_daily_revenue"): (ORDERS_DAILY_REVENUE, ["order_date"], []),
+    ("gold", "orders_daily_state"): (ORDERS_DAILY_STATE, [], ["state_month"]),
     ("app", "inventory_items"): (ITEMS, ["id"], []),
 }
 
@@ -84,6 +89,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
 PARTITION_EXPRS: dict[str, str] = {
     "_ingest_date": "to_date(_ingested_at)",
     "_event_date": "to_date(ts_utc)",
+    "state_month": "year(order_date) * 100 + month(order_date)",
     "order_month": "CAST(order_date_key DIV 100 AS INT)",
     "event_month": "CAST(event_date_key DIV 100 AS INT)",
 }
@@ -95,11 +101,11 @@ PARTITION_EXPRS: dict[str, str] = {
 # several files.  Bronze appends carry one or two ingest days per load and
 # are written as they come.
 REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks"),
-                      ("silver", "click_events")}
+                      ("silver", "click_events"), ("gold", "orders_daily_state")}
 # Append-only tables with a folder per load (storage-only partition column
 # ``_load_seq``): readers list the folders of committed loads only, and an
 # incremental reader those after the last one it processed.
-LOAD_SEQUENCED = {("bronze", "click_events"), ("silver", "click_events_rejected")}
+LOAD_SEQUENCED = {("bronze", "click_events"), ("silver", "click_events_rejected"), ("gold", "orders_daily_state")}
 # Tables stored in buckets of their key: number of buckets.  An upsert merges
 # them bucket by bucket; size it so that a bucket of the table is some 100 MB
 # (the layout of a table is fixed by its first version).
@@ -109,6 +115,7 @@ BUCKETS: dict[tuple[str, str], int] = {("silver", "orders"): 32}
 PARTITION_TYPES: dict[str, T.DataType] = {
     "_load_seq": T.LongType(), "_ingest_date": T.DateType(), "_event_date": T.DateType(),
     "order_month": T.IntegerType(), "event_month": T.IntegerType(),
+    "state_month": T.IntegerType(),
 }
 # Sort order inside the files of each stored table (for row-group pruning).
 SORT_WITHIN: dict[tuple[str, str], list[str]] = {

@@ -97,3 +97,25 @@ def orders_daily_revenue(orders: DataFrame, sort: bool = False,
                 F.sum("total_amount").alias("revenue")))
     out = C.conform(out, C.ORDERS_DAILY_REVENUE)
     return out.orderBy("order_date") if sort else out
+
+
+def daily_state(orders: DataFrame) -> DataFrame:
+    """What one load of orders adds to the daily mart, in a form that merges:
+    per order day and block of 32,768 order ids, the ids seen as a bitmap, and
+    the revenue.  Ids that ascend with time fill few blocks a day."""
+    rows = orders.select(to_day("order_ts").alias("order_date"), "total_amount",
+                         F.bitmap_bucket_number("order_id").alias("id_block"),
+                         F.bitmap_bit_position("order_id").alias("__bit"))
+    return C.conform(rows.groupBy("order_date", "id_block").agg(
+        F.bitmap_construct_agg("__bit").alias("ids"), F.sum("total_amount").alias("revenue")), C.ORDERS_DAILY_STATE)
+
+
+def daily_from_state(state: DataFrame) -> DataFrame:
+    """The daily mart of any number of loads: ids are united before they are
+    counted, so an order delivered again counts once on its day, exactly; its
+    revenue is added each time, as in ``orders_daily_revenue``."""
+    blocks = state.groupBy("order_date", "id_block").agg(
+        F.bitmap_or_agg("ids").alias("ids"), F.sum("revenue").alias("revenue"))
+    counted = F.when(F.col("id_block").isNotNull(), F.bitmap_count("ids")).otherwise(F.lit(0))
+    return C.conform(blocks.groupBy("order_date").agg(F.sum(counted).alias("orders"), F.sum("revenue").alias("revenue")),
+                     C.ORDERS_DAILY_REVENUE)

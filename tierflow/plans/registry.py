@@ -188,6 +188,17 @@ def gold_orders_daily_revenue(spark, d):
                                      unique_orders=True)
 
 
+def gold_daily_loads(spark, d):
+    """The daily mart of two loads: all orders, then the re-deliveries, some
+    of them on the day of the first delivery."""
+    store = _store(spark, "daily")
+    every = td.bronze_orders_input(spark, d, redeliveries=True)
+    first = F.col("_ingested_at") == F.lit(RUN_TS).cast("timestamp_ntz")
+    for load_id, part in (("first", every.where(first)), ("again", every.where(~first))):
+        runner.add_orders(store, bronze.orders(part), load_id)
+    return store.read("gold", "orders_daily_revenue")
+
+
 def report_daily_revenue(spark, d):
     store = _store(spark, "report")
     store.overwrite(gold_orders_daily_revenue(spark, d), "gold", "orders_daily_revenue")
@@ -275,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_fact_orders": gold_fact_orders,
     "gold_fact_clicks": gold_fact_clicks,
     "gold_orders_daily_revenue": gold_orders_daily_revenue,
+    "gold_daily_loads": gold_daily_loads,
     "report_daily_revenue": report_daily_revenue,
     "items_snapshot": items_snapshot,
     "items_lookup": items_lookup,

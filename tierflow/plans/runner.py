@@ -135,6 +135,34 @@ def refresh_fact_clicks(store: LayerStore, days: list, source_seq: int | None =
                                     [{"event_month": m} for m in months], source_seq)
 
 
+def add_orders(store: LayerStore, orders: DataFrame, load_id: str | None = None) -> int:
+    """Add a load of bronze-shaped orders to the daily mart, re-deliveries and
+    all, without reading earlier orders.
+
+    The load's state (``gold.daily_state``) is appended as one committed load;
+    then only its days are computed again, from the states of those days.  A
+    load of a known ``load_id`` adds nothing, and a stop between the two steps
+    is made good by the next load or by the same one.  Returns the days
+    recomputed."""
+    if load_id is None or not store.has_load("gold", "orders_daily_state", load_id):
+        store.append(gold.daily_state(gold.prepare_orders(orders)), "gold", "orders_daily_state", load_id=load_id)
+    after = store.source_seq("gold", "orders_daily_revenue")
+    loaded = store.last_load_seq("gold", "orders_daily_state")
+    if after is not None and after >= loaded:
+        return 0
+    new = store.read_loads_after("gold", "orders_daily_state", after)
+    days = [r[0] for r in new.select("order_date").distinct().collect()]    # at most one row a day
+    months = {None if d is None else d.year * 100 + d.month for d in days}
+    its_days = store._any_match([{"order_date": d} for d in days], ["order_date"])
+    state = store.read("gold", "orders_daily_state", raw=True).where(
+        store._any_match([{"state_month": m} for m in months], ["state_month"]))     # prunes folders
+    fresh = gold.daily_from_state(state.where(its_days))
+    mart = store.read("gold", "orders_daily_revenue")
+    kept = mart.where(~its_days) if days else mart
+    store.overwrite(kept.unionByName(fresh), "gold", "orders_daily_revenue", source_seq=loaded)
+    return len(days)
+
+
 def apply_item_changes(store: LayerStore, changes: DataFrame, run_ts=None) -> dict:
     """Apply a change set to the stored item snapshot (``app.inventory_items``)
     and commit the result as its next version.

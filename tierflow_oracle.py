@@ -363,5 +363,14 @@ SELECT * FROM tgt_all t WHERE {_NUM} % 3 <> 0
     ]),
 }
 
+# the daily mart of orders and their re-deliveries
+SQL["gold_daily_loads"] = _with(BRONZE_ORDERS, """delivered AS (
+  SELECT order_id, total_amount, created_at FROM bronze_orders
+  UNION ALL
+  SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)),
+         CASE WHEN o_orderkey % 14 = 0 THEN o_orderdate + INTERVAL 2 DAY
+              WHEN o_orderkey % 21 = 0 THEN NULL ELSE o_orderdate END
+  FROM orders WHERE o_orderkey % 7 = 0)""") + _GOLD_DAILY.replace("bronze_orders", "delivered")
+
 # the stored form of the same upsert
 SQL["upsert_orders_buckets"] = SQL["upsert_orders"]
