@@ -53,3 +53,34 @@ def test_fit_needs_no_unlabelled_rows(spark, model):
     extra = spark.createDataFrame([("https://casino.example/", None)], "url string, blocked double")
     again = fit(labelled_urls(spark).union(extra))
     assert abs(again.intercept - model.intercept) < 1e-9
+
+
+def test_probabilities_equal_brute_force(spark, model):
+    """Features and probability of host and path, computed without Spark's
+    transformers."""
+    import math
+
+    from pyspark.ml.feature import HashingTF
+
+    from tierflow.llm.url_logreg import FEATURES, NGRAMS
+    tf = HashingTF(numFeatures=FEATURES)
+    urls = ["https://www.new-casino.com/play?x", "http://museum.org/", "x://é漢😀.com/ü/", "http://ab/", "none", ""]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    for r in judge(df, [], model).collect():
+        grams = set()
+        for tag, text in (("h", r["host"]), ("p", r["path"])):
+            marked = f"\x02{text}\x03"
+            grams |= {tag + marked[i:i + n] for n in NGRAMS for i in range(len(marked) - n + 1)}
+        z = model.intercept + sum(float(model.coefficients[i]) for i in {tf.indexOf(g) for g in grams})
+        assert abs(r["p_block"] - 1 / (1 + math.exp(-z))) < 1e-9, r["url"]
+
+
+def test_given_unwanted_hosts_are_found_though_the_table_has_none(spark, model):
+    from tierflow.llm.url_logreg import ALLOWED, BLOCKED
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    unwanted = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    assert not set(unwanted) & set((BLOCKED + ALLOWED).split())
+    rows = judge(pages.select("page_id", "url"), [], model).select("host", "verdict").collect()
+    bad = [r["verdict"] == "block" for r in rows if any(u in r["host"] for u in unwanted)]
+    good = [r["verdict"] == "block" for r in rows if not any(u in r["host"] for u in unwanted)]
+    assert sum(bad) >= 0.9 * len(bad) > 0 and sum(good) <= 0.02 * len(good)

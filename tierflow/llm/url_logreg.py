@@ -22,24 +22,39 @@ THRESHOLD = 0.8
 #: Rules are few: they are part of the expression.
 MAX_RULES = 10_000
 
-# Invented host names of unwanted and of ordinary sites.
+# Invented host names, by kind of unwanted and of ordinary site.
 BLOCKED = """
-casino-royal online-casino casino-bonus casino-win win-big slots-win lucky-win free-bets best-bets bets-online
-sports-bets poker-room free-chips cheap-pills pills-online buy-pills cheap-meds cheap-replica pharmacy-pills
-spam-farm link-farm content-farm spam-blog spam-links seo-spam ads-track ads-server track-click pixel-track
-pop-ads banner-ads adult-x adult-chat adult-video xxx-adult sex-cams x-videos free-loans payday-loans
-warez-crack free-money get-rich malware-site
+grand-casino casinoroyale vegas-casino casino777 live-casino slots-online mega-slots jackpot-slots luckyspins
+roulette-live poker-night pokerstake blackjack-pro bet-online sportsbet betting-tips bets365 bet-bonus wager-club
+winbig-lotto lottery-winner win-prizes bigwins free-spins freechips free-money freegifts free-prizes
+pills-store pillsdirect diet-pills online-pharmacy pharma-discount cheap-meds cheapviagra viagra-shop steroid-store
+replica-watches cheap-handbags fake-designer cheap-rolex cheap-followers miracle-cure
+adult-dating adultchat adult-movies xxx-tube xxxvideos sex-chat sexcams hot-singles escort-girls nude-pics porn-tube
+webcam-girls milf-dates strip-cams
+spam-mailer bulkspam spamblast seo-spam link-exchange linkfarms content-mill article-spinner doorway-farm backlinks-farm
+ads-banner adserver ad-clicks popup-ads popunder ads-network track-pixel tracker-hub clicktrack tracking-beacon affiliate-track
+malware-host virus-exe crack-keygen warez-zone cracked-apps torrent-warez serial-keys phish-login account-verify
+secure-login-update payday-cash fast-cash-loans instant-loans credit-repair-now crypto-doubler bitcoin-giveaway
+get-rich-quick work-from-home-cash money-maker forex-signals
 """
 ALLOWED = """
-news library museum weather school garden university journal history sports-club music recipes theatre
-science-today books health travel nation mountain village river station-house thither another motion fashion
-reason able thing thorn-hill gather north method earth thread heather mention town-hall healthy author
-together ocean window table stable nationwide blessing bakery notion edition theory thunder herald brother
-blend tinder onward seaside renting
+city-museum public-library state-university high-school garden-club weather-report daily-news evening-post science-journal
+history-archive music-academy theatre-house film-review book-reviews recipes-kitchen travel-guide mountain-trails river-walks
+harbour-town village-hall town-council national-park art-gallery science-centre health-clinic dental-care children-hospital
+football-club tennis-court running-notes chess-problems knitting-patterns woodworking photo-album bird-watch sea-life
+linux-notes python-tutorial open-data code-review math-forum physics-lab chemistry-class language-school dictionary
+grammar-help poetry-corner short-stories radio-hour podcast-weekly film-society design-studio architecture garden-design
+furniture-maker bakery-lane coffee-roaster tea-house restaurant-menu wine-cellar farm-shop flower-market bike-repair car-review
+train-times bus-routes airport-info hotel-booking camping-sites hiking-maps ski-resort surf-school sailing-club
+law-review tax-advice job-board company-register bank-branch insurance-guide housing-office charity-fund church-choir
+parliament ministry election-results court-rulings patents census statistics encyclopedia wiki-commons translation
+astronomy geology biology ecology climate ocean-study forest-service water-board energy-report solar-panels
+the-other-side another-day throughout thereafter nation-building education information communication collection attention
+reason-and-rhyme thinker weather-vane north-shore southern-post western-line eastern-light
 """
-PREFIXES = ("", "www.", "m.", "blog.")
-ZONES = (".example", ".example.com", ".example.org", ".example.net")
-PATHS = ("/en/12", "/de/345.html", "/fr/67/", "/es/8", "/en/910?ref=x", "/", "/play", "/fr/1112#top", "")
+PREFIXES = ("", "www.", "shop.", "my.")
+ZONES = (".com", ".org", ".info", ".co", ".eu")
+PATHS = ("/", "/index.html", "/about/", "/2021/05/story.html", "/item?id=7", "/a/b/c", "", "/page/2#top")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
