@@ -75,6 +75,17 @@ def test_chunks_follow_the_content():
             t[:e].decode()
 
 
+def test_marks_at_the_end_of_a_text():
+    rng = random.Random(7)
+    base = "".join(rng.choice("abcdefgh é漢") for _ in range(30_000)).encode()
+    marked = [e for e in chunk_ends(base)[:-1]]
+    assert len(marked) > 20
+    for e in marked:  # a mark at the last byte ends the text, and no chunk is empty
+        assert chunk_ends(base[:e]) == [x for x in marked if x < e] + [e]
+    counter = UnitCounter()
+    assert [counter.read(base[:e]).n for e in marked] == [len(UNIT.findall(base[:e].decode())) for e in marked]
+
+
 def test_cache_is_bounded_and_shared():
     rng = random.Random(4)
     counter = UnitCounter(cache_bytes=20_000)

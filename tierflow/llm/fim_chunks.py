@@ -70,9 +70,9 @@ def chunk_ends(data: bytes) -> list[int]:
         nonlocal last
         while at < len(data) and data[at] & 0xC0 == 0x80:
             at += 1
+        last = at
         if at < len(data):
             ends.append(at)
-            last = at
 
     for at in range(0, len(whole), PIECE_BYTES):
         from_ = max(0, at - WINDOW + 1)
