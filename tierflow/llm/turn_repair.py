@@ -6,8 +6,8 @@ cheapest edits (keep, rerole, delete, insert) that make it so are searched
 depth first on an explicit stack.  A node is (rows read, last role written);
 its bound is the cost so far plus a lower bound of the suffix, taken backwards
 over costs alone; only the incumbent settles audits.  (A looser bound, in which
-a system turn may stand wherever a user turn may, made the search exponential
-in runs of system turns.)  A node is cut if the incumbent (cost, audit) can't
+a system turn may stand wherever a user turn may, left long conversations
+without an end in sight.)  A node is cut if the incumbent (cost, audit) can't
 be beaten, or if the node's dominance table holds a better prefix.  Two
 prefixes of equal cost at one node are never prefixes of each other (they would
 differ by paid inserts), so the order of (cost, audit) among prefixes is that
