@@ -285,7 +285,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     classes = staged(slim.select("d1", "d2", "ord").groupBy("d1", "d2").agg(F.min("ord").alias("ord"))
                      .join(census, ["d1", "d2"]), "skip-classes")
     texts = staged(slim.join(classes.where("linkable").select("d1", "d2", "ord"), ["d1", "d2", "ord"], "left_semi")
-                   .dropDuplicates(["d1", "d2", "ord"]), "skip-texts")
+                   .dropDuplicates(["d1", "d2", "ord"]), "skip-texts", compression="zstd")
 
     # narrow rows: the hash stands for the document until its lists are chosen
     lists = texts.select("text", "d1").mapInArrow(_shingles(shingle), "d1 long, lists array<long>").select(
@@ -307,7 +307,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         "name", "d1", "d2", "ord", "cuts", F.pmod(F.xxhash64("d1", "d2"), F.col("cuts")).cast("int").alias("cut")),
         "skip-parts")
     texts = staged(slim.join(involved.select("d1", "d2", "ord").distinct(), ["d1", "d2", "ord"], "left_semi")
-                   .dropDuplicates(["d1", "d2", "ord"]), "skip-texts")
+                   .dropDuplicates(["d1", "d2", "ord"]), "skip-texts", compression="zstd")
 
     ident = ["name", "cut", "d1", "d2", "ord"]
     at_home = involved.where("ord <> name").select(*ident).union(
