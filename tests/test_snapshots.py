@@ -1,0 +1,120 @@
+"""Changes between snapshots, and orders gold that follows them."""
+
+import datetime as dt
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+from tierflow.operators.snapshots import changed_keys, changed_rows
+from tierflow.plans import gold, runner
+from tierflow.session import scratch_path
+from tierflow.sources.layers import LayerStore
+
+T0 = dt.datetime(2024, 1, 15)
+SCHEMA = ("order_id long, user_id long, status string, total_amount decimal(12,2), created_at timestamp_ntz, "
+          "updated_at timestamp_ntz, _ingested_at timestamp_ntz")
+
+
+def orders(spark, rows, stamp=T0):
+    """Orders of {id: (month or None, amount or None)}."""
+    return spark.createDataFrame(
+        [(i, 1, "ok", None if a is None else Decimal(a), None if m is None else T0 + dt.timedelta(days=31 * m), T0, stamp)
+         for i, (m, a) in rows.items()], SCHEMA)
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def files(store, table, column):
+    df = store.read("gold", table, raw=True)
+    return {(r[0], r[1]) for r in df.select(column, "_metadata.file_path").distinct().collect()}
+
+
+def test_rows_are_compared_as_multisets(spark):
+    schema = "k long, a string, b string"
+    old = spark.createDataFrame([(1, "x", None), (2, "a", "b"), (2, "a", "b"), (None, "n", "n"), (4, "", "")], schema)
+    new = spark.createDataFrame([(1, None, "x"), (2, "a", "b"), (None, "n", "n"), (None, "n", "n"), (5, "", "")], schema)
+    got = {r.k: [] for r in changed_rows(old, new, ["k"]).collect()}
+    for r in changed_rows(old, new, ["k"]).collect():
+        got[r.k].append(r.n)
+    assert {k: sorted(v) for k, v in got.items()} == {1: [-1, 1], 2: [-1], None: [1], 4: [-1], 5: [1]}
+    ops = {r.k: r.op for r in changed_keys(old, new, ["k"]).collect()}
+    assert ops == {1: "update", 2: "delete", None: "insert", 4: "delete", 5: "insert"}
+    assert changed_rows(old, old, ["k"]).isEmpty()
+    assert changed_keys(old.limit(0), new.limit(0), ["k"]).isEmpty()
+    with pytest.raises(ValueError):
+        changed_rows(old, new.drop("b"), ["k"])
+
+
+def test_gold_equals_a_rebuild(spark):
+    rng = random.Random(4)
+    store, rows = LayerStore(spark, scratch_path(spark, "t-refresh")), {}
+    for step in range(4):
+        for _ in range(12):
+            i = rng.randrange(40)
+            if rng.random() < 0.25:
+                rows.pop(i, None)
+            else:
+                rows[i] = (rng.choice([None, 0, 1, 2, 3]), rng.choice([None, 5, 70]))
+        snapshot = orders(spark, rows, T0 + dt.timedelta(days=step))
+        store.overwrite(snapshot, "bronze", "orders")
+        months = runner.refresh_orders_gold(store)
+        assert (months is None) == (step == 0)
+        prepared = gold.prepare_orders(snapshot)
+        assert rows_of(store.read("gold", "fact_orders")) == rows_of(gold.fact_orders(prepared))
+        assert rows_of(store.read("gold", "orders_daily_revenue")) == rows_of(gold.orders_daily_revenue(prepared))
+        assert store._rows("gold", "fact_orders") == len(rows)
+        assert runner.refresh_orders_gold(store) == []
+
+
+def test_only_changed_months_are_rewritten(spark):
+    store = LayerStore(spark, scratch_path(spark, "t-refresh-files"))
+    rows = {i: (i % 4, 10) for i in range(20)} | {99: (9, 1)}
+    store.overwrite(orders(spark, rows), "bronze", "orders")
+    runner.refresh_orders_gold(store)
+    before = {t: files(store, t, c) for t, c in (("fact_orders", "order_month"), ("orders_daily_revenue", "state_month"))}
+    # one amount in month 0, one order from month 1 to 2, and month 9 empties
+    rows |= {0: (0, 11), 1: (2, 10)}
+    del rows[99]
+    store.overwrite(orders(spark, rows, T0 + dt.timedelta(days=1)), "bronze", "orders")
+    assert sorted(runner.refresh_orders_gold(store)) == [202401, 202402, 202403, 202410]
+    for table, column in (("fact_orders", "order_month"), ("orders_daily_revenue", "state_month")):
+        after = files(store, table, column)
+        assert {m for m, _ in after & before[table]} == {202404}
+        assert {m for m, _ in after} == {202401, 202402, 202403, 202404}
+    # a snapshot that differs in its load stamp alone
+    store.overwrite(orders(spark, rows, T0 + dt.timedelta(days=2)), "bronze", "orders")
+    assert runner.refresh_orders_gold(store) == []
+    assert files(store, "orders_daily_revenue", "state_month") == after
+
+
+def test_a_stop_between_the_tables_is_made_good(spark, monkeypatch):
+    store = LayerStore(spark, scratch_path(spark, "t-refresh-stop"))
+    store.overwrite(orders(spark, {1: (0, 5)}), "bronze", "orders")
+    runner.refresh_orders_gold(store)
+    store.overwrite(orders(spark, {1: (1, 6), 2: (0, 7)}), "bronze", "orders")
+    whole = store.replace_partitions
+    with monkeypatch.context() as m:
+        m.setattr(store, "replace_partitions",
+                  lambda df, layer, table, *a, **k: 1 / 0 if table == "fact_orders" else whole(df, layer, table, *a, **k))
+        with pytest.raises(ZeroDivisionError):
+            runner.refresh_orders_gold(store)
+    again = LayerStore(spark, store.root)
+    assert sorted(runner.refresh_orders_gold(again)) == [202401, 202402]
+    prepared = gold.prepare_orders(again.read("bronze", "orders"))
+    assert rows_of(again.read("gold", "fact_orders")) == rows_of(gold.fact_orders(prepared))
+    assert rows_of(again.read("gold", "orders_daily_revenue")) == rows_of(gold.orders_daily_revenue(prepared))
+
+
+def test_a_snapshot_that_is_gone_means_a_rebuild(spark):
+    store = LayerStore(spark, scratch_path(spark, "t-refresh-gone"))
+    for amount in (5, 6, 7):
+        store.overwrite(orders(spark, {1: (0, amount)}), "bronze", "orders")
+        if amount == 5:
+            runner.refresh_orders_gold(store)
+    store.vacuum("bronze", "orders", keep=2)
+    assert runner.refresh_orders_gold(store) is None
+    assert store.read("gold", "fact_orders").first().total_amount == 7

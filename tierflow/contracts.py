@@ -53,6 +53,11 @@ FACT_ORDERS = _schema(("order_id", L), ("user_id", L), ("product_count", I),
 FACT_CLICKS = _schema(("session_id", S), ("user_id", L), ("page", S),
                       ("event_type", S), ("event_date_key", I), ("events_count", L))
 
+# a feed of orders from systems of several ages (``sources.shapes``)
+ORDERS_FEED = _schema(("order_id", L), ("customer_id", L), ("status", S), ("amount", T.DecimalType(18, 2)),
+                      ("currency", S), ("order_date", TS), ("order_ts", TS), ("created_at", TS),
+                      ("updated_at", TS), ("_ingested_at", TS))
+
 ORDERS_DAILY_REVENUE = _schema(("order_date", T.DateType()), ("orders", L),
                                ("revenue", T.DecimalType(22, 2)))
 
@@ -76,7 +81,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
     ("gold", "dim_user"): (DIM_USER, ["user_id"], []),
     ("gold", "fact_orders"): (FACT_ORDERS, ["order_id"], ["order_month"]),
     ("gold", "fact_clicks"): (FACT_CLICKS, [], ["event_month"]),
-    ("gold", "orders_daily_revenue"): (ORDERS_DAILY_REVENUE, ["order_date"], []),
+    ("gold", "orders_daily_revenue"): (ORDERS_DAILY_REVENUE, ["order_date"], ["state_month"]),
     ("gold", "orders_daily_state"): (ORDERS_DAILY_STATE, [], ["state_month"]),
     ("app", "inventory_items"): (ITEMS, ["id"], []),
 }
@@ -101,7 +106,8 @@ PARTITION_EXPRS: dict[str, str] = {
 # several files.  Bronze appends carry one or two ingest days per load and
 # are written as they come.
 REBALANCE_ON_WRITE = {("gold", "fact_orders"), ("gold", "fact_clicks"),
-                      ("silver", "click_events"), ("gold", "orders_daily_state")}
+                      ("silver", "click_events"), ("gold", "orders_daily_state"),
+                      ("gold", "orders_daily_revenue")}
 # Append-only tables with a folder per load (storage-only partition column
 # ``_load_seq``): readers list the folders of committed loads only, and an
 # incremental reader those after the last one it processed.
@@ -170,15 +176,16 @@ def empty(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def ddl(layer: str, table: str, location: str | None = None) -> str:
+def ddl(layer: str, table: str, location: str | None = None, database: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` text for a contract (B5): the schema,
-    storage partition columns and, optionally, a location."""
+    storage partition columns and, optionally, a location.  The database is
+    the layer's, or ``database``."""
     schema, keys, parts = TABLES[(layer, table)]
     if (layer, table) in LOAD_SEQUENCED:
         parts = ["_load_seq", *parts]
     cols = [f"  {f.name} {f.dataType.simpleString().upper()}" for f in schema.fields]
     cols += [f"  {p} {PARTITION_TYPES[p].simpleString().upper()}" for p in parts]
-    text = f"CREATE TABLE IF NOT EXISTS {layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"
+    text = f"CREATE TABLE IF NOT EXISTS {database or layer}.{table} (\n" + ",\n".join(cols) + "\n) USING parquet"
     if parts:
         text += f"\nPARTITIONED BY ({', '.join(parts)})"
     if (layer, table) in BUCKETS:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow import contracts as C
+from tierflow.operators.snapshots import row_hash
+from tierflow.plans import silver
 from tierflow.sources.layers import LayerStore
 
 
@@ -102,3 +104,77 @@ def contract_report(store: LayerStore) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def reconcile(raw: DataFrame, stored: DataFrame, rejected: DataFrame | None, key: str, order: list[str],
+              columns: list[str]) -> DataFrame:
+    """Proof that every raw row is accounted for: ``(part, rows, checksum)``.
+
+    ``raw`` is every delivered row, cleaned as it would be stored; ``stored``
+    keeps the latest row per ``key`` by ``order`` (NULLs last), ``rejected`` all
+    rows without a key.  Rows are compared by a hash of ``columns``, whatever
+    their order.  Parts ``raw``, ``stored``, ``superseded`` and ``rejected``
+    carry rows and the sum of their hashes, and raw is the sum of the other
+    three if all of these faults count 0:
+
+    * ``lost``: keys delivered but not stored; ``doubled``: surplus stored rows
+      of a key; ``foreign``: stored rows that were never delivered (or were
+      altered); ``stale``: keys for which an earlier row is stored;
+    * ``unkeyed``: rows without a key that are rejected too few or too many
+      times.
+
+    Plan: equal rows of all three are counted together (partially map-side, so
+    a hot key or a third of all rows without one is counted where it lies),
+    then per key, then once.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key).alias("k"), F.struct(*order).alias("at"), row_hash(columns).alias("h"),
+                         *[F.lit(int(n == name)).cast("bigint").alias(n) for n in ("raw", "stored", "rejected")])
+
+    sides = side(raw, "raw").unionByName(side(stored, "stored"))
+    if rejected is not None:
+        sides = sides.unionByName(side(rejected, "rejected"))
+    rows = sides.groupBy("k", "at", "h").agg(*[F.sum(n).alias(n) for n in ("raw", "stored", "rejected")])
+
+    def total(n: str):
+        return F.sum(F.col(n).cast("decimal(15,0)") * F.col("h").cast("decimal(20,0)")).cast("decimal(38,0)")
+
+    per_key = rows.groupBy("k").agg(
+        *[F.sum(n).alias(n) for n in ("raw", "stored", "rejected")],
+        *[total(n).alias(f"{n}_sum") for n in ("raw", "stored", "rejected")],
+        F.max(F.when(F.col("raw") > 0, F.col("at"))).alias("newest"),
+        F.max(F.when(F.col("stored") > 0, F.col("at"))).alias("kept"),
+        F.sum(F.greatest(F.col("stored") - F.col("raw"), F.lit(0))).alias("foreign"),
+        F.sum(F.abs(F.col("raw") - F.col("rejected") - F.col("stored"))).alias("off"))
+    keyed = F.col("k").isNotNull()
+    zero = F.lit(0).cast("bigint")
+    faults = {
+        "lost": F.when(keyed & (F.col("raw") > 0) & (F.col("stored") == 0), 1),
+        "doubled": F.when(keyed, F.greatest(F.col("stored") - 1, zero)),
+        "foreign": F.when(keyed, F.col("foreign") + F.col("rejected")),
+        "stale": F.when(keyed & (F.col("stored") > 0) & ~F.col("newest").eqNullSafe(F.col("kept")), 1),
+        "unkeyed": F.when(~keyed, F.col("off") + F.col("stored")),
+    }
+    def whole(c, dtype: str):
+        return F.coalesce(F.sum(c), F.lit(0)).cast(dtype)
+
+    one = per_key.agg(*[whole(F.col(n), "bigint").alias(n) for n in ("raw", "stored", "rejected")],
+                      *[whole(F.col(f"{n}_sum"), "decimal(38,0)").alias(f"{n}_sum")
+                        for n in ("raw", "stored", "rejected")],
+                      whole(F.when(keyed, F.col("raw") - F.col("stored")), "bigint").alias("superseded"),
+                      whole(F.when(keyed, F.col("raw_sum") - F.col("stored_sum")), "decimal(38,0)").alias("superseded_sum"),
+                      *[whole(c, "bigint").alias(f"fault_{n}") for n, c in faults.items()])
+    parts = [F.struct(F.lit(n).alias("part"), F.col(n).alias("rows"), F.col(f"{n}_sum").alias("checksum"))
+             for n in ("raw", "stored", "superseded", "rejected")]
+    parts += [F.struct(F.lit(n).alias("part"), F.col(f"fault_{n}").alias("rows"),
+                       F.lit(None).cast("decimal(38,0)").alias("checksum")) for n in faults]
+    return one.select(F.inline(F.array(*parts)))
+
+
+def reconcile_clicks(store: LayerStore) -> DataFrame:
+    """``reconcile`` of bronze.click_events with the silver tables built from
+    it (the load stamp of silver is left out: it is not the delivery's)."""
+    columns = [c for c in C.SILVER_CLICKS.fieldNames() if c != "_processed_at"]
+    return reconcile(silver.clicks(store.read("bronze", "click_events"), dedup=False),
+                     store.read("silver", "click_events"), store.read("silver", "click_events_rejected"),
+                     "event_id", silver.DEDUP_ORDER_CLICKS, columns)

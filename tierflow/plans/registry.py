@@ -13,13 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow import contracts as C
+from tierflow.functions import variant
 from tierflow.functions.clean import collapse_slashes, norm_lower, with_json_fields
 from tierflow.operators.changes import apply_changes
 from tierflow.operators.items import lookup, low_stock, validity
+from tierflow.operators.snapshots import changed_keys
 from tierflow.operators.upsert import upsert
 from tierflow.plans import bronze, gold, quality, runner, silver
 from tierflow.session import ensure_checkpoint_dir, scratch_path
-from tierflow.sources import jsonl
+from tierflow.sources import jsonl, shapes
 from tierflow.sources import testdata as td
 from tierflow.sources.layers import LayerStore
 
@@ -76,6 +79,44 @@ def scan_open_clicks(spark, d):
     return bronze.clicks(jsonl.read_clicks(spark, path), RUN_TS).select("event_id", "user_id", "metadata_json")
 
 
+def _open_clicks(spark, d):
+    path = scratch_path(spark, "jsonl-open")
+    td.click_lines(spark, d).write.text(path)
+    return variant.with_variant(bronze.clicks(jsonl.read_clicks(spark, path), RUN_TS))
+
+
+def metadata_at(spark, d):
+    """Single paths of open metadata, typed; text where a number was asked for
+    gives NULL."""
+    return _open_clicks(spark, d).select(
+        "event_id", variant.at("metadata", "$.plan").alias("plan"),
+        variant.at("metadata", "$.k").alias("k"), variant.at("metadata", "$.k", "bigint").alias("k_number"),
+        variant.at("metadata", "$.tags[0]").alias("tag"), variant.at("metadata", "$.tags[1]", "bigint").alias("tag_user"),
+        variant.at("metadata", "$.none.at.all").alias("absent"), variant.at("metadata", "$._malformed").alias("malformed"))
+
+
+def metadata_report(spark, d):
+    """Every path that open metadata holds, with how often and of what type."""
+    return variant.path_report(_open_clicks(spark, d))
+
+
+def _orders_feed(spark, d):
+    path = scratch_path(spark, "orders-feed")
+    td.order_lines(spark, d).write.partitionBy("shape").text(path)
+    return shapes.read_lines(spark, f"{path}/shape=*", C.ORDERS_FEED)
+
+
+def orders_of_shapes(spark, d):
+    """One scan over files of four shapes; each step of the time fallback
+    decides some orders."""
+    return silver.orders(_orders_feed(spark, d), RUN_TS, dedup=True, tolerant=True)
+
+
+def orders_shape_conflicts(spark, d):
+    """The columns of each order of the feed that could not be given their type."""
+    return _orders_feed(spark, d).select("order_id", F.array_join(shapes.CONFLICTS, ",").alias("conflicts"))
+
+
 def bronze_append(spark, d):
     store = _store(spark, "append")
     for part in ("first", "second"):
@@ -199,6 +240,28 @@ def gold_daily_loads(spark, d):
     return store.read("gold", "orders_daily_revenue")
 
 
+def orders_changes(spark, d):
+    """What became of each order between two snapshots."""
+    return changed_keys(td.earlier_orders(spark, d), td.oltp_orders(spark, d), ["order_id"])
+
+
+def _refreshed(spark, d, name):
+    """Orders gold of an earlier snapshot, refreshed to the current one."""
+    store = _store(spark, name)
+    for snapshot in (td.earlier_orders(spark, d), td.oltp_orders(spark, d)):
+        store.overwrite(bronze.orders(snapshot, RUN_TS), "bronze", "orders")
+        runner.refresh_orders_gold(store)
+    return store
+
+
+def gold_orders_refresh(spark, d):
+    return _refreshed(spark, d, "refresh-facts").read("gold", "fact_orders")
+
+
+def gold_daily_refresh(spark, d):
+    return _refreshed(spark, d, "refresh-daily").read("gold", "orders_daily_revenue")
+
+
 def report_daily_revenue(spark, d):
     store = _store(spark, "report")
     store.overwrite(gold_orders_daily_revenue(spark, d), "gold", "orders_daily_revenue")
@@ -264,12 +327,31 @@ def contract_check(spark, d):
     return quality.contract_report(_full_run(spark, d, "contract"))
 
 
+def run_reconcile(spark, d):
+    """Whether every delivered click is stored, superseded or rejected."""
+    return quality.reconcile_clicks(_full_run(spark, d, "reconcile")).select("part", "rows")
+
+
+def catalog_tables(spark, d):
+    """Row counts of a run's tables, read by name through the session's catalog
+    after every DDL has run."""
+    store = _full_run(spark, d, "catalog")
+    prefix = f"lake_{store.root.rstrip('/').rsplit('-', 1)[-1]}_".lower()
+    counts = [f"""SELECT '{db[len(prefix):]}' AS layer, '{table}' AS `table`, count(*) AS rows FROM {db}.{table}"""
+              for db, table in (name.split(".") for name in store.register_tables(prefix))]
+    return spark.sql(" UNION ALL ".join(counts))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_clicks": bronze_clicks,
     "bronze_clicks_raw": bronze_clicks_raw,
     "bronze_orders": bronze_orders,
     "scan_jsonl_clicks": scan_jsonl_clicks,
     "scan_open_clicks": scan_open_clicks,
+    "metadata_at": metadata_at,
+    "metadata_report": metadata_report,
+    "orders_of_shapes": orders_of_shapes,
+    "orders_shape_conflicts": orders_shape_conflicts,
     "bronze_append": bronze_append,
     "clean_status": clean_status,
     "clean_paths": clean_paths,
@@ -287,6 +369,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_fact_clicks": gold_fact_clicks,
     "gold_orders_daily_revenue": gold_orders_daily_revenue,
     "gold_daily_loads": gold_daily_loads,
+    "orders_changes": orders_changes,
+    "gold_orders_refresh": gold_orders_refresh,
+    "gold_daily_refresh": gold_daily_refresh,
     "report_daily_revenue": report_daily_revenue,
     "items_snapshot": items_snapshot,
     "items_lookup": items_lookup,
@@ -296,4 +381,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_silver_clicks": stream_silver_clicks,
     "run_audit": run_audit,
     "contract_check": contract_check,
+    "run_reconcile": run_reconcile,
+    "catalog_tables": catalog_tables,
 }

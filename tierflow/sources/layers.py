@@ -220,6 +220,13 @@ class LayerStore:
         df = self._read_version(layer, table, v)
         return C.conform(df, schema) if (schema is not None and not raw) else df
 
+    def read_version(self, layer: str, table: str, version: int) -> DataFrame | None:
+        """An earlier version of a contract table that is still kept; None if
+        its folder is gone."""
+        if not self._exists(self._version_path(layer, table, version)):
+            return None
+        return C.conform(self._read_version(layer, table, version), C.schema_of(layer, table))
+
     def file_schema(self, layer: str, table: str):
         """The column types the current version's files really hold (read
         from the parquet footers, storage-only columns left out): what a
@@ -578,6 +585,37 @@ class LayerStore:
                 names.append(name)
         return names
 
+    def register_tables(self, prefix: str = "") -> list[str]:
+        """Register every stored contract table in the session's catalog by its
+        DDL: a database per layer (``<prefix><layer>``) and an external table on
+        the files of the current version, with the partitions found there.
+        Loads that were not committed are left out.  Registering again moves
+        the tables to their newest versions.  Returns the table names."""
+        names = []
+        for (layer, table) in C.TABLES:
+            if not self.exists(layer, table):
+                continue
+            database = f"{prefix}{layer}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_catalog/{database}'")
+            path = self._version_path(layer, table, self.current_version(layer, table))
+            name = f"{database}.{table}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")          # external: the files stay
+            self.spark.sql(C.ddl(layer, table, path, database))
+            if C.TABLES[(layer, table)][2] or (layer, table) in C.LOAD_SEQUENCED:
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            if (layer, table) in C.LOAD_SEQUENCED:
+                self._forget_uncommitted(name, self.last_load_seq(layer, table))
+            names.append(name)
+        return names
+
+    def _forget_uncommitted(self, name: str, last: int) -> None:
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {name}").where(
+                F.regexp_extract("partition", "_load_seq=([0-9]+)", 1).cast("bigint") > last).collect():
+            # a stopped load's folders only
+            parts = [p.split("=", 1) for p in spec.split("/")]
+            text = ", ".join(f"{k}=" + ("null" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, v in parts)
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({text})")
+
     def tables(self) -> DataFrame:
         """(layer, table, version, rows) of every committed table version
         (the row count of the last commit of that version)."""

@@ -161,6 +161,47 @@ def bronze_orders_input(spark: SparkSession, sf_dir: str, redeliveries: bool = F
     return base.unionByName(again)
 
 
+def earlier_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier snapshot of ``oltp_orders``; o_orderkey % 50 tells what
+    became of an order since: 1 new (not here yet), 2 another amount, 3 moved
+    by 40 days, 4 another one (negative id) is gone, else unchanged."""
+    now = oltp_orders(spark, sf_dir).where("order_id % 50 <> 1").withColumns({
+        "total_amount": F.expr("CAST(CASE WHEN order_id % 50 = 2 THEN total_amount + 1 ELSE total_amount END AS DECIMAL(12,2))"),
+        "created_at": F.expr("CASE WHEN order_id % 50 = 3 THEN created_at - INTERVAL 40 DAYS ELSE created_at END")})
+    gone = oltp_orders(spark, sf_dir).where("order_id % 50 = 4").withColumn("order_id", -F.col("order_id"))
+    return now.unionByName(gone)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of orders as JSON lines (``value``) of four shapes, o_orderkey % 4:
+
+    0 day as text in ``order_date`` (no day at all every 11th), a quoted id and
+    amount, and all later times, too; 1 ``order_ts`` with a zone, but an
+    ``order_date`` that is no date, and ``created_at``; 2 ``created_at`` and
+    ``updated_at``, and an amount that is no number every 7th; 3 ``updated_at``
+    alone, a currency, and an empty status every 13th."""
+    def lines(*fields: str) -> str:
+        return "to_json(named_struct(" + ", ".join(fields) + "))"
+
+    day, iso = "substring(CAST(o_orderdate AS STRING), 1, 10)", _iso("o_orderdate + INTERVAL 3 HOURS")
+    created, updated = _iso("o_orderdate + INTERVAL 1 DAY"), _iso("o_orderdate + INTERVAL 2 DAYS")
+    key, amount = "o_orderkey", "CAST(o_totalprice AS DECIMAL(12,2))"
+    return table(spark, sf_dir, "orders").selectExpr(f"""CASE o_orderkey % 4
+        WHEN 0 THEN {lines(f"'order_id', CAST({key} AS STRING)", "'customer_id', o_custkey", "'status', o_orderstatus",
+                           f"'amount', CAST({amount} AS STRING)", f"'order_date', CASE WHEN {key} % 11 <> 0 THEN {day} END",
+                           f"'order_ts', {iso}", f"'created_at', {created}", f"'updated_at', {updated}")}
+        WHEN 1 THEN {lines(f"'order_id', {key}", "'customer_id', o_custkey", "'status', o_orderstatus",
+                           f"'amount', {amount}", "'order_date', 'unknown'", f"'order_ts', {iso}",
+                           f"'created_at', {created}")}
+        WHEN 2 THEN {lines(f"'order_id', {key}", "'status', '  ' || o_orderstatus || ' '",
+                           f"'amount', CASE WHEN {key} % 7 = 0 THEN 'n/a' ELSE CAST({amount} AS STRING) END",
+                           f"'created_at', {created}", f"'updated_at', {updated}")}
+        ELSE {lines(f"'order_id', {key}", "'customer_id', CAST(o_custkey AS STRING) || '.0'",
+                    f"'status', CASE WHEN {key} % 13 = 0 THEN '' ELSE o_orderstatus END",
+                    f"'amount', {amount}", "'currency', 'EUR'", f"'updated_at', {updated}")} END AS value""",
+        "o_orderkey % 4 AS shape")
+
+
 def legacy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older orders feed with another shape: customer_id/amount named as
     in silver, the day as ``yyyy-MM-dd`` text in ``order_date``, and no

@@ -374,3 +374,56 @@ SQL["gold_daily_loads"] = _with(BRONZE_ORDERS, """delivered AS (
 
 # the stored form of the same upsert
 SQL["upsert_orders_buckets"] = SQL["upsert_orders"]
+
+# open metadata
+SQL["metadata_at"] = _with(_EV) + """SELECT
+  CASE WHEN n % 50 = 7 THEN NULL ELSE 'e' || CAST(n AS VARCHAR) END AS event_id,
+  CASE WHEN n % 50 = 7 THEN NULL ELSE 'p' || CAST(k % 3 AS VARCHAR) END AS plan,
+  CASE WHEN n % 50 = 7 THEN NULL ELSE CAST(k AS VARCHAR) || 'x' END AS k,
+  CAST(NULL AS BIGINT) AS k_number,
+  CASE WHEN n % 50 = 7 THEN NULL ELSE 'a' END AS tag,
+  CASE WHEN n % 50 = 7 THEN NULL ELSE uid END AS tag_user,
+  CAST(NULL AS VARCHAR) AS absent,
+  CASE WHEN n % 50 = 7 THEN 'no json ' || CAST(n AS VARCHAR) END AS malformed
+FROM ev"""
+SQL["metadata_report"] = _with(_EV) + """SELECT path, rows, type FROM (
+  SELECT p.path, CAST(count(*) * p.times AS BIGINT) AS rows, p.type
+  FROM ev JOIN (VALUES ('$.plan', FALSE, 1, 'STRING'), ('$.k', FALSE, 1, 'STRING'), ('$.tags', FALSE, 1, 'ARRAY<VARIANT>'),
+                       ('$.tags[*]', FALSE, 2, 'VARIANT'), ('$._malformed', TRUE, 1, 'STRING')) p(path, bad, times, type)
+    ON (n % 50 = 7) = p.bad
+  GROUP BY p.path, p.times, p.type)"""
+
+# the feed of four shapes: which time decides depends on the shape
+SQL["orders_of_shapes"] = f"""SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 4 <> 2 THEN o_custkey END AS customer_id,
+  CASE WHEN o_orderkey % 4 = 3 AND o_orderkey % 13 = 0 THEN '' ELSE lower(trim(o_orderstatus)) END AS status,
+  CASE WHEN o_orderkey % 4 = 2 AND o_orderkey % 7 = 0 THEN NULL
+       ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(18,2)) END AS amount,
+  CASE WHEN o_orderkey % 4 = 3 THEN 'EUR' END AS currency,
+  CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 11 <> 0 THEN date_trunc('day', o_orderdate)
+       WHEN o_orderkey % 4 <= 1 THEN o_orderdate + INTERVAL 3 HOUR
+       WHEN o_orderkey % 4 = 2 THEN o_orderdate + INTERVAL 1 DAY
+       ELSE o_orderdate + INTERVAL 2 DAY END AS order_ts_utc,
+  CAST(NULL AS TIMESTAMP) AS _ingested_at, {RUN_TS} AS _processed_at
+FROM orders"""
+SQL["orders_shape_conflicts"] = """SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 4 = 1 THEN 'order_date'
+       WHEN o_orderkey % 4 = 2 AND o_orderkey % 7 = 0 THEN 'amount' ELSE '' END AS conflicts
+FROM orders"""
+
+# snapshots: an order counts as changed only if a value of it did
+SQL["orders_changes"] = _with(BRONZE_ORDERS) + """SELECT order_id, CASE order_id % 50 WHEN 1 THEN 'insert' ELSE 'update' END AS op
+FROM bronze_orders
+WHERE order_id % 50 = 1 OR order_id % 50 = 2 AND total_amount IS NOT NULL
+   OR order_id % 50 = 3 AND created_at IS NOT NULL
+UNION ALL SELECT -order_id, 'delete' FROM bronze_orders WHERE order_id % 50 = 4"""
+SQL["gold_orders_refresh"] = SQL["gold_fact_orders"]
+SQL["gold_daily_refresh"] = SQL["gold_orders_daily_revenue"]
+
+# every delivery is stored, superseded by a later one of its key, or rejected
+SQL["run_reconcile"] = _with(_RUN) + """SELECT 'raw' AS part, CAST(count(*) AS BIGINT) AS rows FROM raw_clicks
+UNION ALL SELECT 'stored', count(DISTINCT event_id) FROM raw_clicks
+UNION ALL SELECT 'superseded', count(event_id) - count(DISTINCT event_id) FROM raw_clicks
+UNION ALL SELECT 'rejected', count(*) FROM raw_clicks WHERE event_id IS NULL
+UNION ALL SELECT fault, 0 FROM (VALUES ('lost'), ('doubled'), ('foreign'), ('stale'), ('unkeyed')) f(fault)"""
+SQL["catalog_tables"] = f"SELECT layer, \"table\", value AS rows FROM ({SQL['run_audit']})"
