@@ -5,7 +5,7 @@ import pytest
 from tests.llm.helpers import EXTRA, cut_words, docs_frame
 from tests.oracle_harness import compare
 from tierflow.llm import oracle, queries
-from tierflow.llm.substring_dedup import dedup_substrings
+from tierflow.llm.substring_dedup import WINDOW, dedup_substrings, factors
 
 
 def rows(df):
@@ -62,3 +62,34 @@ def test_very_long_text_and_long_word(spark):
     mid = " ".join(long.split(" ")[1000:2000])
     got = rows(dedup_substrings(docs_frame(spark, [long, mid], extra=False)))
     assert got[0][:2] == (400_001, 0) and got[1] == (1000, 1000, "")
+
+
+def test_factors_refer_to_earlier_words_and_cover_all_copies(spark):
+    rng = random.Random(11)
+    fresh = iter(range(10 ** 6))
+    def new(n):
+        return [f"n{next(fresh)}" for _ in range(n)]
+    long, other = new(400), new(60)
+    texts = [new(30) + long + new(10), new(25) + long[100:300] + new(40) + other, long[350:] + new(5) + long[:120],
+             other + long[90:110] + other, new(8) + other[:19] + new(8)]
+    texts += [[f"c{i % 7}" for i in range(100)]]
+    joined = [" ".join(t) for t in texts]
+    docs = docs_frame(spark, joined + [joined[1]], list(range(len(texts))) + [1])       # a repeated row
+    hashes = {r["h"]: r["doc_id"] for r in docs.selectExpr("doc_id", "xxhash64(text) AS h").collect()}
+    found = factors(docs).collect()
+    covered = [set() for _ in texts]
+    for f in found:
+        d, r = hashes[f["text_hash"]], hashes[f["ref"]]
+        assert d == f["doc_id"] and f["n_words"] >= WINDOW and (r, f["ref_start"]) < (d, f["start"])
+        n = f["n_words"]
+        assert texts[d][f["start"]:f["start"] + n] == texts[r][f["ref_start"]:f["ref_start"] + n]
+        covered[d] |= set(range(f["start"], f["start"] + n))
+    want = cut_words(list(enumerate(joined)))
+    assert {i: len(c) for i, c in enumerate(covered)} == {i: want[i][1] for i in want}
+    # a passage of one place is one factor, however many blocks it spans
+    assert [(f["start"], f["n_words"], f["ref_start"]) for f in found if f["doc_id"] == 1] == [(25, 200, 130)]
+    assert sorted((f["start"], f["n_words"], hashes[f["ref"]]) for f in found if f["doc_id"] == 2) == [(0, 50, 0), (55, 120, 0)]
+    assert {f["doc_id"] for f in found} == {1, 2, 3, 5}
+    got = rows(dedup_substrings(docs))
+    assert got == want
+    assert factors(docs.limit(0)).count() == 0

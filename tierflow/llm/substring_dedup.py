@@ -1,12 +1,10 @@
-"""Substring dedup by anchored blocks and window hashes.
+"""Substring dedup by relative Lempel-Ziv parsing.
 
-Every document is compared to all earlier text (documents of smaller
-``doc_id``, and its own earlier words).  Stretches of ``window`` words or more
-that also start earlier are duplicate spans, and their words are removed.  The
-result is exact up to hashes: a word goes if and only if a window of ``window``
-consecutive words covers it whose words also start earlier.  These are the
-words of the long factors of a relative Lempel-Ziv parsing, but no factor is
-extended against a reference: equal blocks and windows are grouped by hash.
+Every document is parsed against all earlier text (documents of smaller
+``doc_id``, and its own earlier words).  Factors of ``window`` words or more
+are duplicate spans, and their words are removed.  The result is exact up to
+hashes: a word goes if and only if a window of ``window`` consecutive words
+covers it whose words also start earlier.
 
 The reference is indexed in blocks.  Of each window, the ``anchor``-word gram
 of smallest hash is its anchor, so equal windows have equal anchors wherever
@@ -16,14 +14,22 @@ windows with the same anchor (about eight).  The jobs are
 1. hash the texts, and list each document's anchors;
 2. keep the anchors that occur at two places (all others start no copy);
 3. give each document its kept anchors, and cut its text into blocks;
-4. a block whose words equal those of an earlier block is wholly a copy;
-5. at the ends of copies, where blocks share an anchor but not all words,
-   compare window by window;
-6. join the spans to the texts and cut them out.
-
-No job compares documents in pairs: 4 and 5 keep the first place of each
-block or window by aggregation, so a passage in a third of all documents is
-counted map-side.  Copies of a whole text are parsed once.
+4. index the blocks: each distinct one refers to its first place, and every
+   other place of it is a piece of a factor that refers there;
+5. at the ends of factors, where blocks share an anchor but not all words, the
+   windows are checked one by one and give pieces of one window;
+6. parse each document greedily from its start: a factor takes in piece after
+   piece, blocks and windows alike, while they follow each other both in the
+   document and in the reference;
+7. join the factors to the texts and cut them out.
+
+A piece refers to the first place of its words, so where that place moves to
+another text a new factor starts, even if the old reference would run on; this
+splits factors, but covers the same words.  No job compares documents in
+pairs: 4 and 5 keep the first place of each block or window by aggregation, so
+a passage in a third of all documents is counted map-side, and 6 sorts the
+pieces of one document.  Copies of a whole text are parsed once: each later one
+is a single factor.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,31 +165,34 @@ def _cut_spans(text_at: int):
     return run
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``docs`` with ``text`` replaced by its kept words, joined by one space,
-    and two more columns: ``n_words`` (of the input text) and ``n_removed``.
-    They replace columns of those names.
-
-    Words are matches of ``[^\\x20\\x09-\\x0D]+``, unchanged.  A window is
-    ``window`` consecutive words of one document; a word goes if a window
-    covers it whose words also start earlier: in a document of smaller
-    ``doc_id``, or in the same document before it.  Windows are judged on the
-    input.  Every other column, whatever its name, is passed on.
-
-    Null and empty texts have no words and give an empty text.  A null
-    ``doc_id`` comes after all others.  Documents that share a ``doc_id`` but
-    not the text are ordered by the text's hash; rows that repeat a
-    ``doc_id`` and its text are one document, and each gets its result.  An
-    empty table gives an empty table.
-    """
-    if not 1 <= anchor < window:
-        raise ValueError("anchor must be shorter than the window")
-    docs = docs.drop("n_words", "n_removed")
+def _slim(docs: DataFrame):
+    """(order, text hashes and text of each row, the expressions of the keys)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = {"ord": F.coalesce(F.col("doc_id"), F.lit(_LAST)).cast("long"),
              "d1": F.xxhash64(text), "d2": F.xxhash64(F.lit(1), text)}
-    slim = docs.select(text.alias("text"), *(c.alias(n) for n, c in keyed.items()))
-
+    return docs.select(text.alias("text"), *(c.alias(n) for n, c in keyed.items())), keyed
+
+
+def _greedy(pieces: DataFrame, window: int) -> DataFrame:
+    """Factors of each document: from left to right, a factor takes in the
+    next piece if it starts where the factor ends, here and in the reference.
+    Rows that repeat a document repeat its pieces: one of each counts."""
+    w = Window.partitionBy("ord", "d1").orderBy("start")
+    pieces = (pieces.withColumn("_before", F.lag("start").over(w))
+              .where(~F.col("_before").eqNullSafe(F.col("start"))).drop("_before"))
+    runs_on = (F.lag(F.col("start") + F.col("size")).over(w).eqNullSafe(F.col("start"))
+               & F.lag("r_d1").over(w).eqNullSafe(F.col("r_d1"))
+               & F.lag(F.col("r_start") + F.col("size")).over(w).eqNullSafe(F.col("r_start")))
+    begin = F.last(F.when(~F.col("_on"), F.col("start")), ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (pieces.withColumn("_on", runs_on).withColumn("_begin", begin)
+            .groupBy("ord", "d1", F.col("_begin").alias("start"))
+            .agg((F.sum("size") + F.lit(window - 1)).cast("int").alias("n_words"),
+                 F.first("r_d1").alias("ref"), F.min("r_start").alias("ref_start")))
+
+
+def _parse(slim: DataFrame, window: int, anchor: int):
+    """(factors of one document of each text, anchors of all, first of each text)."""
     anchors = staged(slim.mapInArrow(_anchor_lists(window, anchor), _ANCHORS), "substring-anchors")
     found = (anchors.select("d1", F.explode("anchors").alias("g"))
              .groupBy("g").agg(F.min("d1").alias("a"), F.max("d1").alias("b"))
@@ -207,12 +216,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
                      "substring-classes")
     mixed = classes.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
 
-    def span(start, n):
-        return F.shiftleft(start.cast("long"), 32).bitwiseOR((start + n + (window - 1)).cast("long"))
-
     copied = staged(blocks.drop("windows").join(classes.where("n > 1"), ["g", "same", "size"])
                     .where(place != F.col("first"))
-                    .select("ord", "d1", span(F.col("start"), F.col("size")).alias("span")),
+                    .select("ord", "d1", "start", "size", F.col("first.d1").alias("r_d1"),
+                            F.col("first.start").alias("r_start")),
                     "substring-copied")
     # boundaries: only the first block of each class can hold a first window
     heads = (classes.join(mixed, "g", "left_semi").select("first.*", "g", "size")
@@ -223,9 +230,48 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     firsts = (single.groupBy("g", "w").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("g", "w", "first"))
     edges = (single.join(firsts, ["g", "w"]).where(place != F.col("first"))
-             .select("ord", "d1", span(F.col("start"), F.lit(1)).alias("span")))
+             .select("ord", "d1", "start", F.lit(1).alias("size"), F.col("first.d1").alias("r_d1"),
+                     F.col("first.start").alias("r_start")))
+    return _greedy(copied.union(edges), window), anchors, first
+
+
 
-    spans = copied.union(edges).groupBy("ord", "d1").agg(F.collect_set("span").alias("_spans"))
+def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """The factors of ``window`` words or more of every distinct text, parsed
+    in the first document that has it: ``doc_id`` (2**63 - 1 where it is null),
+    ``text_hash``, ``start`` and ``n_words`` (in words), and where the same
+    words stand earlier: ``ref`` (hash of that text; the own one for a repeat
+    within a text) and ``ref_start``.  Factors of a document may overlap by up
+    to ``window`` - 1 words.  Empty and null texts and empty tables have none.
+    """
+    return _parse(_slim(docs)[0], window, anchor)[0].withColumnsRenamed({"ord": "doc_id", "d1": "text_hash"})
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """``docs`` with ``text`` replaced by its kept words, joined by one space,
+    and two more columns: ``n_words`` (of the input text) and ``n_removed``.
+    They replace columns of those names.
+
+    Words are matches of ``[^\\x20\\x09-\\x0D]+``, unchanged.  A window is
+    ``window`` consecutive words of one document; a word goes if a window
+    covers it whose words also start earlier: in a document of smaller
+    ``doc_id``, or in the same document before it.  Windows are judged on the
+    input.  Every other column, whatever its name, is passed on.
+
+    Null and empty texts have no words and give an empty text.  A null
+    ``doc_id`` comes after all others.  Documents that share a ``doc_id`` but
+    not the text are ordered by the text's hash; rows that repeat a
+    ``doc_id`` and its text are one document, and each gets its result.  An
+    empty table gives an empty table.
+    """
+    if not 1 <= anchor < window:
+        raise ValueError("anchor must be shorter than the window")
+    docs = docs.drop("n_words", "n_removed")
+    slim, keyed = _slim(docs)
+    found, anchors, first = _parse(slim, window, anchor)
+    begin = F.shiftleft(F.col("start").cast("long"), 32)
+    spans = (found.withColumn("span", begin.bitwiseOR((F.col("start") + F.col("n_words")).cast("long")))
+             .groupBy("ord", "d1").agg(F.collect_list("span").alias("_spans")))
     # every later copy of a text is a copy as a whole
     later = (anchors.join(first.withColumnRenamed("ord", "_first"), ["d1", "d2"])
              .where(F.col("ord") > F.col("_first")).where(F.col("n_words") >= window)
