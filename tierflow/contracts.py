@@ -76,7 +76,7 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
     ("bronze", "orders"): (BRONZE_ORDERS, ["order_id"], []),
     ("bronze", "click_events"): (BRONZE_CLICKS, [], ["_ingest_date"]),
     ("silver", "orders"): (SILVER_ORDERS, ["order_id"], []),
-    ("silver", "click_events"): (SILVER_CLICKS, ["event_id"], ["_event_date"]),
+    ("silver", "click_events"): (SILVER_CLICKS, ["event_id"], ["_event_date", "_undated"]),
     ("silver", "click_events_rejected"): (SILVER_CLICKS, [], []),
     ("gold", "dim_user"): (DIM_USER, ["user_id"], []),
     ("gold", "fact_orders"): (FACT_ORDERS, ["order_id"], ["order_month"]),
@@ -91,9 +91,16 @@ TABLES: dict[tuple[str, str], tuple[T.StructType, list[str], list[str]]] = {
 # partitioned by month and sorted by day inside it: a day filter prunes
 # folders by month and row groups by the day key's min/max statistics,
 # without one folder (and at least one file) per day.
+#
+# Events without a time have no day to lie in: they are kept by ingest day
+# and a hash part of the key, so that a load rewrites those of its own day
+# and never the undated rows of all time.  ``_undated`` is '-' for the others.
+UNDATED_PARTS = 16
 PARTITION_EXPRS: dict[str, str] = {
     "_ingest_date": "to_date(_ingested_at)",
     "_event_date": "to_date(ts_utc)",
+    "_undated": "IF(ts_utc IS NOT NULL, '-', concat(coalesce(date_format(_ingested_at, 'yyyy-MM-dd'), 'none'), '.', "
+                f"lpad(cast(pmod(xxhash64(event_id), {UNDATED_PARTS}) AS string), 2, '0')))",
     "state_month": "year(order_date) * 100 + month(order_date)",
     "order_month": "CAST(order_date_key DIV 100 AS INT)",
     "event_month": "CAST(event_date_key DIV 100 AS INT)",
@@ -121,7 +128,7 @@ BUCKETS: dict[tuple[str, str], int] = {("silver", "orders"): 32}
 PARTITION_TYPES: dict[str, T.DataType] = {
     "_load_seq": T.LongType(), "_ingest_date": T.DateType(), "_event_date": T.DateType(),
     "order_month": T.IntegerType(), "event_month": T.IntegerType(),
-    "state_month": T.IntegerType(),
+    "state_month": T.IntegerType(), "_undated": T.StringType(),
 }
 # Sort order inside the files of each stored table (for row-group pruning).
 SORT_WITHIN: dict[tuple[str, str], list[str]] = {

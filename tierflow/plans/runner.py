@@ -26,7 +26,7 @@ def run(store: LayerStore, raw_clicks: DataFrame | None, oltp_orders: DataFrame
     * silver.click_events: cleaned + de-duplicated stage, merged on
       event_id so that the latest delivery wins (by ts, then _ingested_at)
       against what silver already holds; only the event days it touches are
-      rewritten.  incremental=True (default) stages only the bronze loads
+      rewritten (of undated events, the parts of its ingest days).  incremental=True (default) stages only the bronze loads
       not merged yet; because the merge keeps the latest delivery, the
       result equals re-staging all of bronze (incremental=False, the
       original job's way).  Rows whose event_id is NULL cannot be keyed;

@@ -486,7 +486,11 @@ class LayerStore:
     @staticmethod
     def _any_match(values: list[dict], part_cols: list[str]):
         """Rows of any of the partitions: one flat list, as there may be
-        thousands."""
+        thousands.  Several columns are compared as one text, which prunes
+        folders, too, as it is made of partition columns alone."""
+        if len(part_cols) > 1:
+            named = F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("?")) for p in part_cols])
+            return named.isin(["/".join("?" if v[p] is None else str(v[p]) for p in part_cols) for v in values])
         (p,) = part_cols
         named = [v[p] for v in values if v[p] is not None]
         cond = F.col(p).isin(named) if named else F.lit(False)
