@@ -55,3 +55,24 @@ def test_edge_rows(spark):
     assert got[0] == [(50, 16384), (5, 64), (5, 64), (6, 0)]
     assert got[50] == [(0, 16384), (6, 0), (5, -256), (5, -256)]
     assert top_k(q.limit(0), q, 5).collect() == [] and top_k(q, q.limit(0), 5).collect() == []
+
+
+@pytest.mark.parametrize("size", [40_000_000, 1 << 45, (1 << 63) - 1])
+def test_large_components_rank_by_exact_scores(spark, size):
+    rng = np.random.default_rng(7)
+    rows = [(i, [int(v) for v in rng.integers(-9, 10, 8)]) for i in range(150)]
+    for i in range(0, 150, 3):  # large and nearly equal: ranks hang on the last bits
+        rows[i] = (i, [size - int(abs(v)) if d % 2 else -size + int(abs(v)) for d, v in enumerate(rows[i][1])])
+    df = spark.createDataFrame(rows, "vec_id long, x array<long>")
+    queries = [r for r in rows if r[0] % 50 == 0]
+    got = found(top_k(df.where("vec_id % 50 = 0"), df, 5, 40, 2))
+    limit = (1 << 63) - 1
+    want = {q: [(i, max(min(s, limit), -limit - 1)) for i, s in best] for q, best in brute(queries, rows, 5).items()}
+    assert got == want
+
+
+def test_components_beyond_64_bits_become_the_nearest(spark):
+    df = spark.createDataFrame([(0, [1e300, -1e300]), (1, [2.0**40, 1.0])], "vec_id long, embedding array<double>")
+    limit = (1 << 63) - 1
+    assert sorted((r["vec_id"], list(r["x"])) for r in quantized(df).collect()) == [
+        (0, [limit, -limit]), (1, [1 << 48, 256])]

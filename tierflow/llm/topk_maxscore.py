@@ -26,12 +26,15 @@ from pyspark.sql import functions as F
 #: Vectors in a shard, and queries in a block.
 SHARD = 16_384
 BLOCK = 4_096
-#: Largest component for which scores of 8192 dimensions stay within 64 bits.
-MAX_COMPONENT = 1 << 25
+LONG_MAX = (1 << 63) - 1
+#: Scores travel as three digits that sort like the exact integer: what is
+#: above 80 bits, and twice 40 bits.
+DIGITS = ("s80", "s40", "s0")
 
 
 class Shard:
-    """Vectors (n x dims, int64) with ids, and their posting lists."""
+    """Vectors (n x dims) with ids, and their posting lists.  Rows and queries
+    are int64 or, where sums could leave 64 bits, objects (Python's integers)."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
@@ -65,9 +68,9 @@ class Shard:
         if floor is None or floor <= 0:
             # vectors in no list score 0 or less: all take part
             return self._best(np.arange(len(self.ids)), mine, query, k)
-        total = np.cumsum([t[0] for t in terms])
+        total = np.cumsum(np.array([t[0] for t in terms], self.rows.dtype))
         first = int(np.searchsorted(total, floor))  # terms before it are non-essential
-        found = np.zeros(len(self.ids), np.int64)
+        found = np.zeros(len(self.ids), self.rows.dtype)
         for _, w, t in terms[first:]:
             where, impact = self.lists[t]
             found[where] += w * impact
@@ -87,7 +90,7 @@ class Shard:
     def _best(self, at: np.ndarray, mine: slice, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         at = at[(at < mine.start) | (at >= mine.stop)]
         scores = self.rows[at] @ query
-        order = np.lexsort((at, -scores))[:k]  # ids are in order of position
+        order = np.argsort(-scores, kind="stable")[:k]  # positions ascend, and ids with them
         return scores[order], self.ids[at[order]]
 
 
@@ -103,36 +106,48 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return out
 
 
+def _largest(x: np.ndarray) -> int:
+    return int(np.abs(x).max(initial=0))
+
+
+def _digits(scores: np.ndarray) -> list[np.ndarray]:
+    low = (1 << 40) - 1
+    top = scores >> (63 if scores.dtype == np.int64 else 80)
+    return [x.astype(np.int64) for x in (top, (scores >> 40) & low, scores & low)]
+
+
 def _searcher(k: int):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [], [])
         if queries.num_rows and rows.num_rows:
             dims = max(1, *(int(np.diff(c.combine_chunks().offsets.to_numpy()).max())
                             for c in (queries["x"], rows["x"])))
-            shard = Shard(rows["vec_id"].to_numpy(), _matrix(rows["x"], dims))
-            for own, q in zip(queries["query_id"].to_pylist(), _matrix(queries["x"], dims)):
+            x, qs = _matrix(rows["x"], dims), _matrix(queries["x"], dims)
+            # bounds add up twice a score at most
+            wide = 2 * dims * _largest(x) * _largest(qs) > LONG_MAX
+            kind = object if wide else np.int64
+            shard = Shard(rows["vec_id"].to_numpy(), x.astype(kind))
+            for own, q in zip(queries["query_id"].to_pylist(), qs.astype(kind)):
                 scores, ids = shard.search(own, q, k)
-                out[0].append(np.full(len(ids), own))
-                out[1].append(ids)
-                out[2].append(scores)
+                near = np.clip(scores, -LONG_MAX - 1, LONG_MAX) if wide else scores
+                for column, part in zip(out, (np.full(len(ids), own), ids, near, *_digits(scores))):
+                    column.append(part)
         flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
-        return pa.table({n: pa.array(x.astype(np.int64)) for n, x in zip(("query_id", "vec_id", "score"), flat)})
+        return pa.table({n: pa.array(x.astype(np.int64)) for n, x in zip(("query_id", "vec_id", "score", *DIGITS), flat)})
     return run
 
 
 def quantized(table: DataFrame, scale: float = 256.0) -> DataFrame:
     """(vec_id, x): components as floor(scale * component), component as
     double.  Vectors that are null or hold null or non-finite components are
-    left out, and so are rows without vec_id.  A component beyond
-    ``MAX_COMPONENT`` raises an error: scores could leave 64 bits."""
+    left out, and so are rows without vec_id.  A component beyond 64 bits
+    becomes the nearest of them."""
     x = F.transform("embedding", lambda c: F.floor(c.cast("double") * scale))
     ok = ~F.coalesce(F.exists("embedding", lambda c: c.isNull() | F.isnan(c.cast("double"))
                               | (F.abs(c.cast("double")) == float("inf"))), F.lit(True))
-    small = F.forall("x", lambda c: F.abs(c) <= MAX_COMPONENT)
+    least = F.transform("x", lambda c: F.greatest(c, F.lit(-LONG_MAX)))
     return (table.where(ok & F.col("vec_id").isNotNull())
-            .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
-            .withColumn("x", F.when(small, F.col("x")).otherwise(
-                F.raise_error(F.lit("a component is too large for exact integer scores")).cast("array<bigint>"))))
+            .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).withColumn("x", least))
 
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
@@ -143,7 +158,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int, shard: int = SHARD, block
     filled with zeros.  Candidates are all rows but those with the query's own
     vec_id.  Rows that repeat another are candidates of their own, and equal
     queries count once.  Empty tables give an empty result.  Other columns are
-    ignored.
+    ignored.  Ranks follow the exact scores, however large the components; a
+    score that a long can't hold is given as the nearest that it can.
     """
     n, m = rows.count(), queries.count()
     if not n or not m:
@@ -159,8 +175,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int, shard: int = SHARD, block
                                                          .cast("int").alias("block"))
          .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     local = (q.groupBy("shard", "block").cogroup(r.groupBy("shard", "block"))
-             .applyInArrow(_searcher(k), "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInArrow(_searcher(k), ", ".join(f"{c} long" for c in ("query_id", "vec_id", "score", *DIGITS))))
+    best = Window.partitionBy("query_id").orderBy(*[F.desc(d) for d in DIGITS], "vec_id")
     return (local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
