@@ -78,3 +78,16 @@ def test_empty_table(spark):
     path = scratch_path(spark, "t-warc-empty")
     write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert read_archive(spark, path).collect() == []
+
+
+def test_files_are_bounded_by_bytes(spark):
+    sizes = [0, 10, 400, 500, 501, 900, 2000, 2001, 9000, 30_000] * 12
+    rows = [(i, "http://a/", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "t-warc-bytes")
+    write_archive(pages, path, records_per_file=64, file_bytes=32_000)
+    got = read_archive(spark, path)
+    assert got.where("gap").isEmpty()
+    assert sorted(bytes(r["payload"]).decode() for r in got.collect()) == sorted(h for _, _, h in rows)
+    for f in got.groupBy("file").agg({"declared_length": "sum", "*": "count"}).collect():
+        assert f["count(1)"] == 1 or f["sum(declared_length)"] <= 32_000 and f["count(1)"] <= 64

@@ -27,8 +27,10 @@ from tierflow.llm.stages import staged
 
 #: Payloads under this size are never deduplicated.
 MIN_REVISIT = 1000
-#: Records in a file: bounds what a reading task holds.
+#: Records and bytes of payloads and urls in a file: they bound what a reading
+#: task holds.  A page of more bytes has a file of its own.
 RECORDS_PER_FILE = 2000
+FILE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 
 _EOL = "\r\n"
@@ -42,7 +44,7 @@ def _safe(value: Column) -> Column:
 
 
 def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
-                  records_per_file: int = RECORDS_PER_FILE, date: str = DATE) -> None:
+                  records_per_file: int = RECORDS_PER_FILE, date: str = DATE, file_bytes: int = FILE_BYTES) -> None:
     """Write (page_id, url, html) as WARC files in the folder ``path``.
 
     The payload is the html in UTF-8 (null: empty).  Of pages with equal
@@ -52,6 +54,10 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
     Null page_ids are smaller than others; a group without any other has
     responses only.  A null url gives no target URI.  An empty table gives a
     folder without records.  Other columns are ignored.
+
+    Spark's writer rolls files by records, so pages are written by three
+    classes of size, each with as many records a file as fit ``file_bytes`` at
+    the largest size of the class; a class without pages is not written.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     page = F.col("page_id").cast("long")
@@ -88,9 +94,15 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
         field("Content-Type", F.lit("application/http; msgtype=response")),
         field("Content-Length", F.octet_length(F.col("block")).cast("string")),
         F.lit(_EOL), F.col("block"))
-    # Spark's text writer commits whole files only, so a lost task leaves none
-    (rows.withColumn("block", block).select(record.alias("value")).write
-     .option("lineSep", _EOL * 2).option("maxRecordsPerFile", records_per_file).text(path))
+    records = [records_per_file, max(1, records_per_file // 32), 1]
+    size = F.col("length") + F.coalesce(F.octet_length("url"), F.lit(0))
+    of_size = F.when(size <= file_bytes // records[0], 0).when(size <= file_bytes // records[1], 1).otherwise(2)
+    present = [r[0] for r in sized.select(of_size).distinct().collect()]  # three values at most
+    for nth, c in enumerate(sorted(present) or [0]):
+        # Spark's text writer commits whole files only, so a lost task leaves none
+        (rows.where(of_size == c).withColumn("block", block).select(record.alias("value")).write
+         .mode("append" if nth else "error")
+         .option("lineSep", _EOL * 2).option("maxRecordsPerFile", records[c]).text(path))
 
 
 def _digest_ok(stated: bytes, data: bytes) -> bool:
