@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from tierflow.llm.html_suffix import ARTICLE, extract_main_text, keep_unique, parse, repeated_tokens
+from tierflow.llm.html_suffix import (
+    ARTICLE, _packed, _unpacked, extract_main_text, keep_unique, parse, repeated_tokens, run_pages)
 from tierflow.llm.queries import QUERIES
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
@@ -140,3 +141,63 @@ def test_pages_that_markup_settles_stay_where_they_are(spark):
     want = {r["page_id"]: "\n".join(t for role, t in parse(r["html"] or "") if role == ARTICLE) for r in pages.collect()}
     assert {r["page_id"]: r["text"] for r in got.collect()} == want
     assert got.where("n_repeated is not null").isEmpty()
+
+
+def test_runs_of_every_page_are_counted():
+    rng = np.random.default_rng(5)
+    for depth in (1, 2, 8):
+        for n in (0, 1, 7, 90):
+            tokens, page = rng.integers(0, 3, n), np.sort(rng.integers(0, 5, n))
+            spots = [i for i in range(n - depth + 1) if page[i] == page[i + depth - 1]]
+            where = {}
+            for i in spots:
+                where.setdefault(tuple(tokens[i:i + depth]), set()).add(page[i])
+            start, count = run_pages(tokens, page, depth)
+            assert start.tolist() == spots
+            assert count.tolist() == [len(where[tuple(tokens[i:i + depth])]) for i in spots]
+
+
+def test_packed_numbers_come_back():
+    for x in (np.empty(0, np.uint64), np.array([0, 1, 2 ** 64 - 1], np.uint64), np.arange(5)):
+        assert _unpacked(_packed(x), len(x)).tolist() == x.tolist()
+
+
+def _site(n, noted=lambda i: True, copies=0):
+    """Pages of one host with articles of their own and, in some, one notice;
+    after them copies of the first."""
+    notice = "<p>please share this article with all of your friends and subscribe now</p>"
+    pages = [f"<nav>Home</nav><article><p>{' '.join(f'w{i}x{k}' for k in range(40))}</p>"
+             f"{notice if noted(i) else ''}</article><footer>(c)</footer>" for i in range(n)]
+    pages += pages[:1] * copies
+    return [(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)]
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 900])
+def test_suffix_array_judges_pages_that_markup_could_settle(spark, shard_bytes):
+    def texts(rows):
+        table = spark.createDataFrame(rows, "page_id long, url string, html string")
+        return {r["page_id"]: r for r in extract_main_text(table, shard_bytes=shard_bytes).collect()}
+
+    # a notice in the articles of most pages goes, wherever the shards' edges are
+    got = texts(_site(20, lambda i: i % 3, copies=2))
+    assert all("subscribe" not in got[i]["text"] and f"w{i}x39" in got[i]["text"] for i in range(1, 20))
+    assert all((got[i]["n_wide"] >= 12) == (i % 3 > 0) for i in range(1, 20))
+    # the copies keep their article, and so does a passage on some pages only
+    assert all(got[i]["text"] == " ".join(f"w0x{k}" for k in range(40)) for i in (0, 20, 21))
+    got = texts(_site(20, lambda i: i % 4 == 0))
+    assert all("subscribe" in got[i]["text"] for i in range(0, 20, 4))
+    # a site of one article keeps it, and copies of a page lose the notice
+    assert all("w0x39" in r["text"] and "subscribe" in r["text"] for r in texts(_site(1, copies=9)).values())
+    got = texts(_site(20, copies=1))
+    assert not any("subscribe" in r["text"] for r in got.values()) and "w0x39" in got[0]["text"] == got[20]["text"]
+    # few pages say nothing
+    assert all("subscribe" in r["text"] for r in texts(_site(4)).values())
+
+
+def test_shards_do_not_change_judged_articles(spark):
+    # wide runs of some shards only, and a page without an article that opens the host
+    pages = _site(40, lambda i: i % 5 < 3) + [(99, "http://h.example/99", "<p>one open block of this host</p>")]
+    for rows in (pages[:-1], pages):
+        table = spark.createDataFrame(rows, "page_id long, url string, html string")
+        whole, cut = (sorted(tuple(r) for r in extract_main_text(table, shard_bytes=n).collect()) for n in (1 << 20, 1100))
+        assert whole == cut and sum("subscribe" in r[2] for r in whole) == 0 and any(r[5] for r in whole)

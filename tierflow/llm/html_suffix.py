@@ -3,20 +3,26 @@
 Pages are parsed to blocks of text.  The token streams of a host's pages are
 concatenated, and a suffix array, sorted to the depth of ``min_run`` tokens,
 finds all substrings of that length or more that recur on another page of the
-host.  Blocks that such runs cover are boilerplate; what is unique to a page
-stays.
-
-Repetition alone can't judge two cases, so markup does there: text inside an
-``article`` or ``main`` element stays although another page repeats it (copies
-of an article, licence lines), and menus, headers, footers, sidebars, notices,
-adverts, forms and comments go although no other page of the host is known.
-A class or id that only hints at these can't drop an article (see ``_roles``).
-
-Pages whose blocks are all settled by markup don't move.  The others meet all
-pages of their host.  A large host is cut into shards of bounded bytes, by page.  A suffix array
-finds what recurs inside a shard; runs that recur in another one are found by
-a shuffle of the hashes of each shard's distinct runs.  So the result doesn't
-depend on the shards.
+host, and on how many pages each stands.  Blocks that such runs cover are
+boilerplate; what is unique to a page stays.
+
+Every page of every host goes through this, and every block is judged by it.
+Repetition alone can't judge two cases, so markup raises or lowers its bar
+there.  Inside an ``article`` or ``main`` element other pages may repeat a
+passage (copies of an article, quotes, licence lines): a block goes only if
+runs that stand on most pages of the host (wide ones) cover it, and not if
+they cover the article as a whole.  Menus, headers, footers, sidebars,
+notices, adverts, forms and comments go although no other page of the host
+repeats them.  A class or id that only hints at these can't drop an article
+(see ``_roles``).
+
+A large host is cut into shards of bounded bytes, by page.  A suffix array
+counts the pages of each run inside a shard.  A run that stands on most pages
+of the host does so in one of its shards at least, so the shards first name
+such runs, then all of them count these.  If a host has blocks that need to
+know whether a run recurs at all (``OPEN`` or ``HINT``), the hashes of all
+distinct runs of its shards are counted.  So the result doesn't depend on the
+shards.
 """
 
 from __future__ import annotations
@@ -31,12 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.stages import staged
-from tierflow.llm.words import grams, mix, word_hashes
+from tierflow.llm.words import grams, word_hashes
 
 MIN_RUN = 8
 COVERED = 0.5
-#: Code points of text in a shard of a host, about.
+#: A block of an article goes if its runs stand on this share of the pages of
+#: the host, and on so many pages at least.
+WIDE_SHARE, WIDE_PAGES = 0.5, 5
+#: Bytes of html in a shard of a host, about.
 SHARD_BYTES = 1 << 20
+#: Bytes of html to a token, about.
+TOKEN_BYTES = 6
 #: Shards whose runs are compared in one group, on the average.
 SHARDS_A_PART = 16
 
@@ -222,13 +233,12 @@ def parse(html: str) -> list[tuple[int, str]]:
     return [(roles[r], text) for r, text in blocks]
 
 
-def repeated_tokens(tokens: np.ndarray, page: np.ndarray, depth: int) -> np.ndarray:
-    """Which tokens of concatenated pages lie in a substring of ``depth``
-    tokens that also occurs on another page.  ``page`` does not decrease."""
+def run_pages(tokens: np.ndarray, page: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, number of pages that hold it) of each run of ``depth`` tokens
+    inside one of the concatenated pages, by start.  ``page`` does not decrease."""
     n = len(tokens)
-    covered = np.zeros(n + 1, np.int64)
     if n < depth:
-        return covered[:n] > 0
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     # ranks of the suffixes by their first 1, 2, 4, ... tokens, up to the depth
     rank, width = np.unique(tokens, return_inverse=True)[1].astype(np.int64), 1
     while width < depth:
@@ -237,150 +247,280 @@ def repeated_tokens(tokens: np.ndarray, page: np.ndarray, depth: int) -> np.ndar
         after[:n - step] = rank[step:]
         rank, width = np.unique(rank * (n + 1) + after + 1, return_inverse=True)[1].astype(np.int64), width + step
     start = np.flatnonzero(page[:n - depth + 1] == page[depth - 1:])  # inside one page
-    order = start[np.argsort(rank[start], kind="stable")]
+    by_rank = np.argsort(rank[start], kind="stable")
+    order = start[by_rank]
+    count = np.empty(len(start), np.int64)
     if len(order):
         # suffixes of equal prefix are neighbours; the stable sort keeps them by page
-        first = np.flatnonzero(np.diff(rank[order], prepend=-1))
-        last = np.append(first[1:], len(order)) - 1
-        shared = page[order[first]] != page[order[last]]
-        hits = order[np.repeat(shared, last - first + 1)]
-        covered[hits] += 1
-        np.subtract.at(covered, hits + depth, 1)
-    return np.cumsum(covered[:n]) > 0
+        fresh = np.diff(rank[order], prepend=-1) != 0
+        first = np.flatnonzero(fresh)
+        pages = np.add.reduceat((fresh | (np.diff(page[order], prepend=-1) != 0)).astype(np.int64), first)
+        count[by_rank] = np.repeat(pages, np.diff(first, append=len(order)))
+    return start, count
 
 
-def _streams(pages: list[list[tuple[int, str]]], owner: list) -> tuple[np.ndarray, np.ndarray, list, list[str]]:
-    """Token numbers of the pages of a shard, those of one ``owner`` side by
-    side; the number of the owner of each token; (page, start, end); and the
-    words, by number.  Number 0 is a mark before each block."""
-    ids: dict[str, int] = {}
-    tokens: list[int] = []
-    cuts, whose = [], []
-    names: dict = {}
-    order = sorted(range(len(pages)), key=lambda i: names.setdefault(owner[i], len(names)))
-    for i in order:
-        at = len(tokens)
-        for _, text in pages[i]:
-            tokens.append(0)
-            tokens += [ids.setdefault(w, len(ids) + 1) for w in text.split()]
-        whose += [names[owner[i]]] * (len(tokens) - at)
-        cuts.append((i, at, len(tokens)))
-    return np.asarray(tokens, np.int64), np.asarray(whose, np.int64), cuts, list(ids)
+def _cover(n: int, start: np.ndarray, depth: int) -> np.ndarray:
+    """Which of n tokens lie in a run of ``depth`` tokens from one of ``start``."""
+    edges = np.zeros(n + 1, np.int64)
+    edges[start] += 1
+    np.subtract.at(edges, start + depth, 1)
+    return np.cumsum(edges[:n]) > 0
 
 
-def _runs(tokens: np.ndarray, page: np.ndarray, words: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, 64-bit hash) of each run of ``depth`` tokens inside one page.
-    Hashes depend on the words alone, so those of all shards compare."""
-    by_number = np.concatenate([mix(np.zeros(1, np.uint64)), word_hashes(" ".join(words).encode())])
-    start = np.flatnonzero(page[:max(len(tokens) - depth + 1, 0)] == page[depth - 1:])
-    return start, grams(by_number[tokens], depth)[start]
+def repeated_tokens(tokens: np.ndarray, page: np.ndarray, depth: int) -> np.ndarray:
+    """Which tokens of concatenated pages lie in a substring of ``depth``
+    tokens that also occurs on another page.  ``page`` does not decrease."""
+    start, count = run_pages(tokens, page, depth)
+    return _cover(len(tokens), start[count > 1], depth)
 
 
-def keep_unique(pages: list[list[tuple[int, str]]], owner: list, min_run: int = MIN_RUN,
-                covered: float = COVERED, elsewhere: np.ndarray | None = None) -> list[tuple[str, int]]:
-    """(text, repeated words) of the pages of one shard, given as blocks.
-    Pages of the same ``owner`` are one page; ``elsewhere`` has the hashes of
-    runs that other shards of the host hold, too.
-
-    Article blocks stay and side blocks go.  Any other block goes if repeated
-    runs cover at least the share ``covered`` of it; inside an article only if
-    the article is no copy as a whole, i.e. they cover less of it.  If nothing
-    would be left of a page without an article, it is a copy as a whole: its
-    blocks stay."""
-    tokens, whose, cuts, words = _streams(pages, owner)
-    again = repeated_tokens(tokens, whose, min_run)
-    if elsewhere is not None and len(elsewhere):
-        start, runs = _runs(tokens, whose, words, min_run)
-        edges = np.zeros(len(tokens) + 1, np.int64)
-        hits = start[np.isin(runs, elsewhere)]
-        edges[hits] += 1
-        edges[hits + min_run] -= 1
-        again |= np.cumsum(edges[:-1]) > 0
-    out: list[tuple[str, int]] = [("", 0)] * len(pages)
-    for i, at, end in cuts:
-        kept, opened, repeated = [], [], int(again[at:end].sum())
-        blocks, inside = [], [0, 0]
-        for role, text in pages[i]:
-            n = 1 + len(text.split())
-            found = int(again[at + 1:at + n].sum())
-            blocks.append((role, text, found >= covered * (n - 1)))
+def _streams(pages: list[list[tuple[int, str]]], owner: list) -> tuple[np.ndarray, np.ndarray, list, list[list[int]]]:
+    """Token hashes of the pages of a shard, those of one ``owner`` side by
+    side; the number of the owner of each token; (page, start, end); and the
+    number of words of each block of a page.  Hash 0 is a mark before each
+    block.  Hashes depend on the words alone, so those of all shards compare."""
+    names: dict = {}
+    order = sorted(range(len(pages)), key=lambda i: names.setdefault(owner[i], len(names)))
+    sizes = [[len(text.split()) for _, text in blocks] for blocks in pages]
+    ends = np.cumsum([sum(sizes[i]) + len(sizes[i]) for i in order], dtype=np.int64)
+    marks = np.asarray([n + 1 for i in order for n in sizes[i]], np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    word = np.ones(total, bool)
+    word[np.cumsum(marks) - marks] = False
+    tokens = np.zeros(total, np.uint64)
+    tokens[word] = word_hashes("\n".join(text for i in order for _, text in pages[i]).encode())
+    starts = np.concatenate([[0], ends]).astype(np.int64)
+    whose = np.repeat(np.asarray([names[owner[i]] for i in order], np.int64), np.diff(starts))
+    return tokens, whose, [(i, int(a), int(b)) for i, a, b in zip(order, starts, ends)], sizes
+
+
+def _runs(tokens: np.ndarray, start: np.ndarray, depth: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of ``bits`` of the runs from ``start``, the first
+    place of each in ``start``, and the number of each run."""
+    return np.unique(grams(tokens, depth)[start] >> np.uint64(64 - bits), return_index=True, return_inverse=True)
+
+
+def _bits(shards: int, shard_bytes: int) -> int:
+    """Bits of a run's hash: of all the runs of a host less than one pair is
+    expected to agree by chance.  Fewer bits are less to shuffle."""
+    return min(64, 2 * max(16, int(np.ceil(np.log2(max(shards * shard_bytes / TOKEN_BYTES, 1))))))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers, byte by byte of each, compressed."""
+    return pa.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(),
+                       codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
+def judge(pages: list[list[tuple[int, str]]], owner: list, min_run: int = MIN_RUN, covered: float = COVERED,
+          everywhere: tuple | None = None) -> list[tuple[str, int, int]]:
+    """(text, repeated words, words of wide runs) of the pages of one shard,
+    given as blocks.  Pages of the same ``owner`` are one page; ``everywhere``
+    has, of a host of several shards, runs of this shard (None: all), the pages
+    of the host that hold each, the number of its pages, and the bits of a
+    run's hash.
+
+    Side blocks go.  An open one or a hint goes if repeated runs cover at least
+    the share ``covered`` of it, a block of an article if wide runs do; inside
+    an article only if the article is no copy as a whole, i.e. they cover less
+    of it.  If nothing would be left of a page without an article, it is a copy
+    as a whole: its blocks stay."""
+    tokens, whose, cuts, sizes = _streams(pages, owner)
+    start, count = run_pages(tokens, whose, min_run)
+    n_pages = len(set(owner))
+    if everywhere is not None:
+        known, held, n_pages, bits = everywhere
+        found, _, number = _runs(tokens, start, min_run, bits)
+        total = held
+        if known is not None:
+            total = np.zeros(len(found), np.int64)
+            total[np.searchsorted(found, known)] = held
+        count = np.maximum(count, total[number])
+    again = _cover(len(tokens), start[count > 1], min_run)
+    wide = _cover(len(tokens), start[count >= max(WIDE_PAGES, WIDE_SHARE * n_pages)], min_run)
+    # sums over any stretch of tokens
+    again, wide = (np.concatenate([[0], np.cumsum(x)]).tolist() for x in (again, wide))
+    out: list[tuple[str, int, int]] = [("", 0, 0)] * len(pages)
+    for i, first, end in cuts:
+        kept, opened, blocks, at = [], [], [], first
+        inside, in_wide, in_again = 0, 0, 0
+        for (role, text), n in zip(pages[i], sizes[i]):
+            at, to = at + 1, at + 1 + n
+            found, widely = again[to] - again[at], wide[to] - wide[at]
+            blocks.append((role, text, (widely if role == ARTICLE else found) >= covered * n))
             if role in (ARTICLE, HINT):
-                inside[0] += found
-                inside[1] += n - 1
-            at += n
-        copied = inside[0] >= covered * inside[1]
+                inside, in_wide, in_again = inside + n, in_wide + widely, in_again + found
+            at = to
+        copied = {ARTICLE: in_wide >= covered * inside, HINT: in_again >= covered * inside}
         for role, text, mostly in blocks:
-            if role == ARTICLE or role == HINT and copied or role in (OPEN, HINT) and not mostly:
+            if role != SIDE and not mostly or copied.get(role):
                 kept.append(text)
             if role in (OPEN, HINT):
                 opened.append(text)
-        out[i] = "\n".join(kept or opened), repeated
+        out[i] = "\n".join(kept or opened), again[end] - again[first], wide[end] - wide[first]
     return out
 
 
+def keep_unique(pages: list[list[tuple[int, str]]], owner: list, min_run: int = MIN_RUN,
+                covered: float = COVERED) -> list[tuple[str, int]]:
+    """(text, repeated words) of the pages of a host, see ``judge``."""
+    return [(text, n) for text, n, _ in judge(pages, owner, min_run, covered)]
+
+
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as the roles of their blocks, a byte each, and the texts, one a
+    line, compressed."""
     for b in batches:
-        roles, texts = [], []
+        roles, sizes, texts = [], [], []
         for html in b["html"].to_pylist():
             blocks = parse(html or "")
-            roles.append([r for r, _ in blocks])
-            texts.append([t for _, t in blocks])
+            text = "\n".join(t for _, t in blocks).encode()
+            roles.append(bytes(r for r, _ in blocks))
+            sizes.append(len(text))
+            texts.append(pa.compress(text, codec="zstd", asbytes=True))
         yield pa.RecordBatch.from_arrays(
-            [b["page_id"], b["url"], b["host"], pa.array(roles, pa.list_(pa.int8())),
-             pa.array(texts, pa.list_(pa.string()))], names=["page_id", "url", "host", "roles", "texts"])
+            [*(b[c] for c in ("page_id", "url", "host", "shards", "shard")), pa.array(roles, pa.binary()),
+             pa.array(sizes, pa.int64()), pa.array(texts, pa.binary())],
+            names=["page_id", "url", "host", "shards", "shard", "roles", "size", "texts"])
 
 
 def _pages(table: pa.Table) -> tuple[list, list]:
     """Blocks and owner of each page of a shard."""
-    return ([list(zip(r, t)) for r, t in zip(table["roles"].to_pylist(), table["texts"].to_pylist())],
-            list(zip(table["page_id"].to_pylist(), table["url"].to_pylist())))
+    blocks = []
+    for roles, size, packed in zip(*(table[c].to_pylist() for c in ("roles", "size", "texts"))):
+        text = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True).decode() if size else ""
+        blocks.append(list(zip(roles, text.split("\n"))))
+    return blocks, list(zip(table["page_id"].to_pylist(), table["url"].to_pylist()))
+
+
+def _has_open(blocks: list[tuple[int, str]]) -> bool:
+    return any(r in (OPEN, HINT) for r, _ in blocks)
+
+
+def _counted(table: pa.Table, min_run: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs of a shard, sorted, and the pages of it that hold each."""
+    tokens, whose, _, _ = _streams(*_pages(table))
+    start, count = run_pages(tokens, whose, min_run)
+    found, first, _ = _runs(tokens, start, min_run, _bits(table["shards"][0].as_py(), shard_bytes))
+    return found, count[first]
+
+
+def _split(runs: np.ndarray, shards: int, shard_bytes: int) -> list[tuple[int, int]]:
+    """(start, end) of each part of sorted runs; parts are ranges of hashes."""
+    parts = -(-shards // SHARDS_A_PART)
+    part = (runs >> np.uint64(_bits(shards, shard_bytes) - 32)) * np.uint64(parts) >> np.uint64(32)
+    edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64)).tolist()
+    return list(zip(edges[:-1], edges[1:]))
 
 
-def _shard_runs(min_run: int):
-    """The distinct runs of a shard, by part; none if it is the whole host."""
+_NAMED_RUNS = pa.schema([("host", pa.string()), ("part", pa.int64()), ("shard", pa.int32()), ("shards", pa.int32()),
+                         ("open", pa.bool_()), ("pages", pa.int64()), ("n", pa.int64()), ("runs", pa.binary())])
+_COUNTED_RUNS = pa.schema([*_NAMED_RUNS, ("held", pa.binary())])
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _shard_wide(min_run: int, shard_bytes: int):
+    """The runs on most pages of a shard, by part; the first part also has
+    whether blocks are open and the number of pages.  None if the shard is the
+    whole host."""
     def run(table: pa.Table) -> pa.Table:
         host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
-        parts, runs = [], []
+        rows = []
         if shards > 1:
-            tokens, whose, _, words = _streams(*_pages(table))
-            found = np.unique(_runs(tokens, whose, words, min_run)[1])
-            n = -(-shards // SHARDS_A_PART)
-            part = (found >> np.uint64(32)) % np.uint64(n)
-            order = np.argsort(part, kind="stable")
-            parts, first = np.unique(part[order], return_index=True)
-            runs = [x.tobytes() for x in np.split(found[order], first[1:])] if len(parts) else []
-        return pa.table({"host": pa.array([host] * len(runs), pa.string()), "part": pa.array(parts, pa.int64()),
-                         "shard": pa.array([shard] * len(runs), pa.int32()), "runs": pa.array(runs, pa.binary())})
+            blocks, owner = _pages(table)
+            found, held = _counted(table, min_run, shard_bytes)
+            pages = len(set(owner))
+            found = found[held >= WIDE_SHARE * pages]
+            for part, (a, b) in enumerate(_split(found, shards, shard_bytes)):
+                if b > a or not part:
+                    rows.append((host, part, shard, shards, not part and any(map(_has_open, blocks)),
+                                 0 if part else pages, b - a, _packed(found[a:b])))
+        return _table(rows, _NAMED_RUNS)
     return run
 
 
-def _shared_runs(table: pa.Table) -> pa.Table:
-    """Of one part of the runs of a host: for each shard, those that another
-    shard holds, too.  Pages are dealt whole, so they stand on two pages."""
-    runs = [np.frombuffer(x, np.uint64) for x in table["runs"].to_pylist()]
-    _, number, count = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
-    shared = np.split(count[number] > 1, np.cumsum([len(x) for x in runs])[:-1])
-    return pa.table({"host": table["host"], "shard": table["shard"],
-                     "runs": pa.array([x[m].tobytes() for x, m in zip(runs, shared)], pa.binary())})
+def _host_wide(table: pa.Table) -> pa.Table:
+    """Of one part of the runs that shards name: all, for each shard."""
+    host, part, shards = (table[c][0].as_py() for c in ("host", "part", "shards"))
+    runs = np.unique(np.concatenate([_unpacked(x, n) for x, n in zip(table["runs"].to_pylist(), table["n"].to_pylist())]))
+    row = (shards, any(table["open"].to_pylist()), sum(table["pages"].to_pylist()), len(runs), _packed(runs))
+    return _table([(host, part, shard, *row) for shard in range(shards)], _NAMED_RUNS)
+
+
+def _shard_runs(min_run: int, shard_bytes: int):
+    """The runs of a shard that its host must count and the pages of the shard
+    that hold each, by part: all if the host has open blocks, else those named."""
+    def run(table: pa.Table, named: pa.Table) -> pa.Table:
+        rows = []
+        opened, pages = any(named["open"].to_pylist()), sum(named["pages"].to_pylist())
+        if len(table) and (opened or sum(named["n"].to_pylist())):
+            host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
+            found, held = _counted(table, min_run, shard_bytes)
+            if not opened:
+                wanted = np.isin(found, np.concatenate([_unpacked(x, n) for x, n in zip(named["runs"].to_pylist(),
+                                                                                       named["n"].to_pylist())]))
+                found, held = found[wanted], held[wanted]
+            for part, (a, b) in enumerate(_split(found, shards, shard_bytes)):
+                if b > a:
+                    rows.append((host, part, shard, shards, opened, pages, b - a,
+                                 _packed(np.diff(found[a:b], prepend=np.uint64(0))), _packed(held[a:b])))
+        return _table(rows, _COUNTED_RUNS)
+    return run
 
 
-def _shard_texts(min_run: int, covered: float):
-    """The pages of a shard that have blocks to judge."""
+def _shared_runs(table: pa.Table) -> pa.Table:
+    """Of one part of the runs of a host: for each shard, the pages of the host
+    that hold each of its runs.  Pages are dealt whole, so the shards add up.
+    A shard whose runs are all counted knows them."""
+    sizes = table["n"].to_pylist()
+    runs = np.concatenate([np.cumsum(_unpacked(x, n), dtype=np.uint64) for x, n in zip(table["runs"].to_pylist(), sizes)])
+    held = np.concatenate([_unpacked(x, n) for x, n in zip(table["held"].to_pylist(), sizes)])
+    _, number = np.unique(runs, return_inverse=True)
+    total = np.bincount(number, weights=held)[number]
+    held = pa.array([_packed(x) for x in np.split(total, np.cumsum(sizes)[:-1])], pa.binary())
+    if table["open"][0].as_py():
+        table = table.set_column(table.column_names.index("runs"), "runs", pa.nulls(len(sizes), pa.binary()))
+    return table.set_column(table.column_names.index("held"), "held", held)
+
+
+def _shard_texts(min_run: int, covered: float, shard_bytes: int):
+    """The pages of a shard."""
     def run(table: pa.Table, shared: pa.Table) -> pa.Table:
-        elsewhere = np.frombuffer(b"".join(shared["runs"].to_pylist()), np.uint64)
-        found = keep_unique(*_pages(table), min_run, covered, elsewhere)
+        everywhere = None
+        if len(shared):
+            shared = shared.sort_by("part")
+            sizes, runs = shared["n"].to_pylist(), shared["runs"].to_pylist()
+            known = None if shared["open"][0].as_py() else np.concatenate(
+                [np.cumsum(_unpacked(x, n), dtype=np.uint64) for x, n in zip(runs, sizes)])
+            held = np.concatenate([_unpacked(x, n) for x, n in zip(shared["held"].to_pylist(), sizes)])
+            everywhere = (known, held.astype(np.int64), shared["pages"][0].as_py(),
+                          _bits(shared["shards"][0].as_py(), shard_bytes))
+        pages, owner = _pages(table)
+        found = judge(pages, owner, min_run, covered, everywhere)
         return pa.table({"page_id": table["page_id"], "url": table["url"],
-                         "text": pa.array([t for t, _ in found], pa.string()),
-                         "n_repeated": pa.array([n for _, n in found], pa.int64())}).filter(table["judged"])
+                         "text": pa.array([t for t, _, _ in found], pa.string()),
+                         "n_repeated": pa.array([n if _has_open(p) else None for p, (_, n, _) in zip(pages, found)],
+                                                pa.int64()),
+                         "n_wide": pa.array([n for _, _, n in found], pa.int64())})
     return run
 
 
 def extract_main_text(pages: DataFrame, min_run: int = MIN_RUN, covered: float = COVERED,
                       shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """page_id, url, text (empty if none), n_chars (its code points) and
-    n_repeated of (page_id, url, html).  The last is null if markup settles all
-    blocks of a page; else it counts its words that recur on another page of
-    the host, boilerplate or not.
+    """page_id, url, text (empty if none), n_chars (its code points),
+    n_repeated and n_wide of (page_id, url, html).  n_wide counts the words of
+    a page in runs that stand on most pages of the host, n_repeated those that
+    recur on another page of it, boilerplate or not; the latter is null if
+    markup leaves no block of the page open.
 
     Character references are decoded, white space inside a block becomes one
     space, and blocks are joined by one line end.  Null and empty html gives
@@ -390,25 +530,24 @@ def extract_main_text(pages: DataFrame, min_run: int = MIN_RUN, covered: float =
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
-    blocks = staged(rows.mapInArrow(_parse_batches, "page_id long, url string, host string, roles array<tinyint>, "
-                                                    "texts array<string>"), "html-blocks", compression="zstd")
-    judged = F.exists("roles", lambda r: r.isin(OPEN, HINT))
-    article = F.expr(f"transform(filter(arrays_zip(roles, texts), x -> x.roles = {ARTICLE}), x -> x.texts)")
-    settled = blocks.where(~judged).select("page_id", "url", F.array_join(article, "\n").alias("text"),
-                                           F.lit(None).cast("long").alias("n_repeated"))
-    # the text of a host sets the number of its shards, and so their size
-    length = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.length(t))
-    hosts = staged(blocks.groupBy("host").agg(F.max(judged).alias("judged"), F.sum(length).alias("n")).where("judged")
-                   .select("host", F.greatest(F.ceil(F.col("n") / shard_bytes), F.lit(1)).cast("int").alias("shards")),
-                   "html-hosts")
-    sharded = blocks.join(hosts, "host").select(
-        "page_id", "url", "host", "shards", F.pmod(F.xxhash64("page_id", "url"), F.col("shards")).cast("int").alias("shard"),
-        judged.alias("judged"), "roles", "texts")
-    # both uses of the blocks by shard read one shuffle
-    by_shard = sharded.groupBy("host", "shard")
-    runs = by_shard.applyInArrow(_shard_runs(min_run), "host string, part long, shard int, runs binary")
-    shared = runs.groupBy("host", "part").applyInArrow(_shared_runs, "host string, shard int, runs binary")
-    texts = (by_shard.cogroup(shared.where(F.length("runs") > 0).groupBy("host", "shard"))
-             .applyInArrow(_shard_texts(min_run, covered), "page_id long, url string, text string, n_repeated long"))
-    return settled.union(texts).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
-                                       "n_repeated")
+    # the html of a host sets the number of its shards, and so their size; few hosts have more than one
+    large = staged(rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("n")).where(F.col("n") > shard_bytes)
+                   .select("host", F.ceil(F.col("n") / shard_bytes).cast("int").alias("shards")), "html-hosts")
+    shards = F.coalesce("shards", F.lit(1))
+    blocks = (rows.join(F.broadcast(large), "host", "left")
+              .select("page_id", "url", "html", "host", shards.alias("shards"),
+                      F.pmod(F.xxhash64("page_id", "url"), shards).cast("int").alias("shard"))
+              .mapInArrow(_parse_batches, "page_id long, url string, host string, shards int, shard int, roles binary, "
+                                          "size long, texts binary"))
+    # all uses of the blocks by shard read one shuffle
+    by_shard = blocks.groupBy("host", "shard")
+    named = "host string, part long, shard int, shards int, open boolean, pages long, n long, runs binary"
+    counted = f"{named}, held binary"
+    wide = (by_shard.applyInArrow(_shard_wide(min_run, shard_bytes), named)
+            .groupBy("host", "part").applyInArrow(_host_wide, named))
+    shared = (by_shard.cogroup(wide.groupBy("host", "shard")).applyInArrow(_shard_runs(min_run, shard_bytes), counted)
+              .groupBy("host", "part").applyInArrow(_shared_runs, counted))
+    texts = (by_shard.cogroup(shared.groupBy("host", "shard"))
+             .applyInArrow(_shard_texts(min_run, covered, shard_bytes),
+                           "page_id long, url string, text string, n_repeated long, n_wide long"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated", "n_wide")
