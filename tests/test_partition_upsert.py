@@ -114,3 +114,15 @@ def test_thousands_of_partitions_and_a_root_with_a_space(spark):
     raw = store.read("silver", "click_events", raw=True)
     assert raw.where(store._any_match(days, ["_event_date"])).count() == 2
     assert raw.where(store._any_match(days[:5], ["_event_date"])).count() == 0
+
+
+def test_ties_do_not_depend_on_the_layout(spark):
+    store = LayerStore(spark, scratch_path(spark, "t-pu-ties"))
+    rows = [(k, None if k % 2 else 1, 0) for k in range(16)]
+    target, source = _frame(spark, rows, "t"), _frame(spark, rows, "s")
+    order = ["ts_utc", "_ingested_at"]
+    store.upsert(target, "silver", "click_events")
+    store.upsert(source, "silver", "click_events", prefer_latest=order)
+    want = latest_per_key(source.unionByName(target), ["event_id"], order)
+    winners = lambda df: {r["event_id"]: r["device"] for r in df.collect()}
+    assert winners(store.read("silver", "click_events")) == winners(want)

@@ -441,7 +441,8 @@ class LayerStore:
             new = src.select(*columns)
             if prefer_latest:
                 ok = new.join(src_keys, keys, "left_semi")        # fails on bad keys
-                out = latest_per_key(ok.unionByName(stored.select(*columns)), keys, prefer_latest)
+                out = latest_per_key(ok.unionByName(stored.select(*columns)), keys, prefer_latest,
+                                     tie_columns=schema.fieldNames())
             else:
                 out = checked_rows(new, keys).unionByName(
                     stored.join(src_keys, keys, "left_anti").select(*columns))
